@@ -133,6 +133,8 @@ delivery AS (
          {_band("delivery_days", S.PERFORMANCE_LIMITS, S.PERFORMANCE_LAST)} AS performance_flag,
          purchase_month, month_name, CAST(replace(purchase_month, '-', '') AS INTEGER) AS month_sort
   FROM measured)"""
+# The last bit of a logarithm differs between math libraries.
+LOG = "round(log_exec_time, 9)"
 # Days hold one decimal; a decimal mean is exact where a floating sum may fall off a tie.
 MEAN_DAYS = "avg(CAST({} AS DECIMAL(12,1)))"
 
@@ -278,7 +280,7 @@ def flows() -> dict[str, str]:
                    count(*) FILTER (WHERE ms NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS outliers,
                    avg_ms
             FROM v JOIN q USING (target_table) GROUP BY target_table, q1, median, q3, avg_ms"""),
-        "log_features": _q(FEATURES, "SELECT * FROM features"),
+        "log_features": _q(FEATURES, f"SELECT * REPLACE ({LOG} AS log_exec_time) FROM features"),
         "stg_server_logs": _q(RAW_LOGS, """
             SELECT CAST("timestamp" AS TIMESTAMP) AS logged_at, query_type, target_table,
                    CAST(execution_time_ms AS DOUBLE) AS execution_time_ms, server_cpu_load, status FROM raw_logs"""),
@@ -294,7 +296,7 @@ def flows() -> dict[str, str]:
                               row_number() OVER (PARTITION BY is_high_cpu ORDER BY {_rank("log_id")}, log_id) AS nth,
                               count(*) OVER (PARTITION BY is_high_cpu) AS size FROM predictor)""",
             "SELECT log_id, is_high_cpu, nth <= round(0.2::DOUBLE * size) AS is_test FROM ranked"),
-        "risk_level_rule_based": _q(CLEAN, "SELECT * FROM clean"),
+        "risk_level_rule_based": _q(CLEAN, f"SELECT * REPLACE ({LOG} AS log_exec_time) FROM clean"),
         "risk_distribution": _q(CLEAN, """
             SELECT risk_level, count(*) AS n, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () AS share
             FROM clean GROUP BY 1"""),
@@ -385,8 +387,8 @@ def flows() -> dict[str, str]:
                    pct_negative * 100 AS neg_pct, pct_negative * 100 > 20 AS is_red
             FROM stats ORDER BY pct_negative DESC, category LIMIT 15"""),
         "category_overall_avg": _q(STATS, """
-            SELECT count(*) AS categories, avg(avg_stars) AS avg_stars, avg(pct_negative) * 100 AS avg_negative_pct
-            FROM stats"""),
+            SELECT count(*) AS categories, avg(CAST(avg_stars AS DECIMAL(9,2))) AS avg_stars,
+                   avg(CAST(pct_negative AS DECIMAL(9,3))) * 100 AS avg_negative_pct FROM stats"""),
         "dim_category_sentiment": _q(CATEGORIES, f"""
             SELECT category, count(*) AS review_count, round(avg(star_rating), 2) AS avg_stars,
                    {pct.format("sentiment = 'Positive'", 1)} AS pct_positive,

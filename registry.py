@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from tidewatch.functions.scalar import round_half_away
 from tidewatch.functions.text import normalise_label
-from tidewatch.operators import selection
-from tidewatch.plans import delivery, logs, marts, reviews
+from tidewatch import schemas as S
+from tidewatch.operators import classify as C
+from tidewatch.operators import quality as Q
+from tidewatch.operators import selection, spike_model
+from tidewatch.plans import column_tests, contracts, delivery, exports, logs, marts, reviews
+from tidewatch.session import fresh_path, stage
 from tidewatch.sources import adapters as A
-from tidewatch.sources import synthetic
+from tidewatch.sources import files, synthetic
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,12 +53,20 @@ def stats_table(spark: SparkSession, sf: str) -> DataFrame:
     return reviews.category_stats(categories_table(spark, sf))
 
 
+def rounded_log(table: DataFrame) -> DataFrame:
+    """The last bit of a logarithm differs between math libraries."""
+    return table.withColumn("log_exec_time", round_half_away(F.col("log_exec_time"), 9))
+
+
 def on(table: Query, report: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf: report(table(spark, sf))
 
 
 # ---- queries --------------------------------------------------------------
 
+# Boosting rounds of the registered predictor queries; a full job takes 300.
+QUERY_TREES = 20
+
 
 def _synthetic(spark: SparkSession, sf: str) -> DataFrame:
     return synthetic.logs_for(A.read(spark, sf, "events"), "event_id")
@@ -62,6 +76,152 @@ def _split(rows: DataFrame) -> DataFrame:
     return selection.split_stratified(rows, "is_high_cpu", "log_id").select("log_id", "is_high_cpu", "is_test")
 
 
+def _numbered_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    """Reviews with text in batches of ten neighbouring ids, numbered within each."""
+    texts = reviews.with_text(labelled_reviews(spark, sf)).withColumn("id", F.col("review_id").cast("long"))
+    return texts.withColumn("batch_id", F.floor(F.col("id") / C.BATCH))
+
+
+def _requests(spark: SparkSession, sf: str) -> DataFrame:
+    return C.requests(_numbered_reviews(spark, sf), "batch_id", "id", "review_comment_message")
+
+
+def _parsed_replies(spark: SparkSession, sf: str) -> DataFrame:
+    """Replies as a model may give them, some fenced, some broken, parsed to labels.
+
+    What a batch gets depends on the length of its texts: a fenced reply, one
+    that leaves out the third review, one that is cut off, one with quoted
+    ids, or a plain one.
+    """
+    rows = _numbered_reviews(spark, sf)
+    at = Window.partitionBy("batch_id").orderBy("id")
+    placed = rows.withColumn("position", F.row_number().over(at) - 1)
+    answer = F.struct(F.col("position").alias("id"), F.col("raw_label").alias("sentiment"))
+    batches = placed.groupBy("batch_id").agg(
+        F.array_sort(F.collect_list(answer)).alias("answers"),  # ten at most
+        F.sum(F.length("review_comment_message")).alias("chars"),
+    )
+    full = F.to_json("answers")
+    quoted = F.regexp_replace(full, r'"id":([0-9]+)', '"id":"$1"')
+    kind = F.col("chars") % 5
+    reply = (
+        F.when(kind == 0, F.concat(F.lit("```json\n"), full, F.lit("\n```")))
+        .when(kind == 1, F.to_json(F.filter("answers", lambda a: a["id"] != 2)))
+        .when(kind == 2, F.left(full, F.length(full) - 2))
+        .when(kind == 3, quoted)
+        .otherwise(full)
+    )
+    replies = batches.select("batch_id", reply.alias("reply"))
+    labelled = C.apply_replies(placed.drop("sentiment"), replies, "batch_id", "position", "reply")
+    return labelled.select("review_id", "batch_id", "position", "raw_label", "sentiment", "is_error")
+
+
+def _classified(spark: SparkSession, sf: str) -> DataFrame:
+    """All reviews through the stand-in model, label against word stems of the text."""
+    labelled = C.classify(
+        reviews.with_text(A.reviews(spark, sf)).select(S.REVIEWS.fieldNames()), C.stem_provider
+    )
+    return labelled.select("review_id", "sentiment", "is_error")
+
+
+def _forest_logs(spark: SparkSession, sf: str) -> DataFrame:
+    return logs.clean_logs(A.raw_logs(spark, sf))
+
+
+def _evaluation(spark: SparkSession, sf: str) -> spike_model.Evaluation:
+    rows = logs.predictor_features(A.raw_logs(spark, sf))
+    return spike_model.train_and_evaluate(rows, "log_id", QUERY_TREES)
+
+
+def _stored_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The five tables, stored once as several checks read them."""
+    labelled = stage(sentiment_table(spark, sf), "sentiment")
+    joined = reviews.category_sentiment(
+        labelled, A.items(spark, sf), A.products(spark, sf), A.translation(spark, sf)
+    )
+    return {
+        "raw_logs": A.raw_logs(spark, sf).drop("log_id"),
+        "clean_logs": stage(clean_table(spark, sf), "clean"),
+        "delivery": stage(delivery_table(spark, sf), "delivery"),
+        "sentiment": labelled,
+        "category_sentiment": stage(joined, "categories"),
+    }
+
+
+def _marts(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {
+        "fct_server_health": marts.fct_server_health(marts.stg_clean_logs(tables["clean_logs"])),
+        "fct_delivery_by_state": marts.fct_delivery_by_state(marts.stg_delivery_orders(tables["delivery"])),
+        "dim_category_sentiment": marts.dim_category_sentiment(tables["category_sentiment"]),
+    }
+
+
+def _column_tests(spark: SparkSession, sf: str) -> DataFrame:
+    tables = _stored_tables(spark, sf)
+    staging = {
+        "stg_server_logs": marts.stg_server_logs(tables["raw_logs"]),
+        "stg_delivery_orders": marts.stg_delivery_orders(tables["delivery"]),
+        "stg_reviews": marts.stg_reviews(tables["sentiment"]),
+    }
+    return column_tests.run({**tables, **staging, **_marts(tables)})
+
+
+def _contract_report(spark: SparkSession, sf: str) -> DataFrame:
+    return contracts.tables_report(spark, _stored_tables(spark, sf))
+
+
+def _null_profile(spark: SparkSession, sf: str) -> DataFrame:
+    tables = {
+        "raw_logs": A.raw_logs(spark, sf).drop("log_id"),
+        "orders_csv": A.orders(spark, sf),
+        "customers_csv": A.customers(spark, sf),
+        "delivery": delivery_table(spark, sf),
+        "reviews_csv": A.reviews(spark, sf).drop("lang"),
+        "products_csv": A.products(spark, sf),
+    }
+    return Q.union_all(Q.null_profile(df, name) for name, df in tables.items())
+
+
+def _duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    joined = categories_table(spark, sf)
+    return Q.union_all(
+        [
+            Q.duplicates(delivery_table(spark, sf), "delivery", "order_id"),
+            Q.duplicates(sentiment_table(spark, sf), "sentiment", "review_id"),
+            Q.duplicates(joined, "category_sentiment", "review_id"),
+        ]
+    )
+
+
+def _export_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """All exports written, then checked from the files."""
+    tables = _stored_tables(spark, sf)
+    folder = fresh_path(spark, "exports")
+    stats = reviews.category_stats(tables["category_sentiment"])
+    exports.export_tables({**tables, "category_stats": stats, **_marts(tables)}, folder)
+    return contracts.export_report(spark, folder).withColumn(
+        "detail", F.replace(F.col("detail"), F.lit(folder), F.lit(""))
+    )
+
+
+def _review_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Reviews written as CSV and read back, texts with quotes and line breaks included."""
+    path = fresh_path(spark, "reviews-csv")
+    files.write_csv(A.reviews(spark, sf).drop("lang"), path)
+    return files.read_csv(spark, path, S.REVIEWS, line_breaks=True)
+
+
+def _table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The log stored as a table under a fresh path, read back and counted by SQL."""
+    path = fresh_path(spark, "raw-logs-table")
+    A.raw_logs(spark, sf).write.parquet(path)
+    spark.read.parquet(path).createOrReplaceTempView("stored_raw_logs")
+    return spark.sql(
+        "SELECT target_table, status, count(*) AS n, sum(execution_time_ms) AS total_ms "
+        "FROM stored_raw_logs GROUP BY target_table, status"
+    )
+
+
 def queries() -> dict[str, Query]:
     predictor = on(A.raw_logs, logs.predictor_features)
     return {
@@ -72,13 +232,13 @@ def queries() -> dict[str, Query]:
         "eda_timeouts_by_table": on(A.raw_logs, logs.timeouts_by_table),
         "eda_summary": on(A.raw_logs, logs.summary),
         "eda_box_stats": on(A.raw_logs, logs.box_stats),
-        "log_features": on(A.raw_logs, logs.features),
+        "log_features": on(A.raw_logs, lambda t: rounded_log(logs.features(t))),
         "stg_server_logs": on(A.raw_logs, marts.stg_server_logs),
         "stg_clean_logs": on(clean_table, marts.stg_clean_logs),
         "predictor_features": predictor,
         "predictor_class_balance": on(predictor, logs.class_balance),
         "split_stratified": on(predictor, _split),
-        "risk_level_rule_based": clean_table,
+        "risk_level_rule_based": on(clean_table, rounded_log),
         "risk_distribution": on(clean_table, logs.risk_distribution),
         "anomaly_share": on(clean_table, logs.anomaly_share),
         "fct_server_health": on(clean_table, lambda t: marts.fct_server_health(marts.stg_clean_logs(t))),
@@ -110,4 +270,25 @@ def queries() -> dict[str, Query]:
         "category_most_complained": on(stats_table, reviews.most_complained),
         "category_overall_avg": on(stats_table, reviews.overall_averages),
         "dim_category_sentiment": on(categories_table, marts.dim_category_sentiment),
+        "review_requests": _requests,
+        "provider_parse": _parsed_replies,
+        "provider_classify": _classified,
+        "dq_column_tests": _column_tests,
+        "dq_contract_report": _contract_report,
+        "dq_status_totals": on(_contract_report, Q.totals),
+        "dq_null_profile": _null_profile,
+        "dq_duplicates": _duplicates,
+        "review_csv_roundtrip": _review_csv_roundtrip,
+        "table_roundtrip": _table_roundtrip,
+        "export_roundtrip": _export_roundtrip,
+        "clean_logs": _forest_logs,
+        "iforest_scores": on(_forest_logs, lambda t: t.select("timestamp", "anomaly_score", "is_anomaly")),
+        "iforest_flags": on(_forest_logs, logs.anomaly_share),
+        "fct_server_health_forest": on(
+            _forest_logs, lambda t: marts.fct_server_health(marts.stg_clean_logs(t))
+        ),
+        "gbt_scorecard": lambda spark, sf: spike_model.scorecard(_evaluation(spark, sf)),
+        "gbt_class_report": lambda spark, sf: spike_model.class_report(_evaluation(spark, sf).test),
+        "gbt_confusion": lambda spark, sf: spike_model.confusion(_evaluation(spark, sf).test),
+        "gbt_importances": lambda spark, sf: spike_model.importances(_evaluation(spark, sf)),
     }

@@ -72,7 +72,7 @@ def label_counts(sentiment: DataFrame) -> DataFrame:
 def by_star(sentiment: DataFrame) -> DataFrame:
     """Labels per star rating; labels that do not occur count 0."""
     counted = sentiment.groupBy("review_score").pivot("sentiment", S.SENTIMENTS)
-    return counted.agg(F.count("*")).na.fill(0).orderBy("review_score")
+    return counted.agg(F.count(F.lit(1))).na.fill(0).orderBy("review_score")
 
 
 def by_star_pct(sentiment: DataFrame) -> DataFrame:
@@ -184,9 +184,17 @@ def most_complained(stats: DataFrame, k: int = 15) -> DataFrame:
 
 
 def overall_averages(stats: DataFrame) -> DataFrame:
-    """Means over the categories, each counting once."""
+    """Means over the categories, each counting once.
+
+    Stars hold two decimals and fractions three, so both are summed as whole
+    numbers, which no order of rows can change.
+    """
+
+    def mean(column: str, scale: float):
+        return F.sum(F.round(F.col(column) * scale).cast("long")) / (F.count(column) * scale)
+
     return stats.agg(
         F.count("*").alias("categories"),
-        F.avg("avg_stars").alias("avg_stars"),
-        (F.avg("pct_negative") * 100).alias("avg_negative_pct"),
+        mean("avg_stars", 100.0).alias("avg_stars"),
+        (mean("pct_negative", 1000.0) * 100).alias("avg_negative_pct"),
     )
