@@ -7,6 +7,8 @@ the Spark code but the fixed values.
 from __future__ import annotations
 
 from tidewatch import schemas as S
+from tidewatch.operators.quality import ACCEPTED, NOT_NULL, UNIQUE, ColumnTest
+from tidewatch.plans.column_tests import ALL_TESTS
 from tidewatch.sources import adapters as A
 
 FMT = "'%Y-%m-%d %H:%M:%S'"
@@ -401,5 +403,238 @@ def flows() -> dict[str, str]:
     }
 
 
+# ---- model requests and replies -------------------------------------------
+
+PLACED = f"""{REVIEWS},
+placed AS (
+  SELECT review_id, raw_label, review_comment_message AS text,
+         CAST(floor(CAST(review_id AS BIGINT) / 10) AS BIGINT) AS batch_id,
+         row_number() OVER (PARTITION BY floor(CAST(review_id AS BIGINT) / 10)
+                            ORDER BY CAST(review_id AS BIGINT)) - 1 AS position
+  FROM reviews WHERE review_comment_message IS NOT NULL)"""
+
+
+def _stems(column: str, stems: list[str]) -> str:
+    return "(" + " OR ".join(f"contains(lower({column}), '{stem}')" for stem in stems) + ")"
+
+
+def model_calls() -> dict[str, str]:
+    return {
+        "review_requests": _q(PLACED, """
+            SELECT batch_id, count(*) AS reviews,
+                   'Classify these reviews:' || chr(10) || chr(10)
+                     || string_agg('[' || position || '] ' || text, chr(10) ORDER BY position) AS request
+            FROM placed GROUP BY 1"""),
+        # The outcome each kind of reply must have, told from the kind alone.
+        "provider_parse": _q(f"""{PLACED},
+            kinds AS (SELECT batch_id, sum(length(text)) % 5 AS kind FROM placed GROUP BY 1)""", f"""
+            SELECT review_id, batch_id, CAST(position AS INTEGER) AS position, raw_label,
+                   CASE WHEN kind IN (2, 3) OR (kind = 1 AND position = 2) THEN 'Neutral'
+                        ELSE {NORMALISED} END AS sentiment,
+                   kind = 2 AS is_error
+            FROM placed JOIN kinds USING (batch_id)"""),
+        "provider_classify": _q(PLACED, f"""
+            SELECT review_id, CASE WHEN {_stems("text", S.POSITIVE_STEMS)} THEN 'Positive'
+                                   WHEN {_stems("text", S.NEGATIVE_STEMS)} THEN 'Negative'
+                                   ELSE 'Neutral' END AS sentiment,
+                   false AS is_error FROM placed"""),
+        "review_csv_roundtrip": _q(REVIEWS, "SELECT * EXCLUDE (raw_label) FROM reviews"),
+        "table_roundtrip": _q(RAW_LOGS, """
+            SELECT target_table, status, count(*) AS n, CAST(sum(execution_time_ms) AS BIGINT) AS total_ms
+            FROM raw_logs GROUP BY 1, 2"""),
+    }
+
+
+# ---- quality --------------------------------------------------------------
+
+# Later blocks open with the review tables, so every flow appears once.
+_NAMED = (
+    CLEAN
+    + ","
+    + DELIVERY
+    + ","
+    + STATS.replace("categories AS (", "category_sentiment AS (", 1).replace("FROM categories", "FROM category_sentiment")
+)
+
+
+def _marts() -> str:
+    queries = flows()
+
+    def body(name: str, ctes: str) -> str:
+        return queries[name].removeprefix(f"WITH {ctes.strip()}\n")
+
+    category = body("dim_category_sentiment", CATEGORIES).replace("FROM categories", "FROM category_sentiment")
+    return f"""{_NAMED},
+clean_logs AS (SELECT * FROM clean),
+stg_server_logs AS ({body("stg_server_logs", RAW_LOGS)}),
+stg_delivery_orders AS ({body("stg_delivery_orders", DELIVERY)}),
+stg_reviews AS ({body("stg_reviews", REVIEWS)}),
+fct_server_health AS ({body("fct_server_health", CLEAN)}),
+fct_delivery_by_state AS ({body("fct_delivery_by_state", DELIVERY)}),
+dim_category_sentiment AS ({category})"""
+
+
+def _column_test(test: ColumnTest) -> str:
+    column = f'"{test.column}"'
+    failures = {
+        NOT_NULL: f"SELECT count(*) FROM {test.relation} WHERE {column} IS NULL",
+        ACCEPTED: f"SELECT count(*) FROM {test.relation} WHERE {column} NOT IN ({_list(test.allowed)})",
+        UNIQUE: f"SELECT count(*) FROM (SELECT {column} FROM {test.relation} WHERE {column} IS NOT NULL "
+        f"GROUP BY 1 HAVING count(*) > 1)",
+    }[test.kind]
+    return (
+        f"SELECT '{test.relation}' AS relation, '{test.column}' AS \"column\", '{test.kind}' AS test, "
+        f"({failures}) AS failures"
+    )
+
+
+def _not_in(relation: str, column: str, allowed: list[str]) -> str:
+    return f"SELECT count(*) FROM {relation} WHERE {column} IS NULL OR {column} NOT IN ({_list(allowed)})"
+
+
+def _contract_rows() -> list[tuple]:
+    """(phase, table, check, figure, condition on x, detail from x, level)."""
+    got, nulls = "format('Got {:,}', x)", "x || ' nulls'"
+    pct, pct1 = "printf('%.2f%%', x * 100)", "printf('%.1f%%', x * 100)"
+    other = "x || ' other values'"
+    raw_nulls = " + ".join(f'count(*) FILTER (WHERE "{c}" IS NULL)' for c in S.RAW_LOGS.fieldNames())
+    p1, p2, p3, cross = "Phase 1", "Phase 2", "Phase 3", "Cross-phase"
+    exists = "'Found: True'"
+    count = "SELECT count(*) FROM {} WHERE {}"
+
+    def share(relation: str, condition: str) -> str:
+        return f"SELECT avg(CASE WHEN {condition} THEN 1::DOUBLE ELSE 0 END) FROM {relation}"
+
+    counts_match = "(SELECT count(*) FROM raw_logs) = (SELECT count(*) FROM clean_logs)"
+    two = "format('{0}={{:,}}  {1}={{:,}}', (SELECT count(*) FROM {2}), ({3}))"
+    orders = "SELECT count(DISTINCT order_id) FROM delivery"
+    ids = "SELECT count(DISTINCT review_id) FROM sentiment"
+    stars = "SELECT coalesce(avg(CASE WHEN sentiment IN ({}) THEN 1::DOUBLE ELSE 0 END), 0) FROM sentiment WHERE review_score = {}"
+    return [
+        *[(p, t, "Table exists", "SELECT 1", "true", exists, "FAIL") for p, t in (
+            (p1, "raw_logs"), (p1, "clean_logs"), (p2, "delivery"), (p3, "sentiment"), (p3, "category_sentiment"))],
+        (p1, "raw_logs", "Row count = 15,000", "SELECT count(*) FROM raw_logs", "x = 15000", got, "FAIL"),
+        (p1, "raw_logs", "No nulls in any column", f"SELECT {raw_nulls} FROM raw_logs", "x = 0",
+         "x || ' nulls found'", "FAIL"),
+        (p1, "raw_logs", "execution_time_ms > 0", count.format("raw_logs", "execution_time_ms <= 0"), "x = 0",
+         "x || ' invalid rows'", "FAIL"),
+        (p1, "raw_logs", "server_cpu_load in [0, 100]",
+         count.format("raw_logs", "server_cpu_load NOT BETWEEN 0 AND 100"), "x = 0", "x || ' out of range'", "FAIL"),
+        (p1, "raw_logs", "status values valid", _not_in("raw_logs", "status", S.STATUSES), "x = 0", other, "FAIL"),
+        (p1, "raw_logs", "query_type values valid", _not_in("raw_logs", "query_type", S.QUERY_TYPES), "x = 0", other,
+         "FAIL"),
+        (p1, "raw_logs", "target_table values valid", _not_in("raw_logs", "target_table", S.TARGET_TABLES), "x = 0",
+         other, "FAIL"),
+        (p1, "raw_logs", "Timeout rate in [1%, 10%]", share("raw_logs", "status = 'TIMEOUT'"),
+         "x BETWEEN 0.01 AND 0.1", pct, "WARN"),
+        (p1, "clean_logs", "Row count matches raw_logs", "SELECT 0", counts_match,
+         two.format("clean", "raw", "clean_logs", "SELECT count(*) FROM raw_logs"), "FAIL"),
+        (p1, "clean_logs", "risk_level values valid", _not_in("clean_logs", "risk_level", S.RISK_LEVELS), "x = 0",
+         other, "FAIL"),
+        (p1, "clean_logs", "is_anomaly is binary", count.format("clean_logs", "is_anomaly NOT IN (0, 1)"), "x = 0",
+         "x || ' invalid values'", "FAIL"),
+        (p1, "clean_logs", "No nulls in risk columns", count.format("clean_logs",
+         "risk_level IS NULL OR is_anomaly IS NULL OR anomaly_score IS NULL"), "x = 0", nulls, "FAIL"),
+        (p1, "clean_logs", "CRITICAL share < 15%", share("clean_logs", "risk_level = 'CRITICAL'"), "x < 0.15", pct,
+         "WARN"),
+        (p2, "delivery", "Row count > 90,000", "SELECT count(*) FROM delivery", "x > 90000", got, "FAIL"),
+        (p2, "delivery", "No nulls in key columns", count.format("delivery",
+         "customer_state IS NULL OR delivery_days IS NULL OR is_late IS NULL"), "x = 0", nulls, "FAIL"),
+        (p2, "delivery", "delivery_days >= 0", count.format("delivery", "delivery_days < 0"), "x = 0",
+         "x || ' negative values'", "FAIL"),
+        (p2, "delivery", "delivery_days < 365 days", count.format("delivery", "delivery_days > 365"), "x = 0",
+         "x || ' extreme rows'", "WARN"),
+        (p2, "delivery", "is_late is binary", count.format("delivery", "is_late NOT IN (0, 1)"), "x = 0",
+         "x || ' invalid values'", "FAIL"),
+        (p2, "delivery", "Late rate in [2%, 20%]", "SELECT avg(CAST(is_late AS DOUBLE)) FROM delivery",
+         "x BETWEEN 0.02 AND 0.2", pct, "WARN"),
+        (p2, "delivery", "Avg delivery in [5, 30] days", "SELECT avg(delivery_days) FROM delivery",
+         "x BETWEEN 5 AND 30", "printf('%.1f days', x)", "WARN"),
+        (p2, "delivery", "state_name column present", "SELECT 0", "true", "'present'", "FAIL"),
+        (p2, "delivery", "country column present", "SELECT 0", "true", "'present'", "FAIL"),
+        (p2, "delivery", "country = Brazil only", _not_in("delivery", "country", ["Brazil"]),
+         "x = 0 AND (SELECT count(*) FROM delivery) > 0", other, "FAIL"),
+        (p2, "delivery", "No duplicate order_ids", "SELECT 0", f"(SELECT count(*) FROM delivery) = ({orders})",
+         two.format("total", "unique", "delivery", orders), "WARN"),
+        (p3, "sentiment", "Row count > 0", "SELECT count(*) FROM sentiment", "x > 0", got, "FAIL"),
+        (p3, "sentiment", "sentiment values valid", _not_in("sentiment", "sentiment", S.SENTIMENTS), "x = 0", other,
+         "FAIL"),
+        (p3, "sentiment", "review_score in [1, 5]", count.format("sentiment", "review_score NOT BETWEEN 1 AND 5"),
+         "x = 0", "x || ' out-of-range'", "FAIL"),
+        (p3, "sentiment", "No nulls in sentiment/review_score", count.format("sentiment",
+         "sentiment IS NULL OR review_score IS NULL"), "x = 0", nulls, "FAIL"),
+        (p3, "sentiment", "5-star mostly Positive/Neutral (>60%)", stars.format("'Positive', 'Neutral'", 5),
+         "x >= 0.6", pct1, "WARN"),
+        (p3, "sentiment", "1-star mostly Negative/Neutral (>60%)", stars.format("'Negative', 'Neutral'", 1),
+         "x >= 0.6", pct1, "WARN"),
+        (p3, "category_sentiment", "Row count > 0", "SELECT count(*) FROM category_sentiment", "x > 0", got, "FAIL"),
+        (p3, "category_sentiment", "No nulls in category/sentiment", count.format("category_sentiment",
+         "category IS NULL OR sentiment IS NULL"), "x = 0", nulls, "FAIL"),
+        (p3, "category_sentiment", "sentiment values valid",
+         _not_in("category_sentiment", "sentiment", S.SENTIMENTS), "x = 0", other, "FAIL"),
+        (p3, "category_sentiment", "star_rating in [1, 5]",
+         count.format("category_sentiment", "star_rating NOT BETWEEN 1 AND 5"), "x = 0", "x || ' out-of-range'",
+         "FAIL"),
+        (p3, "category_sentiment", "At least 5 distinct categories",
+         "SELECT count(DISTINCT category) FROM category_sentiment", "x >= 5", "'Found ' || x", "FAIL"),
+        (cross, "raw_logs <-> clean_logs", "Row counts match", "SELECT 0", counts_match,
+         two.format("raw", "clean", "raw_logs", "SELECT count(*) FROM clean_logs"), "FAIL"),
+        (cross, "clean_logs", "All rows have a risk_level", count.format("clean_logs", "risk_level IS NULL"), "x = 0",
+         "x || ' unclassified'", "FAIL"),
+        (cross, "sentiment", "No duplicate review_ids", "SELECT 0", f"(SELECT count(*) FROM sentiment) = ({ids})",
+         two.format("total", "unique", "sentiment", ids), "FAIL"),
+    ]
+
+
+def _contract_sql() -> str:
+    rows = [
+        f"SELECT '{phase}' AS phase, '{table}' AS \"table\", '{check}' AS \"check\", "
+        f"CASE WHEN {condition} THEN 'PASS' ELSE '{level}' END AS status, {detail} AS detail FROM (SELECT ({figure}) AS x)"
+        for phase, table, check, figure, condition, detail, level in _contract_rows()
+    ]
+    return "\nUNION ALL ".join(rows)
+
+
+def quality() -> dict[str, str]:
+    tests = "\nUNION ALL ".join(_column_test(t) for t in ALL_TESTS)
+    contract = _contract_sql()
+    profiled = {
+        "raw_logs": (S.RAW_LOGS, "raw_logs"),
+        "orders_csv": (S.ORDERS, "orders_csv"),
+        "customers_csv": (S.CUSTOMERS, "customers_csv"),
+        "delivery": (S.DELIVERY, "delivery"),
+        "reviews_csv": (S.REVIEWS, "reviews"),
+        "products_csv": (S.PRODUCTS, "products_csv"),
+    }
+    products = """
+products_csv AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id, CASE WHEN p_size > 1 THEN p_brand END AS product_category_name
+  FROM part)"""
+    profile = "\nUNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", '{c}' AS \"column\", count(*) AS rows, "
+        f'count(*) FILTER (WHERE "{c}" IS NULL) AS nulls, count("{c}") = 0 AS is_empty FROM {relation}'
+        for name, (schema, relation) in profiled.items()
+        for c in schema.fieldNames()
+    )
+    keys = [("delivery", "order_id"), ("sentiment", "review_id"), ("category_sentiment", "review_id")]
+    copies = "\nUNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", '{k}' AS key, count(*) AS rows, count(DISTINCT {k}) AS distinct_keys, "
+        f"count(*) - count(DISTINCT {k}) AS duplicates FROM {t}"
+        for t, k in keys
+    )
+    return {
+        "dq_column_tests": _q(
+            _marts(), f"SELECT *, CASE WHEN failures = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({tests})"
+        ),
+        "dq_contract_report": _q(_marts(), contract),
+        "dq_status_totals": _q(_marts(), f"""
+            SELECT count(*) AS checks, count(*) FILTER (WHERE status = 'PASS') AS pass,
+                   count(*) FILTER (WHERE status = 'WARN') AS warn, count(*) FILTER (WHERE status = 'FAIL') AS fail
+            FROM ({contract})"""),
+        "dq_null_profile": _q(f"{RAW_LOGS},{DELIVERY},{REVIEWS},{products}", profile),
+        "dq_duplicates": _q(_NAMED, copies),
+    }
+
+
 def all_queries() -> dict[str, str]:
-    return flows()
+    return {**flows(), **model_calls(), **quality()}
