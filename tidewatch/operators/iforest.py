@@ -8,7 +8,7 @@ number of trees and the rows per tree, not by the data.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -210,11 +210,11 @@ def _forest(nodes: DataFrame, features, means, scales, sample_size: int) -> Fore
 # ---- score ----------------------------------------------------------------
 
 
-def path_lengths(forest: Forest, rows: np.ndarray) -> np.ndarray:
-    """Mean path length of each row over the trees."""
-    trees, inner = forest.feature.shape
-    feature, threshold, path = (a.ravel() for a in (forest.feature, forest.threshold, forest.path))
-    scaled = (rows - np.asarray(forest.means)) / np.asarray(forest.scales)
+def path_lengths(model: Mapping, rows: np.ndarray) -> np.ndarray:
+    """Mean path length of each row over the trees of a model, given as its fields."""
+    trees, inner = model["feature"].shape
+    feature, threshold, path = (model[name].ravel() for name in ("feature", "threshold", "path"))
+    scaled = (rows - np.asarray(model["means"])) / np.asarray(model["scales"])
     out = np.empty(len(rows))
     first_inner = np.arange(trees) * inner
     first_leaf = np.arange(trees) * path.size // trees
@@ -222,7 +222,7 @@ def path_lengths(forest: Forest, rows: np.ndarray) -> np.ndarray:
         part = scaled[start : start + _SCORING_ROWS]
         line = np.arange(len(part))[:, None]
         slot = np.zeros((len(part), trees), dtype="int64")
-        for _ in range(forest.depth):
+        for _ in range(model["depth"]):
             at = slot + first_inner
             right = part[line, feature[at]] > threshold[at]
             slot = 2 * slot + 1 + right
@@ -235,7 +235,7 @@ def score_column(spark: SparkSession, forest: Forest) -> Column:
 
     Only the feature columns travel to Python; the rest of the row stays.
     """
-    shared = spark.sparkContext.broadcast(forest)
+    shared = spark.sparkContext.broadcast(vars(forest))
     norm = float(mean_path(forest.sample_size)) or 1.0
 
     @F.pandas_udf("double")
