@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 # Text columns hold quotes and line breaks, so a record may span lines and a
 # quote inside a field is doubled.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
+# An empty field is NULL but a quoted empty one is a text of no characters: the
+# reader tells them apart if its own mark for NULL is not the empty text.
+READ_OPTIONS = {**CSV_OPTIONS, "nullValue": "\0"}
 
 
 def read_csv(
@@ -20,7 +23,7 @@ def read_csv(
     another order. ``line_breaks`` is for free text only: a file read that way
     cannot be split between tasks. Bytes that are not UTF-8 become U+FFFD.
     """
-    reader = spark.read.options(**CSV_OPTIONS, multiLine=str(line_breaks).lower())
+    reader = spark.read.options(**READ_OPTIONS, multiLine=str(line_breaks).lower())
     declared = {f.name: f for f in schema.fields}
     header = header_of(spark, path)
     missing = [name for name in declared if name not in header]
@@ -32,12 +35,12 @@ def read_csv(
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     """Read a CSV file with inferred types; for checks of exports only."""
-    return spark.read.options(**CSV_OPTIONS, multiLine="true", inferSchema="true").csv(path)
+    return spark.read.options(**READ_OPTIONS, multiLine="true", inferSchema="true").csv(path)
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
     """Column names of a CSV file, without reading its rows."""
-    return spark.read.options(**CSV_OPTIONS).csv(path).columns
+    return spark.read.options(**READ_OPTIONS).csv(path).columns
 
 
 def write_csv(df: DataFrame, path: str, *, single_file: bool = False) -> None:
