@@ -137,8 +137,8 @@ delivery AS (
   FROM measured)"""
 # The last bit of a logarithm differs between math libraries.
 LOG = "round(log_exec_time, 9)"
-# Days hold one decimal; a decimal mean is exact where a floating sum may fall off a tie.
-MEAN_DAYS = "avg(CAST({} AS DECIMAL(12,1)))"
+# Days hold one decimal, so a mean of whole tenths is exact where a floating sum may fall off a tie.
+MEAN_DAYS = "CAST(sum(CAST(round({} * 10) AS BIGINT)) AS DOUBLE) / (count(*) * 10)"
 
 _LABELS = " ".join(
     f"WHEN '{star}:{lang}' THEN {_lit(label)}"
@@ -242,8 +242,8 @@ def flows() -> dict[str, str]:
                count(*) FILTER (WHERE hour("timestamp") BETWEEN 18 AND 22) AS peak_hour_queries,
                count(*) FILTER (WHERE target_table = 'orders') AS orders_table_queries
         FROM clean GROUP BY risk_level"""
-    state_means = """
-      states AS (SELECT customer_state, count(*) AS orders, avg(CAST(delivery_days AS DECIMAL(12,1))) AS avg_days
+    state_means = f"""
+      states AS (SELECT customer_state, count(*) AS orders, {MEAN_DAYS.format("delivery_days")} AS avg_days
                  FROM delivery GROUP BY 1 HAVING count(*) >= 100)"""
     return {
         "logs_by_table": _q(RAW_LOGS, """
@@ -389,8 +389,9 @@ def flows() -> dict[str, str]:
                    pct_negative * 100 AS neg_pct, pct_negative * 100 > 20 AS is_red
             FROM stats ORDER BY pct_negative DESC, category LIMIT 15"""),
         "category_overall_avg": _q(STATS, """
-            SELECT count(*) AS categories, avg(CAST(avg_stars AS DECIMAL(9,2))) AS avg_stars,
-                   avg(CAST(pct_negative AS DECIMAL(9,3))) * 100 AS avg_negative_pct FROM stats"""),
+            SELECT count(*) AS categories, CAST(sum(CAST(round(avg_stars * 100) AS BIGINT)) AS DOUBLE) / (count(*) * 100) AS avg_stars,
+                   CAST(sum(CAST(round(pct_negative * 1000) AS BIGINT)) AS DOUBLE) / (count(*) * 1000) * 100
+                     AS avg_negative_pct FROM stats"""),
         "dim_category_sentiment": _q(CATEGORIES, f"""
             SELECT category, count(*) AS review_count, round(avg(star_rating), 2) AS avg_stars,
                    {pct.format("sentiment = 'Positive'", 1)} AS pct_positive,
