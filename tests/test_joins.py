@@ -2,7 +2,7 @@
 
 import pytest
 
-from tidewatch.operators import joins as J
+from tidewatch.operators import estimates, joins as J
 
 
 @pytest.fixture(scope="module")
@@ -54,7 +54,7 @@ def test_small_left_cuts_the_right_down(spark, tmp_path):
     spark.range(20000).selectExpr("id % 500 AS k", "id AS v").write.parquet(str(tmp_path / "r"))
     right = spark.read.parquet(str(tmp_path / "r"))
     left = spark.range(5).selectExpr("id * 100 + 3 AS k", "id AS lid")
-    joined = J.left_join(left, right, "k", small_side_bytes=J.plan_bytes(left))
+    joined = J.left_join(left, right, "k", small_side_bytes=estimates.plan_bytes(left))
     assert same(joined, left.join(right, "k", "left"))
 
 

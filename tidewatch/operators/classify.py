@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch import schemas as S
+from tidewatch.operators.estimates import spread
 from tidewatch.functions.text import INSTRUCTIONS, REQUEST, label_at, parse_reply, prompt_line
 
 BATCH = 10
@@ -23,8 +24,8 @@ Provider = Callable[[str, str], str]
 
 def stem_provider(instructions: str, request: str) -> str:
     """A stand-in for a model: labels each numbered review by word stems."""
-    body = request.removeprefix(REQUEST)
-    numbered = re.findall(r"^\[(\d+)\] (.*?)(?=^\[\d+\] |\Z)", body, re.MULTILINE | re.DOTALL)
+    _, *parts = re.split(r"^\[(\d+)\] ", request.removeprefix(REQUEST), flags=re.MULTILINE)
+    numbered = zip(parts[::2], parts[1::2])
     return json.dumps([{"id": int(i), "sentiment": _stem_label(text)} for i, text in numbered])
 
 
@@ -48,7 +49,8 @@ def classify(
     """Adds ``sentiment`` and ``is_error`` to every row.
 
     Rows are sent in batches as they lie in their partition, so nothing is
-    shuffled and only the text travels to Python. A batch whose call fails or
+    shuffled (unless a small file would keep all but one core idle) and only
+    the text travels to Python. A batch whose call fails or
     whose reply cannot be used is Neutral with ``is_error`` set. ``max_chars``
     cuts long texts for models with a small context; ``tasks`` caps the calls
     in flight. Store the result before using it twice, or the calls repeat.
@@ -62,7 +64,7 @@ def classify(
                 ignore_index=True,
             ) if len(texts) else pd.DataFrame({"position": [], "reply": []})
 
-    rows = df if tasks is None else df.coalesce(tasks)
+    rows = spread(df) if tasks is None else df.coalesce(tasks)
     asked = rows.withColumn("_asked", ask.asNondeterministic()(F.col(text)))
     parsed = asked.withColumn("_parsed", parse_reply(F.col("_asked.reply")))
     return labelled(parsed, "_parsed", "_asked.position").drop("_asked", "_parsed")

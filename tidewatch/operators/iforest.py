@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewatch.functions.hashing import hash_rank
+from tidewatch.operators.estimates import spread
 from tidewatch.operators.selection import exact_quantile, sample_exact
 from tidewatch.session import stage
 
@@ -28,7 +29,7 @@ CONTAMINATION = 0.05
 SEED = 42
 
 _NODES = "tree int, slot int, feature int, threshold double, path double"
-_SCORING_ROWS = 2048
+_SCORING_ROWS = 512
 
 
 @dataclass(frozen=True)
@@ -112,7 +113,9 @@ def fit(
         "tree", "place", *[((F.col(c) - m) / F.lit(s)).alias(c) for c, m, s in zip(features, means, scales)]
     )
     grow = _grower(list(features), _depth(sample_size), seed)
-    nodes = scaled.groupBy("tree").applyInPandas(grow, _NODES)
+    # A fixed number of partitions, or the few small rows would all land in one task.
+    tasks = min(n_trees, df.sparkSession.sparkContext.defaultParallelism)
+    nodes = scaled.repartition(tasks, "tree").groupBy("tree").applyInPandas(grow, _NODES)
     return _forest(nodes, features, means, scales, sample_size)
 
 
@@ -211,22 +214,30 @@ def _forest(nodes: DataFrame, features, means, scales, sample_size: int) -> Fore
 
 
 def path_lengths(model: Mapping, rows: np.ndarray) -> np.ndarray:
-    """Mean path length of each row over the trees of a model, given as its fields."""
+    """Mean path length of each row over the trees of a model, given as its fields.
+
+    All trees of a few hundred rows are walked together, one level at a time.
+    """
     trees, inner = model["feature"].shape
-    feature, threshold, path = (model[name].ravel() for name in ("feature", "threshold", "path"))
+    slots = 2 * inner + 1
+    feature = np.zeros((trees, slots), dtype="intp")
+    threshold, path = np.zeros((trees, slots)), np.zeros((trees, slots))
+    feature[:, :inner], threshold[:, :inner] = model["feature"], model["threshold"]
+    path[:, inner:] = model["path"]
+    feature, threshold, path = feature.ravel(), threshold.ravel(), path.ravel()
+    root = np.arange(trees) * slots
+
     scaled = (rows - np.asarray(model["means"])) / np.asarray(model["scales"])
+    width = scaled.shape[1]
     out = np.empty(len(rows))
-    first_inner = np.arange(trees) * inner
-    first_leaf = np.arange(trees) * path.size // trees
     for start in range(0, len(rows), _SCORING_ROWS):
-        part = scaled[start : start + _SCORING_ROWS]
-        line = np.arange(len(part))[:, None]
-        slot = np.zeros((len(part), trees), dtype="int64")
+        values = scaled[start : start + _SCORING_ROWS].ravel()
+        line = np.arange(0, len(values), width)[:, None]
+        at = np.tile(root, (len(line), 1))
         for _ in range(model["depth"]):
-            at = slot + first_inner
-            right = part[line, feature[at]] > threshold[at]
-            slot = 2 * slot + 1 + right
-        out[start : start + len(part)] = path[slot - inner + first_leaf].mean(axis=1)
+            right = values.take(feature.take(at) + line) > threshold.take(at)
+            at = 2 * at - root + 1 + right
+        out[start : start + len(line)] = path.take(at).mean(axis=1)
     return out
 
 
@@ -269,5 +280,5 @@ def flag_anomalies(
 def detect(df: DataFrame, features: Sequence[str], key: str, **fit_options) -> DataFrame:
     """Fit on a frame and flag its own rows."""
     forest = fit(df, features, key, **fit_options)
-    scored = stage(df.withColumn("raw_score", score_column(df.sparkSession, forest)), "scored")
+    scored = stage(spread(df).withColumn("raw_score", score_column(df.sparkSession, forest)), "scored")
     return flag_anomalies(scored, "raw_score")

@@ -5,24 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.operators.estimates import SMALL_SIDE_BYTES, is_row_local, is_small
 from tidewatch.session import stage
 
-SMALL_SIDE_BYTES = 10 * 1024 * 1024
 HOT_SHARE = 0.01
 SALTS = 32
 
-_ROW_LOCAL_NODES = {"Project", "Filter", "LogicalRelation", "LocalRelation"}
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a frame; no job runs."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
-
-
-def is_small(df: DataFrame, limit: int = SMALL_SIDE_BYTES) -> bool:
-    return plan_bytes(df) <= limit
-
 
 def left_join(
     left: DataFrame,
@@ -133,11 +121,4 @@ def _stable(df: DataFrame) -> DataFrame:
     Numbering rows is repeatable on files only: the order of rows that come
     out of a shuffle may differ when a task is run again.
     """
-    nodes = [df._jdf.queryExecution().optimizedPlan()]
-    while nodes:
-        node = nodes.pop()
-        if node.nodeName() not in _ROW_LOCAL_NODES:
-            return stage(df, "join-side")
-        children = node.children()
-        nodes.extend(children.apply(i) for i in range(children.size()))
-    return df
+    return df if is_row_local(df) else stage(df, "join-side")

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from tidewatch import schemas as S
 from tidewatch.functions import scalar as X
 from tidewatch.operators import iforest
+from tidewatch.operators.estimates import spread
 from tidewatch.operators.selection import exact_quantile
 from tidewatch.operators.spike_model import FEATURES
 from tidewatch.session import stage
@@ -247,5 +248,5 @@ def fit_forest(logs: DataFrame, key: str = "log_id", **options) -> tuple[iforest
     rows = features(logs)
     forest = iforest.fit(rows, FOREST_FEATURES, key, **options)
     score = iforest.score_column(logs.sparkSession, forest)
-    scored = stage(rows.select(score.alias("raw_score")), "forest-scores")
+    scored = stage(spread(rows).select(score.alias("raw_score")), "forest-scores")
     return forest, exact_quantile(scored, "raw_score", iforest.CONTAMINATION)

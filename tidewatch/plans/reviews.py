@@ -10,7 +10,8 @@ from tidewatch import schemas as S
 from tidewatch.functions import scalar as X
 from tidewatch.functions.text import truncate
 from tidewatch.operators import classify as C
-from tidewatch.operators.joins import is_small, left_join
+from tidewatch.operators.estimates import is_small
+from tidewatch.operators.joins import left_join
 from tidewatch.operators.selection import sample_exact
 from tidewatch.session import stage
 

@@ -63,3 +63,4 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
