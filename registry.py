@@ -13,7 +13,7 @@ from tidewatch.functions.text import normalise_label
 from tidewatch import schemas as S
 from tidewatch.operators import classify as C
 from tidewatch.operators import quality as Q
-from tidewatch.operators import selection, spike_model
+from tidewatch.operators import iforest, selection, spike_model
 from tidewatch.plans import column_tests, contracts, delivery, exports, logs, marts, reviews
 from tidewatch.session import fresh_path, stage
 from tidewatch.sources import adapters as A
@@ -29,7 +29,7 @@ def clean_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def delivery_table(spark: SparkSession, sf: str) -> DataFrame:
-    return delivery.enriched(A.orders(spark, sf), A.customers(spark, sf))
+    return delivery.enriched(A.orders(spark, sf), A.customers(spark, sf), A.DELIVERED)
 
 
 def labelled_reviews(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,6 +76,46 @@ def _split(rows: DataFrame) -> DataFrame:
     return selection.split_stratified(rows, "is_high_cpu", "log_id").select("log_id", "is_high_cpu", "is_test")
 
 
+def _training_counts(rows: DataFrame) -> DataFrame:
+    counts = spike_model.weighted_counts(rows, "log_id")
+    return counts.withColumn("weight", F.col("weight").cast("long"))
+
+
+def _split_balance(rows: DataFrame) -> DataFrame:
+    split = selection.split_stratified(rows, "is_high_cpu", "log_id")
+    return split.groupBy("is_test").agg(
+        F.count("*").alias("n"),
+        F.sum("is_high_cpu").alias("high_cpu"),
+        (F.sum("is_high_cpu").cast("double") / F.count("*")).alias("high_cpu_share"),
+    )
+
+
+def _tree_samples(spark: SparkSession, sf: str) -> DataFrame:
+    rows = A.raw_logs(spark, sf).select("log_id")
+    n = rows.count()
+    drawn = iforest.tree_samples(
+        rows, n, "log_id", iforest.N_TREES, min(iforest.ROWS_PER_TREE, n), iforest.SEED
+    )
+    return drawn.select("tree", "place", "log_id")
+
+
+def _scaled_features(spark: SparkSession, sf: str) -> DataFrame:
+    columns = logs.FOREST_FEATURES
+    rows = logs.features(A.raw_logs(spark, sf)).select("log_id", *[F.col(c).cast("double") for c in columns])
+    _, means, scales = iforest.moments(rows, columns)
+    scaled = iforest.standardised(rows, columns, means, scales)
+    # Plus zero, as a rounded value may be minus zero.
+    return scaled.select("log_id", *[(round_half_away(F.col(c), 6) + 0.0).alias(c) for c in columns])
+
+
+def _mart_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A mart exported as one CSV file and read back with its types."""
+    mart = marts.fct_delivery_by_state(marts.stg_delivery_orders(delivery_table(spark, sf)))
+    folder = fresh_path(spark, "mart-csv")
+    (path,) = exports.export_tables({"fct_delivery_by_state": mart}, folder)
+    return files.read_csv(spark, path, mart.schema)
+
+
 def _numbered_reviews(spark: SparkSession, sf: str) -> DataFrame:
     """Reviews with text in batches of ten neighbouring ids, numbered within each."""
     texts = reviews.with_text(labelled_reviews(spark, sf)).withColumn("id", F.col("review_id").cast("long"))
@@ -243,9 +283,17 @@ def queries() -> dict[str, Query]:
         "anomaly_share": on(clean_table, logs.anomaly_share),
         "fct_server_health": on(clean_table, lambda t: marts.fct_server_health(marts.stg_clean_logs(t))),
         "synthetic_logs": _synthetic,
+        "predictor_training_counts": on(predictor, _training_counts),
+        "split_class_balance": on(predictor, _split_balance),
+        "iforest_tree_samples": _tree_samples,
+        "iforest_scaled_features": _scaled_features,
+        "sample_indexed": on(
+            A.raw_logs,
+            lambda t: selection.indexed(selection.sample_exact(t, 500, "log_id"), "log_id"),
+        ),
         "sample_exact": on(A.raw_logs, lambda t: selection.sample_exact(t, 3000, "log_id")),
         "delivery_enriched": delivery_table,
-        "delivery_date_audit": on(A.orders, delivery.date_audit),
+        "delivery_date_audit": on(A.orders, lambda t: delivery.date_audit(t, A.DELIVERED)),
         "delivery_summary": on(delivery_table, delivery.summary),
         "delivery_state_avg": on(delivery_table, delivery.state_averages),
         "delivery_late_rate": on(delivery_table, delivery.late_rates),
@@ -273,6 +321,8 @@ def queries() -> dict[str, Query]:
         "review_requests": _requests,
         "provider_parse": _parsed_replies,
         "provider_classify": _classified,
+        "classification_audit": on(_parsed_replies, reviews.classification_audit),
+        "mart_csv_roundtrip": _mart_csv_roundtrip,
         "dq_column_tests": _column_tests,
         "dq_contract_report": _contract_report,
         "dq_status_totals": on(_contract_report, Q.totals),

@@ -97,21 +97,13 @@ def fit(
 ) -> Forest:
     """Fit a forest on a frame with a unique key."""
     data = df.select(key, *[F.col(c).cast("double").alias(c) for c in features])
-    moments = data.agg(
-        F.count("*").alias("n"),
-        *[F.avg(c).alias(f"mean_{c}") for c in features],
-        *[F.stddev_pop(c).alias(f"std_{c}") for c in features],
-    ).first()
-    if not moments.n:
+    n, means, scales = moments(data, features)
+    if not n:
         raise ValueError("cannot fit a forest on an empty frame")
-    means = [moments[f"mean_{c}"] for c in features]
-    scales = [moments[f"std_{c}"] or 1.0 for c in features]
-    sample_size = min(rows_per_tree, moments.n)
+    sample_size = min(rows_per_tree, n)
 
-    drawn = tree_samples(data, moments.n, key, n_trees, sample_size, seed)
-    scaled = drawn.select(
-        "tree", "place", *[((F.col(c) - m) / F.lit(s)).alias(c) for c, m, s in zip(features, means, scales)]
-    )
+    drawn = tree_samples(data, n, key, n_trees, sample_size, seed)
+    scaled = standardised(drawn, features, means, scales).select("tree", "place", *features)
     grow = _grower(list(features), _depth(sample_size), seed)
     # A fixed number of partitions, or the few small rows would all land in one task.
     tasks = min(n_trees, df.sparkSession.sparkContext.defaultParallelism)
@@ -119,6 +111,25 @@ def fit(
     return _forest(nodes, features, means, scales, sample_size)
 
 
+def moments(df: DataFrame, features: Sequence[str]) -> tuple[int, list[float], list[float]]:
+    """Rows, means and population standard deviations in one pass; a constant column scales by 1."""
+    row = df.agg(
+        F.count("*").alias("n"),
+        *[F.avg(c).alias(f"mean_{c}") for c in features],
+        *[F.stddev_pop(c).alias(f"std_{c}") for c in features],
+    ).first()
+    return row.n, [row[f"mean_{c}"] for c in features], [row[f"std_{c}"] or 1.0 for c in features]
+
+
+def standardised(
+    df: DataFrame, features: Sequence[str], means: Sequence[float], scales: Sequence[float]
+) -> DataFrame:
+    """Features with mean 0 and population variance 1."""
+    return df.withColumns(
+        {c: (F.col(c) - F.lit(m)) / F.lit(s) for c, m, s in zip(features, means, scales)}
+    )
+
+
 def tree_samples(
     df: DataFrame, n: int, key: str, n_trees: int, sample_size: int, seed: int
 ) -> DataFrame:

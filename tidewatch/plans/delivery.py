@@ -13,6 +13,7 @@ from tidewatch.operators.joins import left_join
 # same under any partitioning.
 TENTHS = 10.0
 
+DELIVERED = "delivered"
 DATES = {
     "purchased": "order_purchase_timestamp",
     "delivered": "order_delivered_customer_date",
@@ -25,10 +26,10 @@ HISTOGRAM_BINS = 60
 MIN_ORDERS_PER_STATE = 100
 
 
-def delivered_orders(orders: DataFrame) -> DataFrame:
+def delivered_orders(orders: DataFrame, status: str = DELIVERED) -> DataFrame:
     """Delivered orders with both dates present, dates parsed leniently."""
     kept = orders.filter(
-        (F.col("order_status") == "delivered")
+        (F.col("order_status") == status)
         & F.col("order_delivered_customer_date").isNotNull()
         & F.col("order_estimated_delivery_date").isNotNull()
     )
@@ -36,13 +37,13 @@ def delivered_orders(orders: DataFrame) -> DataFrame:
     return kept.select("order_id", "customer_id", *parsed)
 
 
-def enriched(orders: DataFrame, customers: DataFrame) -> DataFrame:
+def enriched(orders: DataFrame, customers: DataFrame, status: str = DELIVERED) -> DataFrame:
     """The delivery table.
 
     Dates shrink to two numbers and a month before the join, so only narrow
     rows are moved if customers are too many to broadcast.
     """
-    timed = delivered_orders(orders).dropna(subset=list(DATES))
+    timed = delivered_orders(orders, status).dropna(subset=list(DATES))
     measured = timed.select(
         "order_id",
         "customer_id",
@@ -73,10 +74,10 @@ def enriched(orders: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def date_audit(orders: DataFrame) -> DataFrame:
+def date_audit(orders: DataFrame, status: str = DELIVERED) -> DataFrame:
     """Dates that did not parse, and the rows lost to them (Q20)."""
     unread = [F.col(name).isNull() for name in DATES]
-    return delivered_orders(orders).agg(
+    return delivered_orders(orders, status).agg(
         F.count("*").alias("delivered_orders"),
         *[F.count_if(F.col(name).isNull()).alias(f"null_{name}") for name in DATES],
         F.count_if(unread[0] | unread[1] | unread[2]).alias("dropped"),

@@ -25,7 +25,7 @@ LABEL_CHARS = {"rating": 30, "complaint": 35}
 
 
 def with_text(reviews: DataFrame) -> DataFrame:
-    return reviews.dropna(subset=["review_comment_message"])
+    return reviews.filter(F.col("review_comment_message").isNotNull())
 
 
 def classified_reviews(
@@ -46,6 +46,16 @@ def classified_reviews(
     return stage(C.classify(chosen, provider, **options), "classified")
 
 
+def classification_audit(classified: DataFrame) -> DataFrame:
+    """Rows, rows of failed batches, invalid labels and usable rows (Q20)."""
+    return classified.agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("is_error")).alias("errors"),
+        F.count_if(~F.col("sentiment").isin(S.SENTIMENTS)).alias("invalid_labels"),
+        F.count_if(~F.col("is_error")).alias("usable"),
+    )
+
+
 def sentiment_table(classified: DataFrame) -> DataFrame:
     """The rows that were really classified, in table order."""
     return C.accepted(classified).select(S.SENTIMENT.fieldNames())
