@@ -24,19 +24,25 @@ def left_join(
     """Left join on one key, fan-out kept.
 
     A right side whose estimated size stays under ``small_side_bytes`` is
-    broadcast, which needs no shuffle and so cannot be skewed. Beyond that
-    both sides are shuffled by the key, with hot keys spread over ``salts``
-    tasks; if only the left side is small, the right one is first cut down to
-    the keys that occur on the left.
+    broadcast, which needs no shuffle and so cannot be skewed. If only the
+    keys of the left side are that small, the right side is first cut down to
+    them. Beyond that both sides are shuffled by the key, with hot keys spread
+    over ``salts`` tasks.
     """
+    if not is_small(right, small_side_bytes):
+        right = matching(right, left.select(key), key, small_side_bytes)
     if is_small(right, small_side_bytes):
         return left.join(F.broadcast(right), key, "left")
-    if is_small(left, small_side_bytes):
-        wanted = left.select(key).distinct()
-        right = right.join(F.broadcast(wanted), key, "left_semi")
     return salted_left_join(left, right, key, hot_share=hot_share, salts=salts)
 
 
+def matching(df: DataFrame, keys: DataFrame, key: str, small_side_bytes: int = SMALL_SIDE_BYTES) -> DataFrame:
+    """The rows whose key occurs in ``keys``, stored, if the keys can be broadcast; else all rows."""
+    if not is_small(keys, small_side_bytes):
+        return df
+    return stage(df.join(F.broadcast(keys.distinct()), key, "left_semi"), "matching")
+
+
 def salted_left_join(
     left: DataFrame,
     right: DataFrame,

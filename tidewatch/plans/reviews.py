@@ -11,7 +11,7 @@ from tidewatch.functions import scalar as X
 from tidewatch.functions.text import truncate
 from tidewatch.operators import classify as C
 from tidewatch.operators.estimates import is_small
-from tidewatch.operators.joins import left_join
+from tidewatch.operators.joins import left_join, matching
 from tidewatch.operators.selection import sample_exact
 from tidewatch.session import stage
 
@@ -102,9 +102,10 @@ def category_sentiment(
 ) -> DataFrame:
     """One row per review and order item, with the product category.
 
-    A review of several items counts once for each. Where items are too many
-    to broadcast, their categories are looked up on the narrow item rows first
-    and stored, so the review texts are moved once.
+    A review of several items counts once for each. Items are first cut down
+    to the orders that were reviewed, if those are few. Where they are still
+    too many to broadcast, their categories are looked up on the narrow item
+    rows and stored, so the review texts are moved once.
     """
     reviews = sentiment.select(
         "review_id",
@@ -114,6 +115,8 @@ def category_sentiment(
         "review_comment_message",
     )
     lines = items.select("order_id", "product_id")
+    if not is_small(lines):
+        lines = matching(lines, reviews.select("order_id"), "order_id")
     if is_small(lines):
         joined = _categories(left_join(reviews, lines, "order_id"), products, translation)
     else:

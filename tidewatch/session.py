@@ -23,6 +23,7 @@ def local_session(cores: int | str = 8, name: str = "tidewatch", **extra: str) -
         **SETTINGS,
         "spark.sql.shuffle.partitions": str(cores),
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "16g",
         **extra,
     }
