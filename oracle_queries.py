@@ -7,6 +7,7 @@ the Spark code but the fixed values.
 from __future__ import annotations
 
 from tidewatch import schemas as S
+from tidewatch.functions.hashing import PRIME, coefficients
 from tidewatch.operators.quality import ACCEPTED, NOT_NULL, UNIQUE, ColumnTest
 from tidewatch.plans.column_tests import ALL_TESTS
 from tidewatch.sources import adapters as A
@@ -189,23 +190,28 @@ stats AS (
   WHERE category <> 'Unknown'
     AND review_count >= (SELECT greatest(3, least(20, count(*) // 100)) FROM categories))"""
 
-# Draws of the generated log: four 32-bit words of an MD5 digest per block.
-_NAMES = ["second", "tab", "type", "base", "fault", "fault_factor", "evening_factor", "jitter", "cpu"]
-_DRAWS = ", ".join(
-    f"CAST('0x' || substr(md5('42:{i // 4}:' || event_id), {8 * (i % 4) + 1}, 8) AS BIGINT) AS {name}"
-    for i, name in enumerate(_NAMES)
-)
+def _draw(seed: int, stream: str, key: str) -> str:
+    """Horner's rule modulo 2^31 - 1 over a key of up to 62 bits."""
+    factor, acc, *rest = coefficients(seed, stream)
+    x = f"((({key} >> 31) % {PRIME} * {factor} + ({key} & {PRIME})) % {PRIME})"
+    for c in rest:
+        acc = f"(({acc} * {x} + {c}) % {PRIME})"
+    return acc
+
+
+_NAMES = ["second", "table", "type", "base", "fault", "fault_factor", "evening_factor", "jitter", "cpu"]
+_DRAWS = ", ".join(f"{_draw(42, name, 'event_id')} AS {'tab' if name == 'table' else name}" for name in _NAMES)
 SYNTHETIC = f"""
 drawn AS (SELECT event_id AS log_id, {_DRAWS} FROM events),
 rows_ AS (
-  SELECT log_id, TIMESTAMP '2024-01-01' + to_seconds((second * 2592000) >> 32) AS ts,
-         [{_list(S.TARGET_TABLES)}][((tab * 5) >> 32) + 1] AS target_table,
-         [{_list(S.QUERY_TYPES)}][((type * 4) >> 32) + 1] AS query_type,
-         ((base * 251) >> 32) + 50 AS base, fault / 4294967296::DOUBLE < 0.15::DOUBLE AS fault,
-         ((fault_factor * 31) >> 32) + 5 AS fault_factor,
-         1.5::DOUBLE + evening_factor / 4294967296::DOUBLE * 0.4::DOUBLE AS evening_factor,
-         ((jitter * 71) >> 32) - 20 AS jitter,
-         -5::DOUBLE + cpu / 4294967296::DOUBLE * 20::DOUBLE AS cpu_noise
+  SELECT log_id, TIMESTAMP '2024-01-01' + to_seconds((second * 2592000) >> 31) AS ts,
+         [{_list(S.TARGET_TABLES)}][((tab * 5) >> 31) + 1] AS target_table,
+         [{_list(S.QUERY_TYPES)}][((type * 4) >> 31) + 1] AS query_type,
+         ((base * 251) >> 31) + 50 AS base, fault / 2147483648::DOUBLE < 0.15::DOUBLE AS fault,
+         ((fault_factor * 31) >> 31) + 5 AS fault_factor,
+         1.5::DOUBLE + evening_factor / 2147483648::DOUBLE * 0.4::DOUBLE AS evening_factor,
+         ((jitter * 71) >> 31) - 20 AS jitter,
+         -5::DOUBLE + cpu / 2147483648::DOUBLE * 20::DOUBLE AS cpu_noise
   FROM drawn),
 timed_rows AS (
   SELECT *, CAST(greatest(10, CASE WHEN target_table = 'orders' AND fault THEN base * fault_factor
@@ -220,7 +226,7 @@ synthetic AS (
 
 
 def _rank(key: str) -> str:
-    return f"CAST('0x' || substr(md5('42:rank:' || {key}), 1, 13) AS BIGINT)"
+    return _draw(42, "rank", key)
 
 
 _SPLIT = f"""
@@ -326,8 +332,7 @@ def flows() -> dict[str, str]:
                      QUALIFY row_number() OVER (ORDER BY {_rank("event_id")}, event_id) <= (SELECT 200 * psi FROM sizes)),
             offered AS (SELECT log_id, round, psi, per_round,
                                row_number() OVER (PARTITION BY round ORDER BY
-                                 CAST('0x' || substr(md5('43:rank:' || round || ':' || log_id), 1, 13) AS BIGINT),
-                                 log_id) - 1 AS spot
+                                 {_draw(42, "order", "(log_id + round * 1000003000019)")}, log_id) - 1 AS spot
                         FROM pool, plan, unnest(range(0, CAST(ceil(200 / per_round) AS BIGINT))) AS r(round))""", """
             SELECT CAST(round * per_round + spot // psi AS INTEGER) AS tree, CAST(spot % psi AS INTEGER) AS place, log_id
             FROM offered WHERE spot < per_round * psi AND round * per_round + spot // psi < 200"""),

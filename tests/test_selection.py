@@ -1,17 +1,19 @@
 """Samples, splits and quantiles against brute force."""
 
-import hashlib
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidewatch.functions.hashing import PRIME, coefficients, draw, pick
 from tidewatch.operators import selection as X
 
 
 def rank(key, seed=42):
-    return int(hashlib.md5(f"{seed}:rank:{key}".encode()).hexdigest()[:13], 16)
+    factor, *powers = coefficients(seed, "rank")
+    x = ((key >> 31) % PRIME * factor + key % 2**31) % PRIME
+    return sum(c * x**i for i, c in enumerate(reversed(powers))) % PRIME
 
 
 @pytest.fixture(scope="module")
@@ -66,3 +68,23 @@ def test_quantile_equals_numpy(spark, q):
 
 def test_quantile_of_nothing(spark):
     assert X.exact_quantile(spark.createDataFrame([(None,)], "v double"), "v", 0.5) is None
+
+
+def test_draws_are_uniform_and_independent(spark):
+    keys = spark.range(100_000).union(spark.range(2**40, 2**40 + 100_000))
+    drawn = keys.select(pick(draw(1, "a", F.col("id")), 10).alias("a"), pick(draw(1, "b", F.col("id")), 10).alias("b"))
+    cells = drawn.groupBy("a", "b").count().collect()
+    assert len(cells) == 100 and all(1800 < c["count"] < 2200 for c in cells)
+
+
+def test_draws_of_large_keys(spark):
+    keys = [0, 5, 2**31 - 1, 2**31, 2**31 + 5, 2**40 + 123, 2**62 - 1]
+    df = spark.createDataFrame([(k,) for k in keys], "id long")
+    found = {r.id: r.r for r in df.select("id", draw(42, "rank", F.col("id")).alias("r")).collect()}
+    assert found == {k: rank(k) for k in keys}
+
+
+def test_text_keys(spark):
+    rows = spark.range(3000).select(F.concat(F.lit("r"), "id").alias("k"))
+    a, b = X.sample_exact(rows.repartition(5), 700, "k"), X.sample_exact(rows, 700, "k")
+    assert a.count() == 700 and a.exceptAll(b).isEmpty()

@@ -1,37 +1,56 @@
-"""Deterministic pseudo-random draws that do not depend on partitioning."""
+"""Deterministic pseudo-random draws that do not depend on partitioning.
 
-from __future__ import annotations
+A draw is a polynomial of the row's key modulo the prime 2^31 - 1, with
+coefficients from (seed, stream). Degree four makes any five rows independent,
+and whole-number arithmetic stays in generated code: far cheaper per row than
+a digest of the key as text.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
-RANK_BITS = 52
+import random
+from functools import reduce
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-def _digest(seed: int, stream: str, *keys: Column) -> Column:
-    parts = [F.lit(f"{seed}:{stream}"), *[k.cast("string") for k in keys]]
-    return F.md5(F.concat_ws(":", *parts).cast("binary"))
+PRIME = 2**31 - 1
+BITS = 31
+DEGREE = 4
 
 
-def hash_rank(seed: int, *keys: Column) -> Column:
-    """A 52-bit number that orders rows at random but reproducibly."""
-    return F.conv(F.substring(_digest(seed, "rank", *keys), 1, 13), 16, 10).cast("long")
+def coefficients(seed: int, stream: str) -> list[int]:
+    """The factor of a key's high bits, then the polynomial, highest power first."""
+    source = random.Random(f"{seed}:{stream}")
+    return [source.randrange(1, PRIME) for _ in range(DEGREE + 2)]
 
 
-def draws(seed: int, key: Column, names: list[str]) -> dict[str, Column]:
-    """Independent 32-bit draws per row, four from each digest."""
-    out = {}
-    for i, name in enumerate(names):
-        word = F.substring(_digest(seed, str(i // 4), key), 8 * (i % 4) + 1, 8)
-        out[name] = F.conv(word, 16, 10).cast("long")
-    return out
+def draw(seed: int, stream: str, key: Column) -> Column:
+    """A uniform whole number in [0, 2^31 - 1) from a whole-number key."""
+    high_factor, first, *rest = coefficients(seed, stream)
+    high = F.shiftrightunsigned(key, BITS) % PRIME
+    x = (high * high_factor + key.bitwiseAND(F.lit(PRIME).cast("long"))) % PRIME
+    return reduce(lambda acc, c: (acc * x + c) % PRIME, rest, F.lit(first).cast("long") % PRIME)
 
 
-def pick(draw: Column, n: int) -> Column:
+def pick(drawn: Column, n: int) -> Column:
     """Uniform whole number in [0, n)."""
-    return F.shiftright(draw * n, 32)
+    return F.shiftright(drawn * n, BITS)
 
 
-def unit(draw: Column) -> Column:
+def unit(drawn: Column) -> Column:
     """Uniform double in [0, 1)."""
-    return draw / F.lit(2.0**32)
+    return drawn / F.lit(2.0**BITS)
+
+
+def whole_key(df: DataFrame, key: str) -> Column:
+    """A key column as a whole number; other types by their 64-bit hash."""
+    if isinstance(df.schema[key].dataType, T.IntegralType):
+        return F.col(key).cast("long")
+    return F.xxhash64(key)
+
+
+def hash_rank(df: DataFrame, key: str, seed: int) -> Column:
+    """A number that orders rows at random but reproducibly; ties are for the key to break."""
+    return draw(seed, "rank", whole_key(df, key))

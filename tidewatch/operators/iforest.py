@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewatch.functions.hashing import hash_rank
+from tidewatch.functions.hashing import draw, whole_key
 from tidewatch.operators.estimates import spread
 from tidewatch.operators.selection import exact_quantile, sample_exact
 from tidewatch.session import stage
@@ -30,6 +30,7 @@ SEED = 42
 
 _NODES = "tree int, slot int, feature int, threshold double, path double"
 _SCORING_ROWS = 512
+_ROUND_STEP = 1_000_003_000_019
 
 
 @dataclass(frozen=True)
@@ -145,7 +146,9 @@ def tree_samples(
     trees_per_round = max(1, min(n, wanted) // sample_size)
     rounds = math.ceil(n_trees / trees_per_round)
     offered = pool.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
-    order = Window.partitionBy("round").orderBy(hash_rank(seed + 1, F.col("round"), F.col(key)), key)
+    # Each order draws from keys moved far apart, so that the orders differ.
+    shuffled = draw(seed, "order", whole_key(offered, key) + F.col("round").cast("long") * _ROUND_STEP)
+    order = Window.partitionBy("round").orderBy(shuffled, key)
     placed = offered.withColumn("at", F.row_number().over(order) - 1)
     return (
         placed.filter(F.col("at") < trees_per_round * sample_size)

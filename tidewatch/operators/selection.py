@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewatch.functions.hashing import RANK_BITS, hash_rank
+from tidewatch.functions.hashing import BITS, hash_rank
 from tidewatch.functions.scalar import round_half_away
 
 _BUCKET_BITS = 16
@@ -25,8 +25,8 @@ def rank_cuts(
     rows per hash range, 65,536 of them in each group, shows the range that
     holds the cut; only that range's rows are then put in order.
     """
-    ranked = df.select(group, key, hash_rank(seed, F.col(key)).alias("_rank"))
-    ranked = ranked.withColumn("_range", F.shiftright("_rank", RANK_BITS - _BUCKET_BITS))
+    ranked = df.select(group, key, hash_rank(df, key, seed).alias("_rank"))
+    ranked = ranked.withColumn("_range", F.shiftright("_rank", BITS - _BUCKET_BITS))
     counts = ranked.groupBy(group, "_range").agg(F.count("*").alias("_n"))
 
     per_group = Window.partitionBy(group)
@@ -51,7 +51,7 @@ def rank_cuts(
 
 def _with_cut(df: DataFrame, cuts: DataFrame, key: str, seed: int, group: str) -> DataFrame:
     # One row per group: the strata of a class label, or a single one.
-    position = F.struct(hash_rank(seed, F.col(key)).alias("_rank"), F.col(key))
+    position = F.struct(hash_rank(df, key, seed).alias("_rank"), F.col(key))
     return df.join(F.broadcast(cuts), group, "left").withColumn(
         "_chosen", F.coalesce(position <= F.col("_cut"), F.lit(False))
     )
@@ -69,7 +69,7 @@ def indexed(sample: DataFrame, key: str, seed: int = 42, name: str = "row_idx")
 
     For samples of a chosen size: the numbering passes through one task.
     """
-    order = Window.partitionBy(F.lit(0)).orderBy(hash_rank(seed, F.col(key)), key)
+    order = Window.partitionBy(F.lit(0)).orderBy(hash_rank(sample, key, seed), key)
     return sample.withColumn(name, (F.row_number().over(order) - 1).cast("long"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch import schemas as S
-from tidewatch.functions.hashing import draws, pick, unit
+from tidewatch.functions.hashing import draw, pick, unit
 from tidewatch.functions.scalar import round_half_away
 
 # Fixed values of the generator.
@@ -23,9 +23,9 @@ CPU_BASE, CPU_PER_200_MS, CPU_MAX = 40, 30, 98
 CPU_NOISE = (-5.0, 15.0)
 
 
-def _between(draw: Column, bounds: tuple[int, int]) -> Column:
+def _between(drawn: Column, bounds: tuple[int, int]) -> Column:
     low, high = bounds
-    return pick(draw, high - low + 1) + low
+    return pick(drawn, high - low + 1) + low
 
 
 def logs_for(ids: DataFrame, id_column: str, seed: int = 42) -> DataFrame:
@@ -38,7 +38,7 @@ def logs_for(ids: DataFrame, id_column: str, seed: int = 42) -> DataFrame:
         "second", "table", "type", "base", "fault", "fault_factor", "evening_factor", "jitter", "cpu",
     ]
     drawn = ids.select(F.col(id_column).cast("long").alias("log_id"))
-    drawn = drawn.select("log_id", *[c.alias(n) for n, c in draws(seed, F.col("log_id"), names).items()])
+    drawn = drawn.select("log_id", *[draw(seed, n, F.col("log_id")).alias(n) for n in names])
 
     start = F.unix_timestamp(F.lit(START).cast("timestamp"))
     rows = drawn.select(
