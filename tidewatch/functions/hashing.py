@@ -45,10 +45,10 @@ def unit(drawn: Column) -> Column:
 
 
 def whole_key(df: DataFrame, key: str) -> Column:
-    """A key column as a whole number; other types by their 64-bit hash."""
+    """A key column as a whole number; other types by 62 bits of their hash."""
     if isinstance(df.schema[key].dataType, T.IntegralType):
         return F.col(key).cast("long")
-    return F.xxhash64(key)
+    return F.shiftrightunsigned(F.xxhash64(key), 2)
 
 
 def hash_rank(df: DataFrame, key: str, seed: int) -> Column:

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tidewatch.operators.estimates import SMALL_SIDE_BYTES, is_row_local, is_small
 from tidewatch.session import stage
 
-HOT_SHARE = 0.01
-SALTS = 32
+# Bounds of the share of rows that makes a key hot.
+_LEAST_HOT, _MOST_HOT = 0.0001, 0.01
 
 
 def left_join(
@@ -18,16 +18,16 @@ def left_join(
     key: str,
     *,
     small_side_bytes: int = SMALL_SIDE_BYTES,
-    hot_share: float = HOT_SHARE,
-    salts: int = SALTS,
+    hot_share: float | None = None,
+    salts: int | None = None,
 ) -> DataFrame:
     """Left join on one key, fan-out kept.
 
     A right side whose estimated size stays under ``small_side_bytes`` is
     broadcast, which needs no shuffle and so cannot be skewed. If only the
     keys of the left side are that small, the right side is first cut down to
-    them. Beyond that both sides are shuffled by the key, with hot keys spread
-    over ``salts`` tasks.
+    them. Beyond that both sides are shuffled by the key, with the rows of hot
+    keys spread over ``salts`` groups.
     """
     if not is_small(right, small_side_bytes):
         right = matching(right, left.select(key), key, small_side_bytes)
@@ -48,8 +48,8 @@ def salted_left_join(
     right: DataFrame,
     key: str,
     *,
-    hot_share: float = HOT_SHARE,
-    salts: int = SALTS,
+    hot_share: float | None = None,
+    salts: int | None = None,
 ) -> DataFrame:
     """Shuffled left join in which no task gets all rows of a hot key.
 
@@ -57,68 +57,62 @@ def salted_left_join(
     and the other side repeats its rows of that key once per salt, so a pair
     meets at exactly one combination of salts. Left rows that were repeated
     are known to have a partner, so their copies without one are dropped;
-    left rows without a key are scattered too, as they meet nobody.
+    left rows without a key are scattered too, as they meet nobody. By
+    default a key is hot if it would fill a shuffle partition on its own
+    (within 0.01% and 1% of the rows), and there are as many salts as
+    partitions.
 
     Rows are scattered by their position in the input files, which copies of
     a row do not share and a retried task finds again.
     """
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = salts or partitions
+    hot_share = hot_share or min(max(1 / partitions, _LEAST_HOT), _MOST_HOT)
     left, right = _stable(left), _stable(right.filter(F.col(key).isNotNull()))
-    hot = _hot_on_either_side(left, right, key, hot_share)
+    hot_left, hot_right = (F.col(key).isin(hot_keys(df, key, hot_share)) for df in (left, right))
+    hot_left, hot_right = (F.coalesce(hot, F.lit(False)) for hot in (hot_left, hot_right))
     others = [c for c in right.columns if c != key]
 
-    salted_left = _with_hot(left, hot, key).select(
+    # Rows are numbered before they are repeated, so that copies share a number.
+    numbered_left, numbered_right = (
+        df.withColumn("_position", F.monotonically_increasing_id()) for df in (left, right)
+    )
+    salted_left = numbered_left.select(
         *left.columns,
-        "_hot_right",
-        _scatter(F.col("_hot_left") | F.col(key).isNull(), salts).alias("_salt_left"),
-        F.explode(_repeat("_hot_right", salts)).alias("_salt_right"),
+        hot_right.alias("_repeated"),
+        _scatter(hot_left | F.col(key).isNull(), salts).alias("_salt_left"),
+        F.explode(_repeat(hot_right, salts)).alias("_salt_right"),
     )
-    salted_right = _with_hot(right, hot, key).select(
+    salted_right = numbered_right.select(
         key,
         *others,
         F.lit(True).alias("_found"),
-        _scatter(F.col("_hot_right"), salts).alias("_salt_right"),
-        F.explode(_repeat("_hot_left", salts)).alias("_salt_left"),
+        _scatter(hot_right, salts).alias("_salt_right"),
+        F.explode(_repeat(hot_left, salts)).alias("_salt_left"),
     )
     joined = salted_left.join(salted_right, [key, "_salt_left", "_salt_right"], "left")
-    kept = joined.filter(F.col("_found").isNotNull() | ~F.col("_hot_right"))
+    kept = joined.filter(F.col("_found").isNotNull() | ~F.col("_repeated"))
     return kept.select(key, *[c for c in left.columns if c != key], *others)
 
 
-def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
-    """Every key that holds at least ``share`` of the rows, and perhaps some more.
+def hot_keys(df: DataFrame, key: str, share: float) -> list:
+    """The keys that hold at least ``share`` of the rows with a key: ``1/share`` at most.
 
-    One pass with at most ``1/share`` counters per task, so the result has at
-    most that many rows whatever the data.
+    A first pass with ``1/share`` counters per task names every such key and
+    perhaps some others; a second one counts the named keys.
     """
-    found = df.filter(F.col(key).isNotNull()).stat.freqItems([key], share)
-    return found.select(F.explode(F.col(f"{key}_freqItems")).alias(key)).distinct()
-
-
-def _hot_on_either_side(left: DataFrame, right: DataFrame, key: str, share: float) -> DataFrame:
-    # A key that is hot on the left but absent on the right repeats nothing there, and
-    # a key that is hot on the right exists there by construction.
-    on_left = hot_keys(left, key, share).select(key, F.lit(True).alias("l"), F.lit(False).alias("r"))
-    on_right = hot_keys(right, key, share).select(key, F.lit(False).alias("l"), F.lit(True).alias("r"))
-    return (
-        on_left.unionByName(on_right)
-        .groupBy(key)
-        .agg(F.bool_or("l").alias("_hot_left"), F.bool_or("r").alias("_hot_right"))
-    )
-
-
-def _with_hot(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    # Broadcast of at most 2/share keys, see hot_keys.
-    # Rows are numbered before they are repeated, so that copies share a number.
-    numbered = df.withColumn("_position", F.monotonically_increasing_id())
-    return numbered.join(F.broadcast(hot), key, "left").fillna(False, ["_hot_left", "_hot_right"])
+    keys = df.select(key).filter(F.col(key).isNotNull())
+    named = keys.stat.freqItems([key], share).first()[0] or []
+    counts = keys.filter(F.col(key).isin(list(named))).groupBy(key).count()
+    return [r[key] for r in counts.filter(F.col("count") >= share * keys.count()).collect()]
 
 
 def _scatter(condition: Column, salts: int) -> Column:
     return F.when(condition, F.pmod("_position", F.lit(salts)).cast("int")).otherwise(0)
 
 
-def _repeat(hot: str, salts: int) -> Column:
-    return F.when(F.col(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+def _repeat(hot: Column, salts: int) -> Column:
+    return F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
 
 
 def _stable(df: DataFrame) -> DataFrame:
