@@ -417,9 +417,9 @@ def flows() -> dict[str, str]:
             FROM (SELECT count(*) AS joined_rows, count(*) FILTER (WHERE category = 'Unknown') AS unknown_rows
                   FROM categories)"""),
         "category_stats": _q(STATS, "SELECT * FROM stats"),
-        "category_top5": _q(STATS, "SELECT * FROM stats ORDER BY avg_stars DESC, category LIMIT 5"),
-        "category_top10": _q(STATS, "SELECT * FROM stats ORDER BY avg_stars DESC, category LIMIT 10"),
-        "category_bottom10": _q(STATS, "SELECT * FROM stats ORDER BY avg_stars, category DESC LIMIT 10"),
+        "category_top5": _q(STATS, "SELECT *, left(category, 30) AS label FROM stats ORDER BY avg_stars DESC, category LIMIT 5"),
+        "category_top10": _q(STATS, "SELECT *, left(category, 30) AS label FROM stats ORDER BY avg_stars DESC, category LIMIT 10"),
+        "category_bottom10": _q(STATS, "SELECT *, left(category, 30) AS label FROM stats ORDER BY avg_stars, category DESC LIMIT 10"),
         "category_most_complained": _q(STATS, """
             SELECT category, left(category, 35) AS label, review_count, avg_stars, pct_negative,
                    pct_negative * 100 AS neg_pct, pct_negative * 100 > 20 AS is_red

@@ -34,12 +34,14 @@ def skips_the_first(instructions, request):
 
 
 def counts_per_request(instructions, request):
-    return json.dumps([{"id": i, "sentiment": "Positive" if len(ids_in(request)) <= 10 else "Negative"} for i in ids_in(request)])
+    label = "Positive" if len(ids_in(request)) <= 10 else "Negative"
+    return json.dumps([{"id": i, "sentiment": label} for i in ids_in(request)])
 
 
 def tells_length(instructions, request):
     lines = request.removeprefix(REQUEST).split("\n")
-    return json.dumps([{"id": i, "sentiment": "Positive" if len(line) > 304 else "Negative"} for i, line in enumerate(lines)])
+    labels = ["Positive" if len(line) > 304 else "Negative" for line in lines]
+    return json.dumps([{"id": i, "sentiment": label} for i, label in enumerate(labels)])
 
 
 @pytest.fixture
@@ -81,6 +83,19 @@ def test_whole_texts_are_sent_unless_cut(spark):
     assert C.classify(long, tells_length, max_chars=300).first().sentiment == "Negative"
 
 
+def no_text(instructions, request):
+    return {"id": 0}
+
+
+def test_a_reply_that_is_no_text_is_a_failed_call(texts):
+    assert C.classify(texts, no_text).filter("NOT is_error").isEmpty()
+
+
+def test_a_missing_text_fails_its_batch(spark):
+    df = spark.createDataFrame([(0, None), (1, "bom")], "id long, review_comment_message string").coalesce(1)
+    assert [r.is_error for r in C.classify(df, always_positive).collect()] == [True, True]
+
+
 def test_empty_input(spark):
     empty = spark.createDataFrame([], "id long, review_comment_message string")
     assert C.classify(empty, always_positive).collect() == []

@@ -7,6 +7,7 @@ import pytest
 from tidewatch import schemas as S
 from tidewatch.operators import joins
 from tidewatch.plans import delivery, logs, marts, reviews
+from tidewatch.sources import adapters as A
 from tidewatch.sources.synthetic import synthetic_logs
 
 
@@ -196,3 +197,25 @@ def test_log_features(spark):
 def test_summary_of_an_empty_log(spark):
     row = logs.summary(spark.createDataFrame([], S.RAW_LOGS)).first()
     assert (row.total, row.timeouts, row.timeout_share, row.orders_slowdown) == (0, 0, None, None)
+
+
+def test_marts_do_not_depend_on_partitions(spark):
+    sf = "/root/testdata/sf0.01"
+    table = delivery.enriched(A.orders(spark, sf), A.customers(spark, sf), A.DELIVERED)
+    raw = A.raw_logs(spark, sf)
+    for build in (
+        lambda n: marts.fct_delivery_by_state(marts.stg_delivery_orders(table.repartition(n))),
+        lambda n: delivery.summary(table.repartition(n)),
+        lambda n: logs.box_stats(raw.repartition(n)),
+        lambda n: logs.summary(raw.repartition(n)),
+    ):
+        assert build(1).collect() == build(7).collect()
+
+
+def test_chart_labels_are_cut(spark):
+    rows = [("c" * 50, 5, 4.0, 0.5, 0.25, 0.25)]
+    stats = spark.createDataFrame(rows, S.CATEGORY_STATS)
+    assert len(reviews.best_rated(stats).first().label) == 30
+    assert len(reviews.worst_rated(stats).first().label) == 30
+    row = reviews.most_complained(stats).first()
+    assert len(row.label) == 35 and (row.neg_pct, row.is_red) == (25.0, True)

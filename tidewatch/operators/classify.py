@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch import schemas as S
-from tidewatch.operators.estimates import spread
 from tidewatch.functions.text import INSTRUCTIONS, REQUEST, label_at, parse_reply, prompt_line
+from tidewatch.operators.estimates import spread
 
 BATCH = 10
 
@@ -71,11 +71,13 @@ def classify(
 
 
 def _ask_one(provider: Provider, texts: pd.Series, max_chars: int | None) -> pd.DataFrame:
-    lines = [f"[{i}] {t[:max_chars]}" for i, t in enumerate(texts)]
     try:
+        lines = [f"[{i}] {t[:max_chars]}" for i, t in enumerate(texts)]
         reply = provider(INSTRUCTIONS, REQUEST + "\n".join(lines))
     except Exception:  # a failed call is data: its rows are marked, the job goes on
         reply = None
+    if not isinstance(reply, str):
+        reply = None
     return pd.DataFrame({"position": range(len(texts)), "reply": [reply] * len(texts)})
 
 

@@ -172,12 +172,17 @@ def category_stats(categories: DataFrame) -> DataFrame:
 
 
 def best_rated(stats: DataFrame, k: int = 5) -> DataFrame:
-    return stats.orderBy(F.desc("avg_stars"), "category").limit(k)
+    """The first k categories by rating, with a chart label."""
+    return _rating_label(stats.orderBy(F.desc("avg_stars"), "category").limit(k))
 
 
 def worst_rated(stats: DataFrame, k: int = 10) -> DataFrame:
     """The last k categories by rating, the worst first (O3)."""
-    return stats.orderBy("avg_stars", F.desc("category")).limit(k)
+    return _rating_label(stats.orderBy("avg_stars", F.desc("category")).limit(k))
+
+
+def _rating_label(stats: DataFrame) -> DataFrame:
+    return stats.withColumn("label", truncate(F.col("category"), LABEL_CHARS["rating"]))
 
 
 def most_complained(stats: DataFrame, k: int = 15) -> DataFrame:
