@@ -80,6 +80,21 @@ def test_exports_have_their_columns(spark, settings, run):
     assert files.header_of(spark, f"{settings.export_folder}/category_stats.csv") == S.CATEGORY_STATS.fieldNames()
 
 
+@pytest.mark.parametrize(
+    ("file", "table", "schema"),
+    [
+        ("processed_logs.csv", "clean_logs", S.CLEAN_LOGS),
+        ("delivery_analysis.csv", "delivery", S.DELIVERY),
+        ("enriched_customer_sentiment.csv", "sentiment", S.SENTIMENT),
+        ("category_sentiment.csv", "category_sentiment", S.CATEGORY_SENTIMENT),
+    ],
+)
+def test_exports_hold_the_tables(spark, settings, run, file, table, schema):
+    stored = spark.table(f"flows.{table}")
+    again = files.read_csv(spark, f"{settings.export_folder}/{file}", schema, line_breaks=True)
+    assert again.exceptAll(stored).isEmpty() and stored.exceptAll(again).isEmpty()
+
+
 def test_log_reports(run):
     assert run.log_reports["summary"].first().total == 2000
     assert run.log_reports["hourly_ms"].count() == 24

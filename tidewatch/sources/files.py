@@ -6,9 +6,17 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidewatch import schemas as S
+
 # Text columns hold quotes and line breaks, so a record may span lines and a
 # quote inside a field is doubled.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "encoding": "UTF-8",
+    "timestampFormat": S.TIMESTAMP_FORMAT,
+}
 # An empty field is NULL but a quoted empty one is a text of no characters: the
 # reader tells them apart if its own mark for NULL is not the empty text.
 READ_OPTIONS = {**CSV_OPTIONS, "nullValue": "\0"}
@@ -73,8 +81,9 @@ def create_database(spark: SparkSession, name: str) -> None:
 
 
 def table_names(spark: SparkSession, database: str | None = None) -> list[str]:
-    """Names of the tables and views of a database."""
-    return sorted(t.name for t in spark.catalog.listTables(database))
+    """Names of the tables and views of a database; of the session's own views too if none is named."""
+    listed = spark.catalog.listTables(database)
+    return sorted(t.name for t in listed if not (database and t.isTemporary))
 
 
 def require_table(spark: SparkSession, name: str, made_by: str) -> DataFrame:
