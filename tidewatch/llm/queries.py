@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import line_dedup, minhash, packing, suffix_dedup, toxicity
+from tidewatch.llm import inverted_multi_index, line_dedup, minhash, packing, pieces, spotsigs, suffix_dedup, token_counts, toxicity
 from tidewatch.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,9 +19,13 @@ def _on_documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
 QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": _on_documents(minhash.minhash_dedup),
     "op2_suffix_dedup": _on_documents(suffix_dedup.suffix_dedup),
+    "op3_pieces": _on_documents(pieces.encoded),
+    "op4_neighbours": lambda spark, sf: inverted_multi_index.neighbours(table(spark, sf, "embeddings")),
     "op5_packing": _on_documents(packing.packed),
+    "op7_spotsigs": _on_documents(spotsigs.fingerprints),
     "op8_toxicity": lambda spark, sf: toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op9_line_dedup": _on_documents(line_dedup.line_dedup),
+    "op10_token_counts": _on_documents(token_counts.token_counts),
 }
 
 SQL: dict[str, str] = {
