@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import inverted_multi_index, line_dedup, minhash, packing, pieces, spotsigs, suffix_dedup, token_counts, toxicity
+from tidewatch.llm import inverted_multi_index, line_dedup, lm_scoring, minhash, packing, pieces, spotsigs, suffix_dedup, token_counts, toxicity
 from tidewatch.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,7 @@ QUERIES: dict[str, Query] = {
     "op3_pieces": _on_documents(pieces.encoded),
     "op4_neighbours": lambda spark, sf: inverted_multi_index.neighbours(table(spark, sf, "embeddings")),
     "op5_packing": _on_documents(packing.packed),
+    "op6_lm_scoring": _on_documents(lm_scoring.scored),
     "op7_spotsigs": _on_documents(spotsigs.fingerprints),
     "op8_toxicity": lambda spark, sf: toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op9_line_dedup": _on_documents(line_dedup.line_dedup),

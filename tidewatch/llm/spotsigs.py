@@ -1,6 +1,7 @@
 """Document fingerprints by spot signatures: chains of content words that follow common words.
 
-A spot is a common word, or anything without a letter or digit between blanks; the two content words after it, common
+A spot is a common word, the start of a line, or anything without a letter or digit between blanks; the two content
+words after it, common
 words skipped, are its signature. A fingerprint is the set of a text's signatures, as sorted 32-bit hashes. Their
 likeness is the Jaccard similarity of the sets. Documents that are alike have sets of like size, so a search compares
 only neighbouring partitions of set sizes, and within them only documents that share one of their rarest signatures.
@@ -43,7 +44,7 @@ MOST_RANGES = 16_384
 
 def signatures(text: Column) -> Column:
     """Sorted distinct 32-bit hashes of the signatures of a text."""
-    low = F.lower(text)
+    low = F.concat(F.lit(f"{SPOT} "), F.regexp_replace(F.lower(text), "\n", f"\n{SPOT} "))
     bare = F.regexp_replace(low, r"[^\p{L}\p{N}\s]+", SPOT)  # signs become spots, if nothing else stands with them
     words = F.split(F.trim(F.regexp_replace(bare, r"[\s\u0085 ]+", " ")), " ")
 
