@@ -1,12 +1,15 @@
 """Near duplicates by HyperMinHash: compressed min-wise registers, banding, corrected estimates, exact confirmation.
 
 A register keeps, of the least hash in its bucket, the number of leading zeros and ten mantissa bits: 16 bits in all.
-Bands of six registers propose links. Agreeing registers, less the agreements that compression alone would give,
-estimate the Jaccard similarity; what the estimate cannot rule out is confirmed on the full shingle sets.
+Bands of ten registers propose links; at the threshold a pair meets in one of the 48 bands with probability 0.99997 at
+85 % and 0.996 at 80 % if registers agreed independently. Agreeing registers, less the agreements that compression
+alone would give, estimate the Jaccard similarity; what the estimate cannot rule out is confirmed on the full sets.
 
-Equal sets are one class first, so copies never meet pair by pair. Within a band's group every class is linked with
-the group's first class; a second search then proposes only pairs that those links leave in different components, so a
-group of n near copies costs about n links, and no link between different components is lost.
+Equal sets are one class first, so copies never meet pair by pair. Within a band's group every class is tried with the
+group's first class. Then only pairs that confirmed links leave in different components are tried: all of them in
+groups of up to ``SMALL_GROUP`` classes, and in larger groups every class with one other member per band, drawn anew in
+each round, until a round confirms nothing. A group of n near copies so costs a multiple of n pairs, not n^2. A class
+whose links lie in large groups only, and which all its draws missed, stays apart; the README has the measured share.
 
 Edge cases: a text without words (null and empty ones too) has the empty set, is linked with nothing and stays; fewer
 words than a shingle make one shingle of all of them; rows without an id are linked with nothing and stay; rows that
@@ -28,8 +31,10 @@ from tidewatch.llm.common import mix64
 from tidewatch.llm.components import components
 from tidewatch.session import stage
 
-BANDS, ROWS = 32, 6
-REGISTERS = BANDS * ROWS
+REGISTERS = 192
+BANDS, ROWS = 48, 10
+PICKS = np.array([np.random.default_rng(band).permutation(REGISTERS)[:ROWS] for band in range(BANDS)])
+SMALL_GROUP = 32
 MANTISSA = 10
 EXPECTED_AGREEMENT = 0.169919487159739093975  # fixed value of the sketch's published collision estimate
 MARGIN = 4.5  # standard deviations that an estimate may lie under the threshold before its pair is ruled out
@@ -87,7 +92,7 @@ def registers(shingles: np.ndarray) -> np.ndarray:
 
 def band_keys(sketch: np.ndarray) -> list[int]:
     """One 64-bit key per band that has a register."""
-    bands = sketch.reshape(BANDS, ROWS).astype(np.uint64)
+    bands = sketch.astype(np.uint64)[PICKS]
     keys = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for i in range(ROWS):
         keys = mix64(keys * np.uint64(0xD6E8FEB86659FD93) + bands[:, i])
@@ -175,27 +180,43 @@ class NearDuplicates:
         """(a, b): confirmed links between classes, enough of them to span every component."""
         bands = self.sketch.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
         groups = bands.groupBy("band").agg(F.count("*").alias("size"), F.min(F.struct("id", "n")).alias("first")).where("size > 1")
-        met = stage(bands.join(groups, "band").select("band", "id", "n", "first"), "band-members")
-        star = (
-            met.where((F.col("id") != F.col("first.id")) & _sizes_allow(self.rule.percent, "n", "first.n"))
-            .select(F.col("first.id").alias("a"), F.col("id").alias("b")).distinct()
-        )
-        tried = stage(star, "pairs")
-        found = self._confirm(tried)
-        labels = components(found)
-        part = F.coalesce("component", "id")
-        split = met.join(labels.withColumnRenamed("node", "id"), "id", "left").select("band", "id", "n", part.alias("part"))
-        open_bands = split.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
-        open_rows = stage(split.join(open_bands.select("band"), "band"), "open-bands")
-        left = open_rows.select("band", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("part_a"))
-        right = open_rows.select("band", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("part_b"))
-        across = (
-            left.join(right, "band")
-            .where((F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & _sizes_allow(self.rule.percent, "n_a", "n_b"))
-            .select("a", "b").distinct()
-        )
-        fresh = stage(across.join(tried, ["a", "b"], "left_anti"), "pairs")
-        return found.union(self._confirm(fresh))
+        met = stage(bands.join(groups, "band").select("band", "id", "n", "size", "first"), "band-members")
+        # One plan at every size: the texts that can take part are cut out of all texts once, by a shuffle of both.
+        members = met.select(F.col("id").alias("doc_id")).distinct().hint("shuffle_merge")
+        self.texts = stage(self.documents.join(members, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+        star = met.where(F.col("id") != F.col("first.id")).select(
+            F.col("first.id").alias("a"), F.col("id").alias("b"), F.col("first.n").alias("n_a"), F.col("n").alias("n_b")
+        )
+        tried = stage(self._sized(star), "pairs")
+        found, turn = self._confirm(tried), 0
+        while True:
+            turn += 1
+            labels = components(found)
+            part = F.coalesce("component", "id")
+            split = met.join(labels.withColumnRenamed("node", "id"), "id", "left").select("band", "id", "n", "size", part.alias("part"))
+            drawn = F.min(F.struct(F.xxhash64("id", "band", F.lit(turn)), "id", "n", "part")).alias("drawn")
+            parted = split.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"), drawn).where("low <> high")
+            open_rows = stage(split.join(parted.select("band", "drawn"), "band"), "open-bands")
+            apart = F.col("drawn.part") != F.col("part")
+            tries = open_rows.where((F.col("size") > SMALL_GROUP) & apart).select(
+                F.col("drawn.id").alias("a"), F.col("id").alias("b"), F.col("drawn.n").alias("n_a"), F.col("n").alias("n_b")
+            )
+            if turn == 1:
+                small = open_rows.where(F.col("size") <= SMALL_GROUP)
+                left = small.select("band", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("part_a"))
+                right = small.select("band", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("part_b"))
+                across = left.join(right, "band").where((F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")))
+                tries = tries.union(across.select("a", "b", "n_a", "n_b"))
+            fresh = stage(self._sized(tries).join(tried, ["a", "b"], "left_anti"), "pairs")
+            more = self._confirm(fresh)
+            if more.isEmpty():
+                return found
+            found, tried = found.union(more), tried.union(fresh)
+
+    def _sized(self, pairs: DataFrame) -> DataFrame:
+        """Distinct pairs, the smaller id first, that set sizes allow."""
+        allowed = pairs.where(_sizes_allow(self.rule.percent, "n_a", "n_b"))
+        return allowed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def _confirm(self, pairs: DataFrame) -> DataFrame:
         """The pairs that the estimate lets pass and the full sets confirm."""
@@ -203,8 +224,7 @@ class NearDuplicates:
         one = sketch.select(F.col("id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("sketch_a"))
         two = sketch.select(F.col("id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("sketch_b"))
         likely = stage(pairs.join(one, "a").join(two, "b").mapInPandas(_plausible(self.rule.percent), "a long, b long"), "likely")
-        needed = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
-        texts = stage(self.documents.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+        texts = self.texts
         with_b = likely.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
         both = with_b.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
         return stage(both.select("a", "b", "text_a", "text_b").mapInPandas(_confirmed(self.rule), "a long, b long"), "links-found")
