@@ -15,20 +15,23 @@ an empty table gives no pieces; other columns are not read.
 from __future__ import annotations
 
 import heapq
+import json
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 WINDOW = 1024
 END = 0
-BLOCK_DOCUMENTS = 1024
+BLOCK_DOCUMENTS = 256
 MEMO = 1_000_000  # chunks of text that a worker remembers
-_SEPARATOR = "\n"
+SPECIAL = b"<|endoftext|>"  # an entry that no merging makes; in a text it is ordinary text
 
 Piece = tuple[int, int, int]  # place of the document in its block, start, length
 
@@ -111,20 +114,22 @@ def pack(lengths: list[int], capacity: int = WINDOW) -> list[list[Piece]]:
 class Tokens:
     """Byte-level BPE ids of whole texts, as little-endian unsigned 32-bit numbers.
 
-    The vocabulary's pattern never joins a character that is no white space with a space after it, so a text falls
-    into chunks at such spaces, and equal chunks have equal ids wherever they stand. Each distinct chunk goes to the
-    tokenizer once per worker while there is room; unusual white space keeps its surroundings in one chunk.
+    The vocabulary file is the ``tokenizers`` library's; the tests hold these ids against that library's. Merging runs in
+    a faster library over the same entries. The vocabulary's pattern never joins a character that is no white space with a space after it, so a text falls
+    into chunks at such spaces, and equal chunks have equal ids wherever they stand. Each distinct chunk is merged once per worker while there is room; unusual white space keeps its surroundings in one chunk.
     """
 
     def __init__(self, path: str):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.newline = self.tokenizer.encode(_SEPARATOR, add_special_tokens=False).ids
+        with open(path, encoding="utf-8") as file:
+            entries = json.load(file)["model"]["vocab"]
+        # The file spells a byte as itself where it prints, and the others, in order, as characters from 256 on.
+        prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in prints]
+        byte_of = {chr(b): b for b in prints} | {chr(256 + i): b for i, b in enumerate(others)}
+        ranks = {bytes(byte_of[c] for c in entry): i for entry, i in entries.items() if all(c in byte_of for c in entry)}
+        ranks = {entry: i for entry, i in ranks.items() if entry != SPECIAL}
+        # Ids rise in the order of the merges, so ranks are ids; the merging itself is the same for all chunks.
+        self.merge = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.memo: dict[str, bytes] = {}
 
     @staticmethod
@@ -145,17 +150,11 @@ class Tokens:
         fresh = {c for chunks in texts for c in chunks}
         if len(self.memo) + len(fresh) > MEMO:
             self.memo.clear()
-        fresh = [c for c in fresh if c not in self.memo]
-        plain = [c for c in fresh if c[:1] == " " and not c[-1].isspace() and _SEPARATOR not in c]
-        for i in range(0, len(plain), 2000):
-            part = plain[i : i + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([_SEPARATOR.join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
-            cuts = np.flatnonzero(ids == self.newline[0])
-            for chunk, own in zip(part, np.split(ids, cuts), strict=True):
-                self.memo[chunk] = (own[1:] if own[:1] == self.newline[0] else own).tobytes()
-        rest = [c for c in fresh if c not in self.memo]
-        for chunk, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self.memo[chunk] = np.array(found.ids, dtype="<u4").tobytes()
+        memo, merge = self.memo, self.merge
+        for chunk in fresh:
+            if chunk not in memo:
+                ids = merge(chunk)
+                memo[chunk] = struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         chunked = [self.chunks(t) if t else [] for t in texts]

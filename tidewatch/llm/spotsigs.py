@@ -42,24 +42,25 @@ ROWS_PER_RANGE = 4096
 MOST_RANGES = 16_384
 
 
-def signatures(text: Column) -> Column:
-    """Sorted distinct 32-bit hashes of the signatures of a text."""
-    low = F.concat(F.lit(f"{SPOT} "), F.regexp_replace(F.lower(text), "\n", f"\n{SPOT} "))
-    bare = F.regexp_replace(low, r"[^\p{L}\p{N}\s]+", SPOT)  # signs become spots, if nothing else stands with them
-    words = F.split(F.trim(F.regexp_replace(bare, r"[\s\u0085 ]+", " ")), " ")
-
-    def mark(word: Column) -> Column:
-        plain = F.regexp_replace(word, SPOT, "")
-        return F.when((plain == "") | plain.isin(COMMON), SPOT).otherwise(plain)
+def with_signatures(rows: DataFrame, text: str, name: str) -> DataFrame:
+    """The rows with a column of sorted distinct 32-bit hashes of the signatures of a text.
 
-    marked = F.array_join(F.transform(words, mark), " ")
+    Every step that is used twice is a column of its own, so that it is computed once per row.
+    """
+    low = F.concat(F.lit(f"{SPOT} "), F.regexp_replace(F.lower(text), "\n", f"\n{SPOT} "))
+    bare = F.regexp_replace(low, rf"[^\p{{L}}\p{{N}}\s{SPOT}]+", SPOT)
+    spaced = F.trim(F.regexp_replace(bare, r"[\s\u0085 ]+", " "))
+    # Signs inside or beside a word go; between blanks they are spots.
+    words = F.split(F.regexp_replace(spaced, f"(?<=[^ {SPOT}]){SPOT}+|{SPOT}+(?=[^ {SPOT}])", ""), " ")
+    marked = F.array_join(F.transform(words, lambda w: F.when(w.isin(COMMON), SPOT).otherwise(w)), " ")
     # A spot now stands before the content word that follows it, or, at the end of the text, alone.
-    joined = F.regexp_replace(marked, f"(?:{SPOT} )+", SPOT)
-    chains = F.regexp_extract_all(joined, F.lit(f"{SPOT}(?=([^ {SPOT}]+ {SPOT}?[^ {SPOT}]+))"), F.lit(1))
-    plain = F.regexp_replace(joined, SPOT, "")
-    whole = F.when(F.trim(plain) != "", F.array(F.trim(plain))).otherwise(F.array().cast("array<string>"))
-    found = F.when(F.size(chains) > 0, chains).otherwise(whole)
-    return F.array_sort(F.array_distinct(F.transform(found, lambda c: F.hash(F.translate(c, SPOT, "")))))
+    joined = F.regexp_replace(marked, f"(?:{SPOT}+ )+", SPOT)
+    chains = F.regexp_extract_all("_joined", F.lit(f"{SPOT}(?=([^ {SPOT}]+ {SPOT}?[^ {SPOT}]+))"), F.lit(1))
+    whole = F.trim(F.translate("_joined", SPOT, ""))
+    found = F.when(F.size("_chains") > 0, F.col("_chains")).when(F.col("_whole") != "", F.array("_whole"))
+    hashes = F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda c: F.hash(F.translate(c, SPOT, "")))
+    rows = rows.withColumn("_joined", joined).withColumn("_chains", chains).withColumn("_whole", F.when(F.size("_chains") == 0, whole))
+    return rows.withColumn(name, F.sort_array(F.array_distinct(hashes))).drop("_joined", "_chains", "_whole")
 
 
 def as_text(signature_set: Column) -> Column:
@@ -100,17 +101,19 @@ def _place(cuts: list[int]) -> Column:
 
 
 def with_next(documents: DataFrame) -> DataFrame:
-    """(doc_id, text, next_text): each row beside the row that follows it by id, the last beside the first.
+    """(doc_id, text, own, next_text, of_next): each row beside the row that follows it by id, the last beside the first.
 
     Rows are dealt to ranges of ids, so a text is shuffled once. The first row of each range is dealt to the range
     before it as well, where it only ends the order.
     """
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     cuts = _ranges(rows)
+    rows = with_signatures(rows, "text", "own")
     if not cuts:
         order = Window.orderBy("text")  # at most rows without an id
         last = Window.orderBy("text").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return rows.withColumn("next_text", F.coalesce(F.lead("text").over(order), F.first("text").over(last)))
+        beside = F.coalesce(F.lead(F.struct("text", "own")).over(order), F.first(F.struct("text", "own")).over(last))
+        return rows.withColumn("beside", beside).select("doc_id", "text", "own", F.col("beside.text").alias("next_text"), F.col("beside.own").alias("of_next"))
     here = _place(cuts)
     nulls = F.min(F.col("doc_id").isNull().cast("int") * -1)
     has_null = rows.agg(nulls).first()[0] == -1
@@ -119,9 +122,11 @@ def with_next(documents: DataFrame) -> DataFrame:
     first = opens if has_null else F.col("doc_id") == cuts[0]
     before = F.when(first, len(cuts) - 1).when(F.array_contains(edges, F.col("doc_id")), here - 1)
     copies = F.filter(F.array(F.struct(here.alias("range"), F.lit(0).alias("ends")), F.struct(before.cast("int").alias("range"), F.lit(1).alias("ends"))), lambda c: c["range"].isNotNull())
-    dealt = rows.select("*", F.explode(copies).alias("at")).select("doc_id", "text", "at.range", "at.ends")
+    dealt = rows.select("*", F.explode(copies).alias("at")).select("doc_id", "text", "own", "at.range", "at.ends")
+    dealt = dealt.repartition(len(cuts), "range")  # by rows, not by bytes: the work behind it is by words
     order = Window.partitionBy("range").orderBy("ends", F.col("doc_id").asc_nulls_first(), "text")
-    return dealt.withColumn("next_text", F.lead("text").over(order)).where("ends = 0").drop("range", "ends")
+    after = dealt.withColumn("next_text", F.lead("text").over(order)).withColumn("of_next", F.lead("own").over(order))
+    return after.where("ends = 0").drop("range", "ends")
 
 
 def fingerprints(documents: DataFrame) -> DataFrame:
@@ -129,10 +134,7 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     n = F.char_length("text").cast("long")
     pairs = with_next(documents).withColumn("n_chars", n)
     edited = F.concat(F.expr("substring(text, 1, int(n_chars - n_chars div 2))"), F.expr("substring(next_text, 1, int(n_chars div 2))"))
-    sets = pairs.withColumn("edited", edited).select(
-        "doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
-        signatures(F.col("text")).alias("own"), signatures(F.col("edited")).alias("of_edited"), signatures(F.col("next_text")).alias("of_next"),
-    )
+    sets = with_signatures(pairs.withColumn("edited", edited).withColumn("edited_sha256", F.sha2(F.encode("edited", "UTF-8"), 256)), "edited", "of_edited")
     return sets.select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"), as_text(F.col("of_edited")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("of_edited")).alias("near_edited"), likeness(F.col("own"), F.col("of_next")).alias("near_next"),
@@ -146,7 +148,8 @@ def near_duplicates(documents: DataFrame, least: float = 0.8) -> DataFrame:
     begin, so partners are in the same or the next one. Signatures are put in order of their frequency, and classes
     meet on the few rarest that any partner must share; a class is dropped from a meeting by size, before its set is read.
     """
-    own = documents.where(F.col("doc_id").isNotNull()).select("doc_id", signatures(F.coalesce("text", F.lit(""))).alias("set"))
+    texts = documents.where(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    own = with_signatures(texts, "text", "set").select("doc_id", "set")
     classes = own.where(F.size("set") > 0).groupBy("set").agg(F.min("doc_id").alias("id")).withColumn("n", F.size("set"))
     classes = stage(classes, "signature-classes")
     rows = classes.select("id", "n", F.explode("set").alias("signature"))
