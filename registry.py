@@ -64,10 +64,6 @@ def on(table: Query, report: Callable[[DataFrame], DataFrame]) -> Query:
 
 # ---- queries --------------------------------------------------------------
 
-# Boosting rounds of the registered predictor queries; a full job takes 300.
-QUERY_TREES = 20
-
-
 def _synthetic(spark: SparkSession, sf: str) -> DataFrame:
     return synthetic.logs_for(A.read(spark, sf, "events"), "event_id")
 
@@ -170,7 +166,7 @@ def _forest_logs(spark: SparkSession, sf: str) -> DataFrame:
 
 def _evaluation(spark: SparkSession, sf: str) -> spike_model.Evaluation:
     rows = logs.predictor_features(A.raw_logs(spark, sf))
-    return spike_model.train_and_evaluate(rows, "log_id", QUERY_TREES)
+    return spike_model.train_and_evaluate(rows, "log_id")
 
 
 def _tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
