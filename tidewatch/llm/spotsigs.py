@@ -54,7 +54,7 @@ def with_signatures(rows: DataFrame, text: str, name: str) -> DataFrame:
     words = F.split(F.regexp_replace(spaced, f"(?<=[^ {SPOT}]){SPOT}+|{SPOT}+(?=[^ {SPOT}])", ""), " ")
     marked = F.array_join(F.transform(words, lambda w: F.when(w.isin(COMMON), SPOT).otherwise(w)), " ")
     # A spot now stands before the content word that follows it, or, at the end of the text, alone.
-    joined = F.regexp_replace(marked, f"(?:{SPOT}+ )+", SPOT)
+    joined = F.regexp_replace(marked, f"{SPOT}[{SPOT} ]* ", SPOT)  # no group: a long run would nest too deep
     chains = F.regexp_extract_all("_joined", F.lit(f"{SPOT}(?=([^ {SPOT}]+ {SPOT}?[^ {SPOT}]+))"), F.lit(1))
     whole = F.trim(F.translate("_joined", SPOT, ""))
     found = F.when(F.size("_chains") > 0, F.col("_chains")).when(F.col("_whole") != "", F.array("_whole"))
