@@ -226,6 +226,12 @@ def test_fingerprints(documents, rows):
     assert found[9].fingerprint == found[-1].fingerprint
 
 
+def test_very_long_runs_of_common_words(spark):
+    texts = ["the " * 50_000 + "end of it", "a | " * 50_000, "k " * 100_000]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert len(spotsigs.fingerprints(table).collect()) == 3
+
+
 def test_similar_fingerprints_are_those_of_all_pairs(documents, spark):
     sets = {r.doc_id: frozenset(r["set"]) for r in spotsigs.with_signatures(documents.fillna("", ["text"]), "text", "set").collect()}
     first = {}
