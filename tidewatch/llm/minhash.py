@@ -5,10 +5,10 @@ Bands of ten registers propose links; at the threshold a pair meets in one of th
 85 % and 0.996 at 80 % if registers agreed independently. Agreeing registers, less the agreements that compression
 alone would give, estimate the Jaccard similarity; what the estimate cannot rule out is confirmed on the full sets.
 
-Equal sets are one class first, so copies never meet pair by pair. Within a band's group every class is tried with the
-group's first class. Then only pairs that confirmed links leave in different components are tried: all of them in
-groups of up to ``SMALL_GROUP`` classes, and in larger groups every class with one other member per band, drawn anew in
-each round, until a round confirms nothing. A group of n near copies so costs a multiple of n pairs, not n^2. A class
+Equal sets are one class first, so copies never meet pair by pair. Every class is first tried with one other: of the
+first classes of its bands' groups, the one it shares most bands with. Then only pairs that confirmed links leave in
+different components are tried: all of them in groups of up to ``SMALL_GROUP`` classes, and in larger groups every class
+with the group's first and with one other member per band, drawn anew in each round, until a round confirms nothing. A group of n near copies so costs a multiple of n pairs, not n^2. A class
 whose links lie in large groups only, and which all its draws missed, stays apart; the README has the measured share.
 
 Edge cases: a text without words (null and empty ones too) has the empty set, is linked with nothing and stays; fewer
@@ -161,6 +161,11 @@ def _sizes_allow(percent: int, n_a: str, n_b: str):
     return F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent
 
 
+def _pairs(rows: DataFrame, other: str) -> DataFrame:
+    """(a, b, n_a, n_b) of every row with the member of its group that ``other`` holds."""
+    return rows.select(F.col(f"{other}.id").alias("a"), F.col("id").alias("b"), F.col(f"{other}.n").alias("n_a"), F.col("n").alias("n_b"))
+
+
 class NearDuplicates:
     """Links and components of (doc_id, text) under a rule."""
 
@@ -184,24 +189,23 @@ class NearDuplicates:
         # One plan at every size: the texts that can take part are cut out of all texts once, by a shuffle of both.
         members = met.select(F.col("id").alias("doc_id")).distinct().hint("shuffle_merge")
         self.texts = stage(self.documents.join(members, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-        star = met.where(F.col("id") != F.col("first.id")).select(
-            F.col("first.id").alias("a"), F.col("id").alias("b"), F.col("first.n").alias("n_a"), F.col("n").alias("n_b")
-        )
-        tried = stage(self._sized(star), "pairs")
+        shared = met.where(F.col("id") != F.col("first.id")).groupBy("first", "id", "n").agg(F.count("*").alias("bands"))
+        best = shared.groupBy("id", "n").agg(F.max_by("first", F.struct("bands", -F.col("first.id"))).alias("first"))
+        tried = stage(self._sized(_pairs(best, "first")), "pairs")
         found, turn = self._confirm(tried), 0
         while True:
             turn += 1
             labels = components(found)
             part = F.coalesce("component", "id")
             split = met.join(labels.withColumnRenamed("node", "id"), "id", "left").select("band", "id", "n", "size", part.alias("part"))
+            first = F.min(F.struct("id", "n", "part")).alias("first")
             drawn = F.min(F.struct(F.xxhash64("id", "band", F.lit(turn)), "id", "n", "part")).alias("drawn")
-            parted = split.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"), drawn).where("low <> high")
-            open_rows = stage(split.join(parted.select("band", "drawn"), "band"), "open-bands")
-            apart = F.col("drawn.part") != F.col("part")
-            tries = open_rows.where((F.col("size") > SMALL_GROUP) & apart).select(
-                F.col("drawn.id").alias("a"), F.col("id").alias("b"), F.col("drawn.n").alias("n_a"), F.col("n").alias("n_b")
-            )
+            parted = split.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"), first, drawn).where("low <> high")
+            open_rows = stage(split.join(parted.select("band", "first", "drawn"), "band"), "open-bands")
+            large = open_rows.where(F.col("size") > SMALL_GROUP)
+            tries = _pairs(large.where(F.col("drawn.part") != F.col("part")), "drawn")
             if turn == 1:
+                tries = tries.union(_pairs(large.where(F.col("first.part") != F.col("part")), "first"))
                 small = open_rows.where(F.col("size") <= SMALL_GROUP)
                 left = small.select("band", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("part_a"))
                 right = small.select("band", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("part_b"))
