@@ -155,7 +155,7 @@ def _parsed_replies(spark: SparkSession, sf: str) -> DataFrame:
 def _classified(spark: SparkSession, sf: str) -> DataFrame:
     """All reviews through the stand-in model, label against word stems of the text."""
     labelled = C.classify(
-        reviews.with_text(A.reviews(spark, sf)).select(S.REVIEWS.fieldNames()), C.stem_provider
+        reviews.with_text(A.reviews(spark, sf)).select(S.REVIEWS.fieldNames()), C.stem_provider, key="review_id"
     )
     return labelled.select("review_id", "sentiment", "is_error")
 

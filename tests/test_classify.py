@@ -111,3 +111,22 @@ def test_requests_number_the_reviews_in_order(spark):
     rows = {r.batch: r for r in C.requests(df, "batch", "id", "text").collect()}
     assert rows[0].request == REQUEST + "[0] a\n[1] b" and rows[0].reviews == 2
     assert rows[1].request == REQUEST + "[0] c"
+
+
+def by_content(instructions, request):
+    label = "Positive" if len(request) % 2 else "Negative"
+    return json.dumps([{"id": i, "sentiment": label} for i in ids_in(request)])
+
+
+def test_batches_by_number_do_not_depend_on_partitions(spark):
+    rows = spark.range(203).select("id", F.expr("repeat('x', int(id * id % 37))").alias("review_comment_message"))
+    one, three, seven = (C.classify(rows.repartition(n), by_content, key="id") for n in (1, 3, 7))
+    assert one.count() == 203 and one.select("sentiment").distinct().count() == 2
+    assert one.exceptAll(three).isEmpty() and one.exceptAll(seven).isEmpty()
+
+
+def test_numbered_batches_hold_ten_and_fail_alone(spark):
+    rows = spark.range(25).select("id", F.expr("if(id = 12, 'poison', 'text')").alias("review_comment_message"))
+    assert C.classify(rows, counts_per_request, key="id").filter("sentiment != 'Positive'").isEmpty()
+    failed = C.classify(rows, fails_on_bad_batches, key="id").filter("is_error")
+    assert failed.count() in (5, 10) and failed.filter("id = 12").count() == 1

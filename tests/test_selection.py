@@ -88,3 +88,29 @@ def test_text_keys(spark):
     rows = spark.range(3000).select(F.concat(F.lit("r"), "id").alias("k"))
     a, b = X.sample_exact(rows.repartition(5), 700, "k"), X.sample_exact(rows, 700, "k")
     assert a.count() == 700 and a.exceptAll(b).isEmpty()
+
+
+def test_repeated_keys_give_exact_samples(spark):
+    rows = spark.range(1000).select((F.col("id") % 50).alias("k"), F.col("id").alias("v"))
+    for n in (7, 25, 40, 333):
+        drawn = X.sample_exact(rows.repartition(5), n, "k")
+        assert drawn.count() == n and drawn.exceptAll(X.sample_exact(rows, n, "k")).isEmpty()
+    copies = rows.select("k")
+    assert X.sample_exact(copies, 33, "k").count() == 33
+    split = X.split_stratified(rows.withColumn("y", F.col("k") % 2), "y", "k")
+    assert split.filter("is_test").count() == 200 and split.count() == 1000
+
+
+def test_numbers_are_gapless_over_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(X, "_RANGE_ROWS", 10)
+    rows = spark.range(2000).select((F.col("id") % 700).alias("k"), F.col("id").alias("v"))
+    found = X.indexed(rows, "k")
+    assert sorted(r.row_idx for r in found.collect()) == list(range(2000))
+    assert found.exceptAll(X.indexed(rows.repartition(7), "k")).isEmpty()
+    ranks = [(rank(r.k), r.k) for r in found.orderBy("row_idx").collect()]
+    assert ranks == sorted(ranks)
+
+
+def test_quantile_leaves_out_nan(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (float("nan"),), (None,)], "v double")
+    assert X.exact_quantile(df, "v", 0.5) == 2.0

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidewatch import schemas as S
 from tidewatch.functions.text import INSTRUCTIONS, REQUEST, label_at, parse_reply, prompt_line
 from tidewatch.operators.estimates import spread
+from tidewatch.operators.selection import indexed
 
 BATCH = 10
 
@@ -45,6 +46,7 @@ def classify(
     batch: int = BATCH,
     max_chars: int | None = None,
     tasks: int | None = None,
+    key: str | None = None,
 ) -> DataFrame:
     """Adds ``sentiment`` and ``is_error`` to every row.
 
@@ -54,7 +56,13 @@ def classify(
     whose reply cannot be used is Neutral with ``is_error`` set. ``max_chars``
     cuts long texts for models with a small context; ``tasks`` caps the calls
     in flight. Store the result before using it twice, or the calls repeat.
+
+    With ``key`` the rows are numbered in drawing order first and a batch is
+    ``batch`` neighbours in it, so labels do not depend on partitions; each
+    batch is asked and its reply parsed once.
     """
+    if key is not None:
+        return _classify_numbered(df, provider, text, batch, max_chars, tasks, key)
 
     @F.pandas_udf("position int, reply string")
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -70,6 +78,25 @@ def classify(
     return labelled(parsed, "_parsed", "_asked.position").drop("_asked", "_parsed")
 
 
+def _classify_numbered(
+    df: DataFrame, provider: Provider, text: str, batch: int, max_chars: int | None, tasks: int | None, key: str
+) -> DataFrame:
+    @F.pandas_udf("string")
+    def ask(batches: pd.Series) -> pd.Series:
+        return pd.Series([_ask_one(provider, pd.Series(texts), max_chars)["reply"].iloc[0] for texts in batches], dtype=object)
+
+    numbered = indexed(df, key, name="_at")
+    rows = F.array_sort(F.collect_list(F.struct("_at", F.struct(*df.columns).alias("_row"))))
+    # A batch holds ``batch`` rows at most, as numbers are unique and gapless.
+    batches = numbered.groupBy(F.floor(F.col("_at") / batch).alias("_batch")).agg(rows.alias("_rows"))
+    if tasks is not None:
+        batches = batches.coalesce(tasks)
+    asked = batches.withColumn("_reply", ask.asNondeterministic()(F.transform("_rows", lambda r: r["_row"][text])))
+    parsed = asked.withColumn("_parsed", parse_reply(F.col("_reply")))
+    placed = parsed.select("_parsed", F.posexplode("_rows").alias("_position", "_each"))
+    return labelled(placed.select("_parsed", "_position", "_each._row.*"), "_parsed", "_position").drop("_parsed", "_position")
+
+
 def _ask_one(provider: Provider, texts: pd.Series, max_chars: int | None) -> pd.DataFrame:
     try:
         lines = [f"[{i}] {t[:max_chars]}" for i, t in enumerate(texts)]

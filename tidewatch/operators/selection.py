@@ -14,6 +14,7 @@ from tidewatch.functions.scalar import round_half_away
 
 _BUCKET_BITS = 16
 _VALUE_BUCKETS = 4096
+_RANGE_ROWS = 100_000
 
 
 def rank_cuts(
@@ -21,9 +22,10 @@ def rank_cuts(
 ) -> DataFrame:
     """Per group, the last (rank, key) among the first ``quota(group size)`` rows.
 
-    Rows are ordered by a hash of their key, which must be unique. A count of
-    rows per hash range, 65,536 of them in each group, shows the range that
-    holds the cut; only that range's rows are then put in order.
+    Rows are ordered by a hash of their key; ``_ties`` says how many rows of
+    the cut's own key are among the first. A count of rows per hash range,
+    65,536 of them in each group, shows the range that holds the cut; only
+    that range's rows are then put in order.
     """
     ranked = df.select(group, key, hash_rank(df, key, seed).alias("_rank"))
     ranked = ranked.withColumn("_range", F.shiftright("_rank", BITS - _BUCKET_BITS))
@@ -44,17 +46,27 @@ def rank_cuts(
     return (
         ranked.join(F.broadcast(edges), [group, "_range"])
         .withColumn("_nth", F.row_number().over(in_order))
+        .withColumn("_ties", F.row_number().over(Window.partitionBy(group, "_rank", key).orderBy("_nth")))
         .filter(F.col("_nth") == F.col("_take"))
-        .select(group, F.struct(F.col("_rank"), F.col(key)).alias("_cut"))
+        .select(group, F.struct(F.col("_rank"), F.col(key)).alias("_cut"), "_ties")
     )
 
 
 def _with_cut(df: DataFrame, cuts: DataFrame, key: str, seed: int, group: str) -> DataFrame:
+    """The rows with the mark ``_chosen``.
+
+    Rows that share the cut's key are chosen by a hash of all their columns,
+    as many as the quota has room for; only these few pass a window.
+    """
+    content = [F.col(c) for c in df.columns if "map<" not in df.schema[c].dataType.simpleString()]
     # One row per group: the strata of a class label, or a single one.
     position = F.struct(hash_rank(df, key, seed).alias("_rank"), F.col(key))
-    return df.join(F.broadcast(cuts), group, "left").withColumn(
-        "_chosen", F.coalesce(position <= F.col("_cut"), F.lit(False))
-    )
+    placed = df.withColumn("_content", F.xxhash64(*content)).join(F.broadcast(cuts), group, "left")
+    at_cut = F.coalesce(position == F.col("_cut"), F.lit(False))
+    clear = placed.filter(~at_cut).withColumn("_chosen", F.coalesce(position < F.col("_cut"), F.lit(False)))
+    nth = F.row_number().over(Window.partitionBy(group, key).orderBy("_content"))
+    tied = placed.filter(at_cut).withColumn("_chosen", nth <= F.col("_ties"))
+    return clear.unionByName(tied)
 
 
 def sample_exact(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
@@ -64,13 +76,29 @@ def sample_exact(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     return _with_cut(whole, cuts, key, seed, "_all").filter("_chosen").select(df.columns)
 
 
-def indexed(sample: DataFrame, key: str, seed: int = 42, name: str = "row_idx") -> DataFrame:
-    """A drawn sample with its rows numbered from 0 in drawing order.
+def indexed(rows: DataFrame, key: str, seed: int = 42, name: str = "row_idx") -> DataFrame:
+    """The rows numbered from 0 in drawing order, whatever their partitions.
 
-    For samples of a chosen size: the numbering passes through one task.
+    Rows are counted per hash range; each range starts where the ones before
+    it end and is numbered by itself. Ranges hold about ``_RANGE_ROWS`` rows,
+    so their number follows the table. Their counts are summed over groups of
+    ranges first, so no window sees more than the root of that number. Rows
+    that share a key are ordered by a hash of all their columns.
     """
-    order = Window.partitionBy(F.lit(0)).orderBy(hash_rank(sample, key, seed), key)
-    return sample.withColumn(name, (F.row_number().over(order) - 1).cast("long"))
+    content = [F.col(c) for c in rows.columns if "map<" not in rows.schema[c].dataType.simpleString()]
+    bits = min(BITS, max(0, rows.count() // _RANGE_ROWS).bit_length())
+    ranked = rows.select("*", hash_rank(rows, key, seed).alias("_rank"), F.xxhash64(*content).alias("_content"))
+    ranked = ranked.withColumn("_range", F.shiftright("_rank", BITS - bits).cast("long"))
+    counts = ranked.groupBy("_range").agg(F.count("*").alias("_n"))
+    counts = counts.withColumn("_upper", F.shiftright("_range", bits // 2))
+    uppers = counts.groupBy("_upper").agg(F.sum("_n").alias("_upper_n"))
+    ahead = F.sum("_upper_n").over(Window.partitionBy(F.lit(0)).orderBy("_upper")) - F.col("_upper_n")
+    within = F.sum("_n").over(Window.partitionBy("_upper").orderBy("_range")) - F.col("_n")
+    starts = counts.withColumn("_within", within).join(uppers.select("_upper", ahead.alias("_ahead")), "_upper")
+    starts = starts.select("_range", (F.col("_ahead") + F.col("_within")).alias("_start"))
+    nth = F.row_number().over(Window.partitionBy("_range").orderBy("_rank", key, "_content"))
+    placed = ranked.join(starts, "_range").withColumn(name, (F.col("_start") + nth - 1).cast("long"))
+    return placed.select(*rows.columns, name)
 
 
 def split_stratified(
@@ -86,14 +114,14 @@ def split_stratified(
 
 
 def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
-    """The interpolated quantile of a column, exact at any size.
+    """The interpolated quantile of a column, exact at any size (M13); NaN counts as missing, like NULL.
 
     Each pass counts the rows in 4,096 slices of the value range and narrows
     the range to the slice that holds the wanted rank, until both neighbours
     of the rank are known. Every pass reads the one column, so the frame
     should be stored. At most 4,096 rows reach the driver.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL")
+    values = df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
     n, low, high = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
     if not n:
         return None

@@ -43,7 +43,7 @@ def classified_reviews(
     if sample is not None:
         chosen = sample_exact(chosen, sample, "review_id", seed)
     chosen = chosen.select(S.REVIEWS.fieldNames())
-    return stage(C.classify(chosen, provider, **options), "classified")
+    return stage(C.classify(chosen, provider, key="review_id", **options), "classified")
 
 
 def classification_audit(classified: DataFrame) -> DataFrame:
