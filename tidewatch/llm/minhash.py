@@ -7,9 +7,11 @@ alone would give, estimate the Jaccard similarity; what the estimate cannot rule
 
 Equal sets are one class first, so copies never meet pair by pair. Every class is first tried with one other: of the
 first classes of its bands' groups, the one it shares most bands with. Then only pairs that confirmed links leave in
-different components are tried: all of them in groups of up to ``SMALL_GROUP`` classes, and in larger groups every class
-with the group's first and with one other member per band, drawn anew in each round, until a round confirms nothing. A group of n near copies so costs a multiple of n pairs, not n^2. A class
-whose links lie in large groups only, and which all its draws missed, stays apart; the README has the measured share.
+different components are tried: all of them in groups of up to ``SMALL_GROUP`` classes. In larger groups the classes of
+a band are put in the order of their registers from a drawn register on, where similar ones come to stand together, and
+every class is tried with the ones before it and with one drawn class; with new draws until a round confirms nothing. A
+group of n near copies so costs a multiple of n pairs, not n^2. A class whose links lie in large groups only, and which
+all its tries missed, stays apart; the README has the measured share.
 
 Edge cases: a text without words (null and empty ones too) has the empty set, is linked with nothing and stays; fewer
 words than a shingle make one shingle of all of them; rows without an id are linked with nothing and stay; rows that
@@ -24,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import mix64
@@ -35,6 +37,7 @@ REGISTERS = 192
 BANDS, ROWS = 48, 10
 PICKS = np.array([np.random.default_rng(band).permutation(REGISTERS)[:ROWS] for band in range(BANDS)])
 SMALL_GROUP = 32
+CELL, NEIGHBOURS, SORTED_BY = 4096, 2, 16  # classes sorted together, neighbours tried, registers of the order
 MANTISSA = 10
 EXPECTED_AGREEMENT = 0.169919487159739093975  # fixed value of the sketch's published collision estimate
 MARGIN = 4.5  # standard deviations that an estimate may lie under the threshold before its pair is ruled out
@@ -157,15 +160,10 @@ def _confirmed(rule: Rule):
     return run
 
 
-def _sizes_allow(percent: int, n_a: str, n_b: str):
+def _sizes_allow(percent: int, n_a: Column | str, n_b: Column | str) -> Column:
     return F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent
 
 
-def _pairs(rows: DataFrame, other: str) -> DataFrame:
-    """(a, b, n_a, n_b) of every row with the member of its group that ``other`` holds."""
-    return rows.select(F.col(f"{other}.id").alias("a"), F.col("id").alias("b"), F.col(f"{other}.n").alias("n_a"), F.col("n").alias("n_b"))
-
-
 class NearDuplicates:
     """Links and components of (doc_id, text) under a rule."""
 
@@ -181,8 +179,8 @@ class NearDuplicates:
         first = self.sets.withColumnRenamed("doc_id", "id").dropDuplicates(["id"])
         self.sketch = first.join(self.classes.select("id"), "id", "left_semi").select("id", "n_shingles", "sketch", "bands")
 
-    def links(self) -> DataFrame:
-        """(a, b): confirmed links between classes, enough of them to span every component."""
+    def labels(self) -> DataFrame:
+        """(node, component) of every class that confirmed links join to another."""
         bands = self.sketch.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
         groups = bands.groupBy("band").agg(F.count("*").alias("size"), F.min(F.struct("id", "n")).alias("first")).where("size > 1")
         met = stage(bands.join(groups, "band").select("band", "id", "n", "size", "first"), "band-members")
@@ -191,31 +189,48 @@ class NearDuplicates:
         self.texts = stage(self.documents.join(members, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
         shared = met.where(F.col("id") != F.col("first.id")).groupBy("first", "id", "n").agg(F.count("*").alias("bands"))
         best = shared.groupBy("id", "n").agg(F.max_by("first", F.struct("bands", -F.col("first.id"))).alias("first"))
-        tried = stage(self._sized(_pairs(best, "first")), "pairs")
-        found, turn = self._confirm(tried), 0
+        first = best.select(F.col("first.id").alias("a"), F.col("id").alias("b"), F.col("first.n").alias("n_a"), F.col("n").alias("n_b"))
+        tried = stage(self._sized(first), "pairs")
+        found = self._confirm(tried)
+        labels, turn = components(found), 0
+        small, large = met.where(F.col("size") <= SMALL_GROUP), met.where(F.col("size") > SMALL_GROUP)
+        tries = self._across(small, labels).union(self._neighbours(large, labels, turn))
         while True:
-            turn += 1
-            labels = components(found)
-            part = F.coalesce("component", "id")
-            split = met.join(labels.withColumnRenamed("node", "id"), "id", "left").select("band", "id", "n", "size", part.alias("part"))
-            first = F.min(F.struct("id", "n", "part")).alias("first")
-            drawn = F.min(F.struct(F.xxhash64("id", "band", F.lit(turn)), "id", "n", "part")).alias("drawn")
-            parted = split.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"), first, drawn).where("low <> high")
-            open_rows = stage(split.join(parted.select("band", "first", "drawn"), "band"), "open-bands")
-            large = open_rows.where(F.col("size") > SMALL_GROUP)
-            tries = _pairs(large.where(F.col("drawn.part") != F.col("part")), "drawn")
-            if turn == 1:
-                tries = tries.union(_pairs(large.where(F.col("first.part") != F.col("part")), "first"))
-                small = open_rows.where(F.col("size") <= SMALL_GROUP)
-                left = small.select("band", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("part_a"))
-                right = small.select("band", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("part_b"))
-                across = left.join(right, "band").where((F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")))
-                tries = tries.union(across.select("a", "b", "n_a", "n_b"))
             fresh = stage(self._sized(tries).join(tried, ["a", "b"], "left_anti"), "pairs")
             more = self._confirm(fresh)
             if more.isEmpty():
-                return found
-            found, tried = found.union(more), tried.union(fresh)
+                return labels
+            found, tried, turn = found.union(more), tried.union(fresh), turn + 1
+            labels = components(found)
+            tries = self._neighbours(large, labels, turn)
+
+    def _across(self, small: DataFrame, labels: DataFrame) -> DataFrame:
+        """All pairs within small groups that links leave in different components."""
+        parted = small.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id"))
+        left = parted.select("band", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("part_a"))
+        right = parted.select("band", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("part_b"))
+        apart = (F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b"))
+        return left.join(right, "band").where(apart).select("a", "b", "n_a", "n_b")
+
+    def _neighbours(self, large: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+        """Pairs within large groups, across components: every class with its neighbours in the order of the registers
+        from a drawn one on, and with one drawn class. Cells of about ``CELL`` drawn classes bound what a task sorts."""
+        sketch = self.sketch.select("id", "sketch").join(labels.withColumnRenamed("node", "id"), "id", "left")
+        own = sketch.select("id", F.coalesce("component", "id").alias("part"), F.concat("sketch", "sketch").alias("twice"))
+        drawn = F.xxhash64("id", "band", F.lit(turn))
+        start = F.pmod(F.xxhash64("band", F.lit(turn)), F.lit(REGISTERS)) * 2 + 1
+        cells = large.join(own, "id").select(
+            "band", F.pmod(F.xxhash64("id", "band", F.lit(-1 - turn)), F.ceil(F.col("size") / CELL)).alias("cell"), drawn.alias("drawn"),
+            "id", "n", "part", F.substring("twice", start.cast("int"), F.lit(2 * SORTED_BY)).alias("registers"),
+        )
+        cell = Window.partitionBy("band", "cell")
+        order = cell.orderBy("registers", "id")
+        one = F.struct("id", "n", "part")
+        leader = F.min_by(one, F.struct("drawn", "id")).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        near = F.array(*(F.lag(one, k).over(order) for k in range(1, NEIGHBOURS + 1)), leader)
+        other = F.filter("near", lambda x: (x["part"] != F.col("part")) & _sizes_allow(self.rule.percent, x["n"], F.col("n")))
+        met = cells.select("id", "n", "part", near.alias("near")).select("id", "n", F.explode(other).alias("other"))
+        return met.select(F.col("other.id").alias("a"), F.col("id").alias("b"), F.col("other.n").alias("n_a"), F.col("n").alias("n_b"))
 
     def _sized(self, pairs: DataFrame) -> DataFrame:
         """Distinct pairs, the smaller id first, that set sizes allow."""
@@ -235,7 +250,7 @@ class NearDuplicates:
 
     def components(self) -> DataFrame:
         """(doc_id, n_shingles, component_id) of every row; a component is named by its smallest document."""
-        labels = components(self.links()).withColumnRenamed("node", "id")
+        labels = self.labels().withColumnRenamed("node", "id")
         named = self.classes.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")).drop("id")
         own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
         slim = self.sets.select("doc_id", "n_shingles", "digest_a", "digest_b")
