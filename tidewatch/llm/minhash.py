@@ -176,17 +176,18 @@ class NearDuplicates:
         self.classes = stage(
             self.sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*digest).agg(F.min("doc_id").alias("id")), "classes"
         )
-        first = self.sets.withColumnRenamed("doc_id", "id").dropDuplicates(["id"])
-        self.sketch = first.join(self.classes.select("id"), "id", "left_semi").select("id", "n_shingles", "sketch", "bands")
 
     def labels(self) -> DataFrame:
         """(node, component) of every class that confirmed links join to another."""
-        bands = self.sketch.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
+        each = self._sets_of(self.classes.select("id"), F.col("n_shingles").alias("n"), "bands")
+        bands = each.select("id", "n", F.explode("bands").alias("band"))
         groups = bands.groupBy("band").agg(F.count("*").alias("size"), F.min(F.struct("id", "n")).alias("first")).where("size > 1")
         met = stage(bands.join(groups, "band").select("band", "id", "n", "size", "first"), "band-members")
         # One plan at every size: the texts that can take part are cut out of all texts once, by a shuffle of both.
-        members = met.select(F.col("id").alias("doc_id")).distinct().hint("shuffle_merge")
-        self.texts = stage(self.documents.join(members, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+        members = stage(met.select("id").distinct(), "members")
+        self.sketch = stage(self._sets_of(members, "n_shingles", "sketch"), "member-sketches")
+        wanted = members.withColumnRenamed("id", "doc_id").hint("shuffle_merge")
+        self.texts = stage(self.documents.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
         shared = met.where(F.col("id") != F.col("first.id")).groupBy("first", "id", "n").agg(F.count("*").alias("bands"))
         best = shared.groupBy("id", "n").agg(F.max_by("first", F.struct("bands", -F.col("first.id"))).alias("first"))
         first = best.select(F.col("first.id").alias("a"), F.col("id").alias("b"), F.col("first.n").alias("n_a"), F.col("n").alias("n_b"))
@@ -204,6 +205,11 @@ class NearDuplicates:
             labels = components(found)
             tries = self._neighbours(large, labels, turn)
 
+    def _sets_of(self, ids: DataFrame, *columns: Column | str) -> DataFrame:
+        """Columns of the sets of some classes, one row for each id."""
+        named = self.sets.select(F.col("doc_id").alias("id"), *columns)
+        return named.join(ids.hint("shuffle_merge"), "id", "left_semi").dropDuplicates(["id"])
+
     def _across(self, small: DataFrame, labels: DataFrame) -> DataFrame:
         """All pairs within small groups that links leave in different components."""
         parted = small.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id"))
