@@ -9,7 +9,7 @@ Equal sets are one class first, so copies never meet pair by pair. Every class i
 first classes of its bands' groups, the one it shares most bands with. Then only pairs that confirmed links leave in
 different components are tried: all of them in groups of up to ``SMALL_GROUP`` classes. In larger groups the classes of
 a band are put in the order of their registers from a drawn register on, where similar ones come to stand together, and
-every class is tried with the ones before it and with one drawn class; with new draws until a round confirms nothing. A
+every class is tried with the ones before it; from other registers on until a round confirms nothing. A
 group of n near copies so costs a multiple of n pairs, not n^2. A class whose links lie in large groups only, and which
 all its tries missed, stays apart; the README has the measured share.
 
@@ -220,20 +220,17 @@ class NearDuplicates:
 
     def _neighbours(self, large: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
         """Pairs within large groups, across components: every class with its neighbours in the order of the registers
-        from a drawn one on, and with one drawn class. Cells of about ``CELL`` drawn classes bound what a task sorts."""
+        from a drawn one on. Cells of about ``CELL`` drawn classes bound what a task sorts."""
         sketch = self.sketch.select("id", "sketch").join(labels.withColumnRenamed("node", "id"), "id", "left")
         own = sketch.select("id", F.coalesce("component", "id").alias("part"), F.concat("sketch", "sketch").alias("twice"))
-        drawn = F.xxhash64("id", "band", F.lit(turn))
         start = F.pmod(F.xxhash64("band", F.lit(turn)), F.lit(REGISTERS)) * 2 + 1
         cells = large.join(own, "id").select(
-            "band", F.pmod(F.xxhash64("id", "band", F.lit(-1 - turn)), F.ceil(F.col("size") / CELL)).alias("cell"), drawn.alias("drawn"),
+            "band", F.pmod(F.xxhash64("id", "band", F.lit(turn)), F.ceil(F.col("size") / CELL)).alias("cell"),
             "id", "n", "part", F.substring("twice", start.cast("int"), F.lit(2 * SORTED_BY)).alias("registers"),
         )
-        cell = Window.partitionBy("band", "cell")
-        order = cell.orderBy("registers", "id")
+        order = Window.partitionBy("band", "cell").orderBy("registers", "id")
         one = F.struct("id", "n", "part")
-        leader = F.min_by(one, F.struct("drawn", "id")).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        near = F.array(*(F.lag(one, k).over(order) for k in range(1, NEIGHBOURS + 1)), leader)
+        near = F.array(*(F.lag(one, k).over(order) for k in range(1, NEIGHBOURS + 1)))
         other = F.filter("near", lambda x: (x["part"] != F.col("part")) & _sizes_allow(self.rule.percent, x["n"], F.col("n")))
         met = cells.select("id", "n", "part", near.alias("near")).select("id", "n", F.explode(other).alias("other"))
         return met.select(F.col("other.id").alias("a"), F.col("id").alias("b"), F.col("other.n").alias("n_a"), F.col("n").alias("n_b"))
