@@ -72,6 +72,25 @@ def test_near_duplicates_have_the_components_of_all_pairs(documents, rows):
     assert {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in done} == {(i, len(s), find(i), find(i) == i) for i, s in sets.items()}
 
 
+def test_links_inside_large_groups_are_settled_exactly(spark, monkeypatch):
+    # One boilerplate in all texts: all pairs lie just under the threshold, but for a few true pairs.
+    draw = random.Random(8)
+    common = [f"c{i}" for i in range(200)]
+    own = [[f"t{i}_{k}" for k in range(24)] for i in range(150)]
+    rows = [(i, " ".join(common + w)) for i, w in enumerate(own)]
+    for i in range(0, 150, 10):
+        rows.append((1000 + i, " ".join(common + own[i][:-1] + [f"u{draw.random()}"])))
+    # Every group counts as large and the cheap tries find nothing, so that all links are left to the last pass.
+    monkeypatch.setattr(minhash, "BLOCK", 48)
+    monkeypatch.setattr(minhash, "SMALL_GROUP", 1)
+    monkeypatch.setattr(minhash.NearDuplicates, "_sized", lambda self, pairs: pairs.select("a", "b").limit(0))
+    done = {r.doc_id: r.component_id for r in minhash.minhash_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {i: {tuple(w[k : k + 3]) for k in range(len(w) - 2)} for i, t in rows for w in [t.split()]}
+    links = {(i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])}
+    assert links == {(i, 1000 + i) for i in range(0, 150, 10)}
+    assert done == {i: i - 1000 if i >= 1000 else i for i in sets}
+
+
 def test_estimates_are_near_the_similarity():
     draw = np.random.default_rng(1)
     for share in (0.2, 0.5, 0.9):

@@ -10,8 +10,9 @@ first classes of its bands' groups, the one it shares most bands with. Then only
 different components are tried: all of them in groups of up to ``SMALL_GROUP`` classes. In larger groups the classes of
 a band are put in the order of their registers from a drawn register on, where similar ones come to stand together, and
 every class is tried with the ones before it; from other registers on until a round confirms nothing. A
-group of n near copies so costs a multiple of n pairs, not n^2. A class whose links lie in large groups only, and which
-all its tries missed, stays apart; the README has the measured share.
+group of n near copies so costs a multiple of n pairs, not n^2. What these rounds leave apart is settled exactly: large
+groups are cut into blocks of ``BLOCK`` classes, every two blocks meet in one task, and all their pairs across components
+are compared by registers there and confirmed on the full sets, each pair in the first band it shares.
 
 Edge cases: a text without words (null and empty ones too) has the empty set, is linked with nothing and stays; fewer
 words than a shingle make one shingle of all of them; rows without an id are linked with nothing and stay; rows that
@@ -38,6 +39,7 @@ BANDS, ROWS = 48, 10
 PICKS = np.array([np.random.default_rng(band).permutation(REGISTERS)[:ROWS] for band in range(BANDS)])
 SMALL_GROUP = 32
 CELL, NEIGHBOURS, SORTED_BY = 4096, 2, 16  # classes sorted together, neighbours tried, registers of the order
+BLOCK = 1024  # classes of a large group that meet another block's, register by register, in one task
 MANTISSA = 10
 EXPECTED_AGREEMENT = 0.169919487159739093975  # fixed value of the sketch's published collision estimate
 MARGIN = 4.5  # standard deviations that an estimate may lie under the threshold before its pair is ruled out
@@ -93,13 +95,17 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(sketch: np.ndarray) -> list[int]:
-    """One 64-bit key per band that has a register."""
+def _keys(sketch: np.ndarray) -> np.ndarray:
     bands = sketch.astype(np.uint64)[PICKS]
     keys = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for i in range(ROWS):
         keys = mix64(keys * np.uint64(0xD6E8FEB86659FD93) + bands[:, i])
-    return keys[bands.any(axis=1)].view(np.int64).tolist()
+    return keys.view(np.int64)
+
+
+def band_keys(sketch: np.ndarray) -> list[int]:
+    """One 64-bit key per band that has a register."""
+    return _keys(sketch)[sketch[PICKS].any(axis=1)].tolist()
 
 
 def sketches(words: int):
@@ -144,6 +150,84 @@ def _plausible(percent: int):
     return run
 
 
+def _apart(percent: int):
+    """Of two blocks of a large group: every class that has pairs across components which the estimate lets pass, with
+    the others of its pairs. A pair counts in the first band that it shares; if that band's group is small, the pair
+    has been tried there."""
+    low = percent / 100
+    schema = {"band": "int64", "p": "int32", "q": "int32", "id": "int64", "part": "int64"}
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        band, p, q = key
+        rows = rows.sort_values("id", ignore_index=True)
+        ids, parts, n, own = (rows[c].to_numpy() for c in ("id", "part", "n", "own"))
+        sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint16).reshape(len(rows), REGISTERS)
+        filled, others = sketch > 0, {}
+        for i in range(len(rows)) if parts.size and parts.min() != parts.max() else ():
+            # Within one block the pairs with later classes, between two blocks those of the first with the second.
+            may = parts != parts[i]
+            may &= (ids > ids[i]) if p == q else (own == q) & (own[i] == p)
+            may &= np.minimum(n, n[i]) * 100 >= np.maximum(n, n[i]) * percent
+            at = np.flatnonzero(may)
+            if not len(at):
+                continue
+            same = (sketch[at] == sketch[i]) & filled[i]
+            used = np.maximum(1, (filled[at] | filled[i]).sum(axis=1))
+            by_chance = EXPECTED_AGREEMENT * REGISTERS / (1 << MANTISSA) * (4.0 * n[at] * n[i] / (n[at] + n[i]) ** 2)
+            estimate = np.maximum(0.0, same.sum(axis=1) - by_chance) / used
+            at = at[estimate >= low - MARGIN * (low * (1 - low) / used) ** 0.5]
+            if len(at):
+                shared = (sketch[at] == sketch[i])[:, PICKS].all(axis=2) & filled[i][PICKS].any(axis=1)
+                keys = _keys(sketch[i])
+                at = at[keys[shared.argmax(axis=1)] == band]
+            if len(at):
+                others[i] = ids[at].tolist()
+                for j in at.tolist():
+                    others.setdefault(j, [])
+        held = sorted(others)
+        out = pd.DataFrame({"band": band, "p": p, "q": q, "id": ids[held], "part": parts[held]}).astype(schema)
+        out["others"] = pd.Series([others[i] for i in held], dtype=object)
+        return out
+
+    return run
+
+
+def _joined(rule: Rule):
+    """Of two blocks' classes with their texts: confirmed pairs, but none between parts that others have joined."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        hashes, sets = WordHashes(), {}
+        texts = dict(zip(rows["id"].tolist(), rows["text"], strict=True))
+        part = dict(zip(rows["id"].tolist(), rows["part"].tolist(), strict=True))
+        root = {c: c for c in part.values()}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        def of(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingle_set(texts[i], rule.words, hashes)
+            return sets[i]
+
+        links = []
+        for i, others in zip(rows["id"].tolist(), rows["others"], strict=True):
+            for j in others:
+                a, b = find(part[i]), find(part[int(j)])
+                if a == b:
+                    continue
+                one, two = of(i), of(int(j))
+                both = len(np.intersect1d(one, two, assume_unique=True))
+                if 100 * both >= rule.percent * (len(one) + len(two) - both):
+                    root[a] = b
+                    links.append((min(i, int(j)), max(i, int(j))))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
 def _confirmed(rule: Rule):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes, last = WordHashes(), (None, np.empty(0))
@@ -200,7 +284,8 @@ class NearDuplicates:
             fresh = stage(self._sized(tries).join(tried, ["a", "b"], "left_anti"), "pairs")
             more = self._confirm(fresh)
             if more.isEmpty():
-                return labels
+                settled = self._settled(large, labels)
+                return labels if settled.isEmpty() else components(found.union(settled))
             found, tried, turn = found.union(more), tried.union(fresh), turn + 1
             labels = components(found)
             tries = self._neighbours(large, labels, turn)
@@ -235,6 +320,24 @@ class NearDuplicates:
         met = cells.select("id", "n", "part", near.alias("near")).select("id", "n", F.explode(other).alias("other"))
         return met.select(F.col("other.id").alias("a"), F.col("id").alias("b"), F.col("other.n").alias("n_a"), F.col("n").alias("n_b"))
 
+    def _settled(self, large: DataFrame, labels: DataFrame) -> DataFrame:
+        """Links between the components of large groups: all pairs, by blocks. A class is read once per block of its
+        groups; groups that lie in one component are left out."""
+        named = large.join(labels.withColumnRenamed("node", "id"), "id", "left")
+        named = named.select("band", "id", "n", "size", F.coalesce("component", "id").alias("part"))
+        split = named.groupBy("band").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least < most")
+        named = named.join(split.select("band"), "band", "left_semi")
+        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+        own = F.pmod(F.xxhash64("id"), blocks).cast("int")
+        met = named.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        met = met.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other")).drop("other", "size")
+        rows = met.join(self.sketch.select("id", "sketch"), "id")
+        schema = "band long, p int, q int, id long, part long, others array<long>"
+        apart = stage(rows.groupBy("band", "p", "q").applyInPandas(_apart(self.rule.percent), schema), "apart")
+        texts = self.texts.select(F.col("doc_id").alias("id"), "text")
+        both = apart.join(texts.hint("shuffle_merge"), "id")
+        return stage(both.groupBy("band", "p", "q").applyInPandas(_joined(self.rule), "a long, b long"), "links-settled")
+
     def _sized(self, pairs: DataFrame) -> DataFrame:
         """Distinct pairs, the smaller id first, that set sizes allow."""
         allowed = pairs.where(_sizes_allow(self.rule.percent, "n_a", "n_b"))
