@@ -8,11 +8,15 @@ heap, until the cells it has met hold enough entries; these entries are reranked
 Queries are dealt to cells, not entries to queries: an entry is shuffled once, a query once per cell it visits, and a
 cell's block of entries meets its queries in one matrix product. A cell with very many entries is dealt over several
 blocks, which its queries all visit, so copies of one vector do not fill a task. The codebooks are fitted on at most
-``FIT_ROWS`` vectors in the order of a hash of their id; every row is indexed, and the tests measure the recall.
+``FIT_ROWS`` vectors in the order of a hash of their id; every row is indexed.
+
+How many entries a query reranks follows from the table: the exact neighbours of ``PROBES`` drawn vectors among all rows
+are found in one pass, and the walk goes as far as it must to reach ``RECALL`` of them. On vectors without clusters that
+is a large part of the table at any size.
 
 Edge cases: vectors that are null, empty, zero, of another length than most, or that hold null or non-finite
 components take no part, neither as queries nor as candidates; the same for null ids; rows that repeat an id are
-candidates of their own and one query; a table with fewer candidates than ``k`` gives all of them; an empty table
+candidates of their own and one query; a table with fewer candidates than ``k`` gives all of them that its walks reach; an empty table
 gives no rows; other columns are not read.
 """
 
@@ -33,8 +37,8 @@ from tidewatch.session import stage
 FIT_ROWS = 16_384
 ROUNDS = 12
 BLOCK_ROWS = 2_000
-SHARE = 0.06  # share of all entries that a query reranks
-LEAST_ENTRIES = 2_000  # and how many at least
+SHARE = 0.06  # share of all entries that a query reranks at least
+PROBES, RECALL = 256, 0.95  # drawn vectors, and the share of their true neighbours that walks must reach
 
 
 def codebook(points: np.ndarray, size: int, seed: int) -> np.ndarray:
@@ -118,6 +122,47 @@ def _visits(one: np.ndarray, two: np.ndarray, entries: np.ndarray, blocks: np.nd
     return run
 
 
+def _true(ids: np.ndarray, probes: np.ndarray, k: int):
+    """The k best entries of a task for each probe, with their cells."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            for i in range(0, len(batch), 4096):
+                part = batch.iloc[i : i + 4096]
+                own = part["vec_id"].to_numpy()
+                scores = probes @ np.array(part["vector"].tolist(), dtype=np.float64).T
+                scores[ids[:, None] == own[None]] = -np.inf
+                new = scores, np.tile(own, (len(ids), 1)), np.tile(part["cell"].to_numpy(), (len(ids), 1))
+                held = new if held is None else tuple(np.concatenate(x, axis=1) for x in zip(held, new, strict=True))
+                order = np.lexsort((held[1], -held[0]), axis=1)[:, :k]
+                held = tuple(np.take_along_axis(x, order, axis=1) for x in held)
+        if held is not None:
+            probe = np.repeat(np.arange(len(ids)), held[0].shape[1])
+            done = pd.DataFrame({"probe": probe, "score": held[0].ravel(), "vec_id": held[1].ravel(), "cell": held[2].ravel()})
+            yield done[done["score"] > -np.inf]
+
+    return run
+
+
+def entries_needed(index: DataFrame, one: np.ndarray, two: np.ndarray, entries: np.ndarray, k: int) -> int:
+    """Entries that a walk must hold so that the probes' walks reach ``RECALL`` of their true neighbours."""
+    drawn = index.orderBy(F.xxhash64("vec_id", F.lit(1)), "vec_id").limit(PROBES).toPandas().drop_duplicates("vec_id")
+    x = np.array(drawn["vector"].tolist(), dtype=np.float64)
+    found = index.mapInPandas(_true(drawn["vec_id"].to_numpy(), x, k), "probe long, score double, vec_id long, cell long")
+    order = Window.partitionBy("probe").orderBy(F.desc("score"), "vec_id")
+    best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("probe", "cell").toPandas()
+    half, x = one.shape[1], np.column_stack((x, np.zeros(len(x))))
+    first, second = distances(x[:, :half], one), distances(x[:, half:], two)
+    needed = []
+    for probe, cells in best.groupby("probe")["cell"]:
+        walked = np.argsort((first[probe][:, None] + second[probe][None]).ravel(), kind="stable")
+        before = np.empty(len(walked), dtype=np.int64)
+        before[walked] = np.cumsum(entries[walked]) - entries[walked]
+        needed += (before[cells.to_numpy()] + 1).tolist()
+    return int(np.sort(needed)[math.ceil(RECALL * len(needed)) - 1]) if needed else 0
+
+
 def _rerank(k: int):
     def run(key: tuple, queries: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
         columns = ["query_id", "vec_id", "score"]
@@ -178,7 +223,7 @@ def neighbours(embeddings: DataFrame, k: int = 20, every: int = 20, share: float
     for row in index.groupBy("cell").agg(F.count("*").alias("n")).collect():  # 65,536 cells at most
         entries[row["cell"]] = row["n"]
     blocks = np.maximum(1, -(-entries // BLOCK_ROWS))
-    enough = max(LEAST_ENTRIES, math.ceil(share * n))
+    enough = max(math.ceil(share * n), entries_needed(index, one, two, entries, k))
     large = {int(c): int(blocks[c]) for c in np.flatnonzero(blocks > 1)}
     pieces = F.create_map(*[F.lit(x) for pair in large.items() for x in pair]) if large else None
     block = F.pmod(F.xxhash64("vec_id"), F.coalesce(pieces[F.col("cell")], F.lit(1))) if large else F.lit(0)
