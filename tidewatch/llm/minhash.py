@@ -1,8 +1,8 @@
 """Near duplicates by HyperMinHash: compressed min-wise registers, banding, corrected estimates, exact confirmation.
 
 A register keeps, of the least hash in its bucket, the number of leading zeros and ten mantissa bits: 16 bits in all.
-Bands of ten registers propose links; at the threshold a pair meets in one of the 48 bands with probability 0.99997 at
-85 % and 0.996 at 80 % if registers agreed independently. Agreeing registers, less the agreements that compression
+Bands propose links. They share no registers and are the longest that miss a pair at the rule's threshold at most once in
+100,000 times: 48 bands of eight at 85 % (0.0000002) and 54 of seven at 80 % (0.000003). Agreeing registers, less the agreements that compression
 alone would give, estimate the Jaccard similarity; what the estimate cannot rule out is confirmed on the full sets.
 
 Equal sets are one class first, so copies never meet pair by pair. Every class is first tried with one other: of the
@@ -34,9 +34,8 @@ from tidewatch.llm.common import mix64
 from tidewatch.llm.components import components
 from tidewatch.session import stage
 
-REGISTERS = 192
-BANDS, ROWS = 48, 10
-PICKS = np.array([np.random.default_rng(band).permutation(REGISTERS)[:ROWS] for band in range(BANDS)])
+REGISTERS = 384
+MISS = 1e-5  # share of pairs at the threshold that may share no band
 SMALL_GROUP = 32
 CELL, NEIGHBOURS, SORTED_BY = 4096, 2, 16  # classes sorted together, neighbours tried, registers of the order
 BLOCK = 1024  # classes of a large group that meet another block's, register by register, in one task
@@ -95,30 +94,41 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def _keys(sketch: np.ndarray) -> np.ndarray:
-    bands = sketch.astype(np.uint64)[PICKS]
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for i in range(ROWS):
+def bands_of(percent: int) -> np.ndarray:
+    """Registers of each band, [band, place], no register in two of them."""
+    for size in range(REGISTERS, 1, -1):
+        n = REGISTERS // size
+        if (1 - (percent / 100) ** size) ** n <= MISS:
+            return np.arange(n * size).reshape(n, size)
+    return np.arange(REGISTERS).reshape(REGISTERS, 1)
+
+
+def _keys(sketch: np.ndarray, places: np.ndarray) -> np.ndarray:
+    bands = sketch.astype(np.uint64)[places]
+    keys = np.arange(1, len(places) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for i in range(places.shape[1]):
         keys = mix64(keys * np.uint64(0xD6E8FEB86659FD93) + bands[:, i])
     return keys.view(np.int64)
 
 
-def band_keys(sketch: np.ndarray) -> list[int]:
+def band_keys(sketch: np.ndarray, places: np.ndarray) -> list[int]:
     """One 64-bit key per band that has a register."""
-    return _keys(sketch)[sketch[PICKS].any(axis=1)].tolist()
+    return _keys(sketch, places)[sketch[places].any(axis=1)].tolist()
 
 
-def sketches(words: int):
+def sketches(rule: Rule):
+    places = bands_of(rule.percent)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for batch in batches:
             rows = []
             for text in batch["text"]:
-                s = shingle_set(text, words, hashes)
+                s = shingle_set(text, rule.words, hashes)
                 with np.errstate(over="ignore"):
                     digest = (int(s.sum().view(np.int64)), int(mix64(s).sum().view(np.int64))) if len(s) else (0, 0)
                 sketch = registers(s)
-                rows.append((len(s), *digest, sketch.tobytes(), band_keys(sketch)))
+                rows.append((len(s), *digest, sketch.tobytes(), band_keys(sketch, places)))
             done = pd.DataFrame(rows, columns=["n_shingles", "digest_a", "digest_b", "sketch", "bands"])
             done.insert(0, "doc_id", batch["doc_id"].to_numpy())
             yield done
@@ -154,7 +164,7 @@ def _apart(percent: int):
     """Of two blocks of a large group: every class that has pairs across components which the estimate lets pass, with
     the others of its pairs. A pair counts in the first band that it shares; if that band's group is small, the pair
     has been tried there."""
-    low = percent / 100
+    low, places = percent / 100, bands_of(percent)
     schema = {"band": "int64", "p": "int32", "q": "int32", "id": "int64", "part": "int64"}
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -177,8 +187,8 @@ def _apart(percent: int):
             estimate = np.maximum(0.0, same.sum(axis=1) - by_chance) / used
             at = at[estimate >= low - MARGIN * (low * (1 - low) / used) ** 0.5]
             if len(at):
-                shared = (sketch[at] == sketch[i])[:, PICKS].all(axis=2) & filled[i][PICKS].any(axis=1)
-                keys = _keys(sketch[i])
+                shared = (sketch[at] == sketch[i])[:, places].all(axis=2) & filled[i][places].any(axis=1)
+                keys = _keys(sketch[i], places)
                 at = at[keys[shared.argmax(axis=1)] == band]
             if len(at):
                 others[i] = ids[at].tolist()
@@ -255,7 +265,7 @@ class NearDuplicates:
         self.rule = rule
         self.documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         schema = "doc_id long, n_shingles long, digest_a long, digest_b long, sketch binary, bands array<long>"
-        self.sets = stage(self.documents.mapInPandas(sketches(rule.words), schema), "sketches")
+        self.sets = stage(self.documents.mapInPandas(sketches(rule), schema), "sketches")
         digest = ["n_shingles", "digest_a", "digest_b"]
         self.classes = stage(
             self.sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*digest).agg(F.min("doc_id").alias("id")), "classes"
