@@ -1,7 +1,8 @@
 """Toxicity by a noisy channel: obfuscated spellings are decoded, then the restored words are scored.
 
 A spelling such as ``1d10t``, ``i d i o t`` or ``idiooot`` is a character lattice: every character may stand for
-itself or for the letters it imitates, a separator may be dropped, and a repeated character may be dropped. The
+itself or for the letters it imitates, a separator may be dropped or be the border of two words, and a repeated character
+may be dropped. Every token with a sign, digit, separator or doubled letter is decoded, beside its plain reading. The
 Viterbi path under a character trigram model of the corpus is the restored spelling. A linear model over restored
 words and their beginnings gives the score.
 
@@ -42,7 +43,8 @@ MEMO = 400_000  # spellings that a worker remembers
 
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
-_TRIPLE = re.compile(r"(.)\1\1")
+_DOUBLE = re.compile(r"(.)\1")
+_OUTER = re.compile(f"^[^\\w{re.escape(''.join(IMITATES))}]+|[^\\w{re.escape(''.join(IMITATES))}]+$")
 _PARTS = re.compile(r"[^\W_]+(?:[0-9@$!|+(€£]+[^\W_]+)*")
 _CODE = np.full(256, EDGE, dtype=np.int64)
 for _i, _c in enumerate(LETTERS):
@@ -86,8 +88,8 @@ def _code(c: str) -> int:
     return i if 0 <= i < 26 else OTHER
 
 
-def decode(word: str, model: np.ndarray) -> str:
-    """The cheapest reading of one spelling.
+def decode(word: str, model: np.ndarray, repeats: bool = True) -> str:
+    """The cheapest reading of one spelling, with a space where a separator is read as the border of two words.
 
     A state is the last two letters written and the last raw character, so a dropped repetition compares raw
     characters. The number of states per position is bounded by the few readings of a character.
@@ -105,7 +107,9 @@ def decode(word: str, model: np.ndarray) -> str:
             for letter, pay in readings:
                 code = _code(letter)
                 offer((two, code, raw), cost + pay + model[one, two, code], (text, letter))
-            if raw == last:
+            if raw in SEPARATORS and two != EDGE:
+                offer((two, EDGE, raw), cost + PAY_DROP + model[one, two, EDGE], (text, " "))
+            if raw == last and repeats:
                 offer((one, two, last), cost + PAY_REPEAT, text)
             elif raw in SEPARATORS:
                 offer((one, two, last), cost + PAY_DROP, text)
@@ -126,6 +130,7 @@ class Restorer:
     def __init__(self, model: np.ndarray):
         self.model = model
         self.memo: dict[str, tuple[str, ...]] = {}
+        self.readings: dict[str, tuple[str, ...]] = {}
 
     def token(self, token: str) -> tuple[str, ...]:
         found = self.memo.get(token)
@@ -136,17 +141,32 @@ class Restorer:
         return found
 
     def _token(self, token: str) -> tuple[str, ...]:
-        if token.isalpha():
-            return (decode(token, self.model),) if _TRIPLE.search(token) else (token,)
         core = _EDGES.sub("", token)
-        if core.isalpha() and not _TRIPLE.search(core):
-            plain = (core,)
-            return plain if token[:1].isalpha() or not any(c in IMITATES for c in token) else plain + (decode(token, self.model),)
-        parts = _PARTS.findall(token)
-        words = [p if p.isalpha() and not _TRIPLE.search(p) else decode(p, self.model) for p in parts if not p.isdigit()]
-        if len(parts) > 1 and max(map(len, parts)) <= 2 or any(c in IMITATES and not c.isdigit() for c in token):
-            words.append(decode(token, self.model))
-        return tuple(w for w in words if w)
+        plain = [core] if core.isalpha() else [p for p in _PARTS.findall(token) if p.isalpha()]
+        # Outer signs that imitate nothing can only be dropped; the others may be letters or brackets.
+        return tuple(dict.fromkeys([*plain, *self.decoded(core), *self.decoded(_OUTER.sub("", token))]))
+
+    def decoded(self, spelling: str) -> tuple[str, ...]:
+        """Words of the cheapest readings; none of a spelling that can only be itself."""
+        doubled = _DOUBLE.search(spelling)
+        if not spelling or spelling.isalpha() and not doubled:
+            return ()
+        found = self.readings.get(spelling)
+        if found is None:
+            if len(self.readings) >= MEMO:
+                self.readings.clear()
+            words = decode(spelling, self.model).split()
+            if doubled and not spelling.isalpha():
+                words += decode(spelling, self.model, repeats=False).split()
+            parts = _PARTS.findall(spelling)
+            if len(parts) > 1:
+                words += [w for p in parts if not p.isalpha() and not p.isdigit() for w in decode(p, self.model).split()]
+            found = self.readings[spelling] = tuple(words)
+        return found
+
+    def spaced(self, run: str) -> tuple[str, ...]:
+        """Words of a run of single letters: as one word, and with borders where the model sees them."""
+        return (*self.token(run[::2]), *decode(run, self.model).split()) if len(run) < 80 else tuple(decode(run, self.model).split())
 
     def words(self, text: str | None) -> set[str]:
         """Distinct restored words of a whole text."""
@@ -157,8 +177,7 @@ class Restorer:
         for token in set(low.split()):
             out.update(self.token(token))
         for run in _SPACED.findall(low):
-            letters = run[::2]
-            out.update(self.token(letters) if len(letters) <= 40 else (decode(letters, self.model),))
+            out.update(self.spaced(run))
         return out
 
 
@@ -245,7 +264,7 @@ def scorer(restore: Restorer, weights: dict[str, float], intercept: float):
                     if own:
                         hits |= own
                 for run in _SPACED.findall(low):
-                    hits |= found(restore._token(run[::2]) if len(run) < 80 else (decode(run[::2], restore.model),))
+                    hits |= found(restore.spaced(run))
                 out.append(1 / (1 + np.exp(-(intercept + sum(weights[f] for f in sorted(hits))))))
             yield pd.Series(out, dtype="float64")
 
