@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -31,7 +32,7 @@ WINDOW = 1024
 END = 0
 BLOCK_DOCUMENTS = 256
 MEMO = 1_000_000  # chunks of text that a worker remembers
-SPECIAL = b"<|endoftext|>"  # an entry that no merging makes; in a text it is ordinary text
+SPECIAL = b"<|endoftext|>"  # an entry that no merging makes
 
 Piece = tuple[int, int, int]  # place of the document in its block, start, length
 
@@ -121,7 +122,11 @@ class Tokens:
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
-            entries = json.load(file)["model"]["vocab"]
+            content = json.load(file)
+        entries = content["model"]["vocab"]
+        # Added tokens are found in texts before anything is merged, the longest first, as the library does.
+        self.added = {x["content"]: struct.pack("<I", x["id"]) for x in content["added_tokens"]}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         # The file spells a byte as itself where it prints, and the others, in order, as characters from 256 on.
         prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in prints]
@@ -162,6 +167,18 @@ class Tokens:
         return [b"".join(map(self.memo.__getitem__, chunks)) for chunks in chunked]
 
 
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """As ``encode``, with the file's added tokens as single ids."""
+        out = self.encode([None if t and self.cut and self.cut.search(t) else t for t in texts])
+        for i, text in enumerate(texts):
+            if text and self.cut and self.cut.search(text):
+                parts = self.cut.split(text)
+                parts[::2] = self.encode(parts[::2])
+                parts[1::2] = map(self.added.__getitem__, parts[1::2])
+                out[i] = b"".join(parts)
+        return out
+
+
 def _packer(path: str, capacity: int):
     columns = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     end = np.array([END], dtype="<u4").tobytes()
@@ -173,7 +190,7 @@ def _packer(path: str, capacity: int):
         for batch in batches:
             for begin in range(0, len(batch), BLOCK_DOCUMENTS):
                 block = batch.iloc[begin : begin + BLOCK_DOCUMENTS]
-                ids = [raw + end for raw in tokens.encode(block["text"].tolist())]
+                ids = [raw + end for raw in tokens.ids(block["text"].tolist())]
                 rows, owners = [], []
                 for window in pack([len(raw) // 4 for raw in ids], capacity):
                     offset = 0
