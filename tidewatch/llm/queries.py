@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import inverted_multi_index, line_dedup, lm_scoring, minhash, packing, pieces, spotsigs, suffix_dedup, token_counts, toxicity
+from tidewatch.llm import inverted_multi_index, line_dedup, lm_scoring, minhash, packing, pieces, spotsigs, suffix_dedup, token_counts, toxicity, whitening
 from tidewatch.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": lambda spark, sf: toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op9_line_dedup": _on_documents(line_dedup.line_dedup),
     "op10_token_counts": _on_documents(token_counts.token_counts),
+    "op11_whitening": lambda spark, sf: whitening.whiten(table(spark, sf, "embeddings")),
 }
 
 SQL: dict[str, str] = {
