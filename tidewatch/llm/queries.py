@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import bit_sliced, inverted_multi_index, line_dedup, lm_scoring, minhash, packing, pieces, spotsigs, suffix_dedup, token_counts, toxicity, whitening
+from tidewatch.llm import bit_sliced, inverted_multi_index, line_dedup, lm_scoring, minhash, packing, pieces, spotsigs, suffix_dedup, token_combinations, token_counts, toxicity, whitening
 from tidewatch.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,9 +29,11 @@ QUERIES: dict[str, Query] = {
     "op10_token_counts": _on_documents(token_counts.token_counts),
     "op11_whitening": lambda spark, sf: whitening.whiten(table(spark, sf, "embeddings")),
     "op12_ranked_search": bit_sliced.ranked_search,
+    "op13_jaccard_join": _on_documents(token_combinations.jaccard_join),
 }
 
 SQL: dict[str, str] = {
     "op9_line_dedup": line_dedup.SQL,
     "op12_ranked_search": bit_sliced.SQL,
+    "op13_jaccard_join": token_combinations.SQL,
 }
