@@ -237,6 +237,83 @@ split AS (
   FROM predictor)"""
 
 
+# ---- the forest: 200 trees of 256 rows, eight levels ------------------------
+
+# One run of 51,200 rows if there are more, else several runs over all rows.
+_TREE_SAMPLES = f"""
+sizes AS (SELECT count(*) AS n, least(count(*), 256) AS psi FROM events),
+plan AS (SELECT *, greatest(1, least(n, 200 * psi) // psi) AS per_round FROM sizes),
+pool AS (SELECT event_id AS log_id FROM events
+         QUALIFY row_number() OVER (ORDER BY {_rank("event_id")}, event_id) <= (SELECT 200 * psi FROM sizes)),
+offered AS (SELECT log_id, round, psi, per_round,
+                   row_number() OVER (PARTITION BY round ORDER BY
+                     {_draw(42, "order", "(log_id + round * 1000003000019)")}, log_id) - 1 AS spot
+            FROM pool, plan, unnest(range(0, CAST(ceil(200 / per_round) AS BIGINT))) AS r(round)),
+samples AS (
+  SELECT CAST(round * per_round + spot // psi AS INTEGER) AS tree, CAST(spot % psi AS INTEGER) AS place, log_id
+  FROM offered WHERE spot < per_round * psi AND round * per_round + spot // psi < 200)"""
+
+_FOREST_FEATURES = ("log_exec_time", "server_cpu_load", "hour_of_day", "qt_code", "tbl_code", "is_peak_hour")
+_DEPTH = 8
+_EULER = 0.5772156649015329  # fixed value: Euler's constant
+
+
+def _mean_path(n: str) -> str:
+    return (
+        f"CASE WHEN {n} > 2 THEN 2 * (ln({n} - 1) + {_EULER}::DOUBLE) - 2 * ({n} - 1)::DOUBLE / {n} "
+        f"WHEN {n} = 2 THEN 1::DOUBLE ELSE 0::DOUBLE END"
+    )
+
+
+def _forest() -> str:
+    """Grown level by level: every node draws its feature and cut from (tree, slot); then all rows walk all trees."""
+    standard = ", ".join(f"({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1)" for c in _FOREST_FEATURES)
+    lows, highs = (", ".join(f"{f}(x[{i}])" for i in range(1, len(_FOREST_FEATURES) + 1)) for f in ("min", "max"))
+    parts = [f"scaled AS MATERIALIZED (SELECT log_id, [{standard}] AS x FROM features)", _TREE_SAMPLES.strip()]
+    parts.append("level0 AS MATERIALIZED (SELECT tree, 0 AS slot, x FROM samples JOIN scaled USING (log_id))")
+    for level in range(_DEPTH + 1):
+        usable = "[i FOR i IN range(1, 7) IF highs[i] > lows[i]]" if level < _DEPTH else "[]::BIGINT[]"
+        parts.append(f"""
+node{level} AS MATERIALIZED (
+  SELECT tree, slot, n, feature, lows[feature] + (highs[feature] - lows[feature])
+           * ({_draw(42, "cut", "key")} / 2147483648::DOUBLE) AS cut
+  FROM (SELECT *, usable[(({_draw(42, "feature", "key")} * len(usable)) >> 31) + 1] AS feature
+        FROM (SELECT *, CAST(tree AS BIGINT) * 1048576 + slot AS key, {usable} AS usable
+              FROM (SELECT tree, slot, count(*) AS n, [{lows}] AS lows, [{highs}] AS highs FROM level{level} GROUP BY ALL))))""")
+        if level < _DEPTH:
+            parts.append(f"""
+level{level + 1} AS MATERIALIZED (
+  SELECT tree, 2 * slot + CASE WHEN x[feature] <= cut THEN 1 ELSE 2 END AS slot, x
+  FROM level{level} JOIN node{level} USING (tree, slot) WHERE feature IS NOT NULL)""")
+    nodes = " UNION ALL ".join(f"SELECT *, {level} AS level FROM node{level}" for level in range(_DEPTH + 1))
+    parts.append(f"""
+nodes AS MATERIALIZED (
+  SELECT tree, slot, feature, cut,
+         CAST(floor(({_mean_path("n")} + level) / 1e-9::DOUBLE + 0.5::DOUBLE) AS BIGINT) AS path
+  FROM ({nodes}))""")
+    walk = "(SELECT log_id, x, CAST(unnest(range(0, 200)) AS INTEGER) AS tree, 0 AS slot FROM scaled)"
+    for _ in range(_DEPTH):
+        walk = f"""(SELECT w.log_id, w.x, w.tree,
+            CASE WHEN feature IS NULL THEN w.slot WHEN x[feature] <= cut THEN 2 * w.slot + 1 ELSE 2 * w.slot + 2 END AS slot
+            FROM {walk} w JOIN nodes USING (tree, slot))"""
+    parts.append(f"""
+scored AS MATERIALIZED (
+  SELECT log_id, -pow(2, -(CAST(sum(path) AS DOUBLE) / (200 / 1e-9::DOUBLE * any_value({_mean_path("psi")})))) AS raw_score
+  FROM {walk} w JOIN nodes USING (tree, slot), sizes GROUP BY log_id)""")
+    return ",\n".join(parts)
+
+
+FOREST = f"""{FEATURES},
+{_forest()},
+offset_ AS (SELECT quantile_cont(raw_score, 0.05) AS q FROM scored),
+flagged AS (
+  SELECT features.* EXCLUDE (log_id), raw_score - q AS anomaly_score,
+         CASE WHEN raw_score - q < 0 THEN 1 ELSE 0 END AS is_anomaly
+  FROM features JOIN scored USING (log_id), offset_),
+{CLEAN[CLEAN.index("clean AS ("):]}"""
+_SCORE = "round(anomaly_score, 9) + 0 AS anomaly_score"
+
+
 def _q(ctes: str, body: str) -> str:
     return f"WITH {ctes.strip()}\n{body.strip()}"
 
@@ -324,18 +401,13 @@ def flows() -> dict[str, str]:
         "split_class_balance": _q(f"""{PREDICTOR}, {_SPLIT}""", """
             SELECT is_test, count(*) AS n, CAST(sum(is_high_cpu) AS BIGINT) AS high_cpu,
                    CAST(sum(is_high_cpu) AS DOUBLE) / count(*) AS high_cpu_share FROM split GROUP BY 1"""),
-        # 200 trees of 256 rows: one run of 51,200 rows if there are more, else several runs over all rows.
-        "iforest_tree_samples": _q(f"""
-            sizes AS (SELECT count(*) AS n, least(count(*), 256) AS psi FROM events),
-            plan AS (SELECT *, greatest(1, least(n, 200 * psi) // psi) AS per_round FROM sizes),
-            pool AS (SELECT event_id AS log_id FROM events
-                     QUALIFY row_number() OVER (ORDER BY {_rank("event_id")}, event_id) <= (SELECT 200 * psi FROM sizes)),
-            offered AS (SELECT log_id, round, psi, per_round,
-                               row_number() OVER (PARTITION BY round ORDER BY
-                                 {_draw(42, "order", "(log_id + round * 1000003000019)")}, log_id) - 1 AS spot
-                        FROM pool, plan, unnest(range(0, CAST(ceil(200 / per_round) AS BIGINT))) AS r(round))""", """
-            SELECT CAST(round * per_round + spot // psi AS INTEGER) AS tree, CAST(spot % psi AS INTEGER) AS place, log_id
-            FROM offered WHERE spot < per_round * psi AND round * per_round + spot // psi < 200"""),
+        "iforest_tree_samples": _q(_TREE_SAMPLES, "SELECT tree, place, log_id FROM samples"),
+        "clean_logs": _q(FOREST, f"SELECT * REPLACE ({LOG} AS log_exec_time, {_SCORE}) FROM clean"),
+        "iforest_scores": _q(FOREST, f"""SELECT "timestamp", {_SCORE}, is_anomaly FROM clean"""),
+        "iforest_flags": _q(FOREST, """
+            SELECT count(*) AS n, CAST(sum(is_anomaly) AS BIGINT) AS anomalies,
+                   avg(CAST(is_anomaly AS DOUBLE)) AS anomaly_share FROM clean"""),
+        "fct_server_health_forest": _q(FOREST, health),
         "iforest_scaled_features": _q(FEATURES, "SELECT log_id, " + ", ".join(
             f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) + 0 AS {c}"
             for c in ("log_exec_time", "server_cpu_load", "hour_of_day", "qt_code", "tbl_code", "is_peak_hour"))

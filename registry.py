@@ -58,6 +58,11 @@ def rounded_log(table: DataFrame) -> DataFrame:
     return table.withColumn("log_exec_time", round_half_away(F.col("log_exec_time"), 9))
 
 
+def rounded_scores(table: DataFrame) -> DataFrame:
+    """The last bits of a power differ too; plus zero, as a rounded score may be minus zero."""
+    return table.withColumn("anomaly_score", round_half_away(F.col("anomaly_score"), 9) + 0.0)
+
+
 def on(table: Query, report: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf: report(table(spark, sf))
 
@@ -327,8 +332,10 @@ def queries() -> dict[str, Query]:
         "review_csv_roundtrip": _review_csv_roundtrip,
         "table_roundtrip": _table_roundtrip,
         "export_roundtrip": _export_roundtrip,
-        "clean_logs": _forest_logs,
-        "iforest_scores": on(_forest_logs, lambda t: t.select("timestamp", "anomaly_score", "is_anomaly")),
+        "clean_logs": on(_forest_logs, lambda t: rounded_scores(rounded_log(t))),
+        "iforest_scores": on(
+            _forest_logs, lambda t: rounded_scores(t.select("timestamp", "anomaly_score", "is_anomaly"))
+        ),
         "iforest_flags": on(_forest_logs, logs.anomaly_share),
         "fct_server_health_forest": on(
             _forest_logs, lambda t: marts.fct_server_health(marts.stg_clean_logs(t))

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidewatch.functions.hashing import drawn_number
 from tidewatch.operators import iforest as I
 
 
@@ -71,10 +72,30 @@ def test_path_lengths_equal_a_walk_of_each_tree(points):
             slot = 2 * slot + (2 if scaled[forest.feature[tree, slot]] > forest.threshold[tree, slot] else 1)
         return forest.path[tree, slot - inner]
 
-    wanted = [np.mean([walk(t, row) for t in range(8)]) for row in rows]
-    assert np.allclose(I.path_lengths(vars(forest), rows), wanted)
+    wanted = [sum(int(walk(t, row)) for t in range(8)) for row in rows]
+    assert I.path_lengths(vars(forest), rows).tolist() == wanted
 
 
 def test_mean_path_values():
     assert I.mean_path(1) == 0 and I.mean_path(2) == 1
     assert I.mean_path(256) == pytest.approx(2 * (np.log(255) + np.euler_gamma) - 2 * 255 / 256)
+
+
+def test_a_missing_feature_gives_no_score(spark, points):
+    forest = I.fit(points, ["x", "y"], "id", **OPTIONS)
+    rows = spark.createDataFrame([(0.0, 0.0), (None, 0.0), (float("nan"), 1.0)], "x double, y double")
+    scored = rows.select(I.score_column(spark, forest).alias("raw_score"))
+    assert [r.raw_score is None for r in scored.collect()] == [False, True, True]
+    assert [r.is_anomaly for r in I.flag_anomalies(scored, "raw_score", offset=0.5).collect()] == [1, 0, 0]
+
+
+def test_a_tree_is_a_function_of_its_rows(points):
+    """Slot by slot: the drawn feature and cut lie where the draws for (tree, slot) put them."""
+    forest = I.fit(points, ["x", "y"], "id", n_trees=3, rows_per_tree=16)
+    drawn = I.standardised(I.tree_samples(points, 2020, "id", 3, 16, I.SEED), ["x", "y"], forest.means, forest.scales)
+    rows = {t: np.array([(r.x, r.y) for r in drawn.collect() if r.tree == t]) for t in range(3)}
+    for tree, held in rows.items():
+        low, high = held.min(axis=0), held.max(axis=0)
+        chosen = drawn_number(I.SEED, "feature", tree * I._SLOTS) * 2 >> 31
+        cut = low[chosen] + (high[chosen] - low[chosen]) * drawn_number(I.SEED, "cut", tree * I._SLOTS) / 2**31
+        assert forest.feature[tree, 0] == chosen and forest.threshold[tree, 0] == pytest.approx(cut, rel=1e-12)

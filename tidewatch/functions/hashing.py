@@ -34,6 +34,13 @@ def draw(seed: int, stream: str, key: Column) -> Column:
     return reduce(lambda acc, c: (acc * x + c) % PRIME, rest, F.lit(first).cast("long") % PRIME)
 
 
+def drawn_number(seed: int, stream: str, key: int) -> int:
+    """The same draw for one key outside of a plan."""
+    high_factor, first, *rest = coefficients(seed, stream)
+    x = ((key >> BITS) % PRIME * high_factor + (key & PRIME)) % PRIME
+    return reduce(lambda acc, c: (acc * x + c) % PRIME, rest, first % PRIME)
+
+
 def pick(drawn: Column, n: int) -> Column:
     """Uniform whole number in [0, n)."""
     return F.shiftright(drawn * n, BITS)

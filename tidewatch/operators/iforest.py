@@ -3,6 +3,11 @@
 Spark draws the rows of each tree, fits the trees in parallel and scores all
 rows; what crosses the driver is the model itself, whose size is set by the
 number of trees and the rows per tree, not by the data.
+
+Trees are grown from draws by (tree, slot), so that a tree is a function of its
+rows alone. Path lengths are whole numbers of ``PATH_UNIT``: their sums are
+exact, and rows that take equal paths have equal scores on any engine. A row
+with a missing feature has no score and no flag.
 """
 
 from __future__ import annotations
@@ -17,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewatch.functions.hashing import draw, whole_key
+from tidewatch.functions.hashing import BITS, draw, drawn_number, whole_key
 from tidewatch.operators.estimates import spread
 from tidewatch.operators.selection import exact_quantile, sample_exact
 from tidewatch.session import stage
@@ -28,7 +33,10 @@ ROWS_PER_TREE = 256
 CONTAMINATION = 0.05
 SEED = 42
 
-_NODES = "tree int, slot int, feature int, threshold double, path double"
+PATH_UNIT = 1e-9
+
+_NODES = "tree int, slot int, feature int, threshold double, path long"
+_SLOTS = 1 << 20  # numbers of slots that draws keep apart within a tree
 _SCORING_ROWS = 256
 _ROUND_STEP = 1_000_003_000_019
 
@@ -60,7 +68,7 @@ class Forest:
                 "slot": np.tile(np.arange(inner + lowest), trees),
                 "feature": np.hstack([self.feature, np.full((trees, lowest), -1)]).ravel(),
                 "threshold": np.hstack([self.threshold, np.zeros((trees, lowest))]).ravel(),
-                "path": np.hstack([np.zeros((trees, inner)), self.path]).ravel(),
+                "path": np.hstack([np.zeros((trees, inner), dtype="int64"), self.path]).ravel(),
             }
         )
         meta = F.struct(
@@ -163,28 +171,33 @@ def _depth(sample_size: int) -> int:
     return max(1, math.ceil(math.log2(max(sample_size, 2))))
 
 
+def path_units(level: int, n: int) -> int:
+    """The path length of a leaf with n rows, as a whole number."""
+    return math.floor((level + float(mean_path(n))) / PATH_UNIT + 0.5)
+
+
 def _grower(features: list[str], depth: int, seed: int):
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
         rows = pdf.sort_values("place")[features].to_numpy("float64")
-        rng = np.random.default_rng([seed, tree])
         inner = 2**depth - 1
         feature = np.zeros(2 * inner + 1, dtype="int32")
         threshold = np.full(2 * inner + 1, np.inf)
-        path = np.zeros(2 * inner + 1)
+        path = np.zeros(2 * inner + 1, dtype="int64")
         todo = [(0, 0, rows)]
         while todo:
             slot, level, part = todo.pop()
             low, high = part.min(axis=0), part.max(axis=0)
             usable = np.flatnonzero(high > low)
             if level == depth or not len(usable):
-                length = level + float(mean_path(len(part)))
+                length = path_units(level, len(part))
                 for _ in range(level, depth):
                     slot = 2 * slot + 1
                 path[slot] = length
                 continue
-            chosen = usable[rng.integers(len(usable))]
-            cut = rng.uniform(low[chosen], high[chosen])
+            node = tree * _SLOTS + slot
+            chosen = usable[drawn_number(seed, "feature", node) * len(usable) >> BITS]
+            cut = low[chosen] + (high[chosen] - low[chosen]) * (drawn_number(seed, "cut", node) / 2.0**BITS)
             feature[slot], threshold[slot] = chosen, cut
             left = part[:, chosen] <= cut
             todo.append((2 * slot + 1, level + 1, part[left]))
@@ -220,7 +233,7 @@ def _forest(nodes: DataFrame, features, means, scales, sample_size: int) -> Fore
         depth=(inner + 1).bit_length() - 1,
         feature=grid("feature")[:, :inner].astype("int32"),
         threshold=grid("threshold")[:, :inner],
-        path=grid("path")[:, inner:],
+        path=grid("path")[:, inner:].astype("int64"),
     )
 
 
@@ -228,7 +241,7 @@ def _forest(nodes: DataFrame, features, means, scales, sample_size: int) -> Fore
 
 
 def path_lengths(model: Mapping, rows: np.ndarray) -> np.ndarray:
-    """Mean path length of each row over the trees of a model, given as its fields.
+    """The sum of each row's path lengths over the trees of a model, given as its fields, in ``PATH_UNIT``.
 
     All trees are walked together, one level at a time, for as many rows as
     keep the arrays (trees x rows) in the processor's cache.
@@ -236,14 +249,14 @@ def path_lengths(model: Mapping, rows: np.ndarray) -> np.ndarray:
     trees, inner = model["feature"].shape
     slots = 2 * inner + 1
     feature = np.zeros((trees, slots), dtype="intp")
-    threshold, path = np.zeros((trees, slots)), np.zeros((trees, slots))
+    threshold, path = np.zeros((trees, slots)), np.zeros((trees, slots), dtype="int64")
     feature[:, :inner], threshold[:, :inner] = model["feature"], model["threshold"]
     path[:, inner:] = model["path"]
     feature, threshold, path = feature.ravel(), threshold.ravel(), path.ravel()
     root = (np.arange(trees) * slots)[:, None]
 
     scaled = ((rows - np.asarray(model["means"])) / np.asarray(model["scales"])).T
-    out = np.empty(len(rows))
+    out = np.empty(len(rows), dtype="int64")
     for start in range(0, len(rows), _SCORING_ROWS):
         part = scaled[:, start : start + _SCORING_ROWS]
         width = part.shape[1]
@@ -263,24 +276,25 @@ def path_lengths(model: Mapping, rows: np.ndarray) -> np.ndarray:
             at += at
             at += 1 - root
             at += right
-        out[start : start + width] = path.take(at).mean(axis=0)
+        out[start : start + width] = path.take(at).sum(axis=0)
     return out
 
 
 def score_column(spark: SparkSession, forest: Forest) -> Column:
-    """Raw score of a row, in [-1, 0): the lower, the more isolated.
+    """Raw score of a row, in [-1, 0): the lower, the more isolated (M12); NULL if a feature is.
 
     Only the feature columns travel to Python; the rest of the row stays.
     """
     shared = spark.sparkContext.broadcast(vars(forest))
-    norm = float(mean_path(forest.sample_size)) or 1.0
+    norm = len(forest.path) / PATH_UNIT * (float(mean_path(forest.sample_size)) or 1.0)
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         model = shared.value
         for columns in batches:
             rows = np.column_stack([c.to_numpy("float64") for c in columns])
-            yield pd.Series(-np.exp2(-path_lengths(model, rows) / norm))
+            raw = -np.exp2(-path_lengths(model, rows) / norm)
+            yield pd.Series(raw).mask(np.isnan(rows).any(axis=1))
 
     return score(*[F.col(c).cast("double") for c in forest.features])
 
