@@ -314,6 +314,82 @@ flagged AS (
 _SCORE = "round(anomaly_score, 9) + 0 AS anomaly_score"
 
 
+# ---- three rounds of boosting ------------------------------------------------
+
+_PREDICTORS = ("hour_of_day", "day_of_week", "is_peak_hour", "is_orders_table", "qt_code", "tbl_code")
+
+
+def _worth(side: str) -> str:
+    g, h = f"({side}g / 16777216::DOUBLE)", f"({side}h / 16777216::DOUBLE)"
+    return f"{g} * {g} / ({h} + 1::DOUBLE)"
+
+
+def _boosting(rounds: int = 3, depth: int = 5) -> str:
+    """Each level: sums of gradients and curvatures per (node, feature, value), the best cut of each node, one step down."""
+    listed = ", ".join(f"coalesce({c}, -1)" for c in _PREDICTORS)
+    parts = [f"""
+margin0 AS MATERIALIZED (
+  SELECT is_test, {", ".join(_PREDICTORS)}, is_high_cpu, weight, [{listed}] AS x, 0::DOUBLE AS margin
+  FROM (SELECT is_test, {", ".join(_PREDICTORS)}, is_high_cpu, count(*) AS weight
+        FROM predictor JOIN split USING (log_id, is_high_cpu) GROUP BY ALL))"""]
+    for r in range(rounds):
+        parts.append(f"""
+r{r}level0 AS MATERIALIZED (
+  SELECT *, 0 AS slot,
+         CAST(floor((p - is_high_cpu) * 16777216 + 0.5::DOUBLE) AS BIGINT) * weight AS g,
+         CAST(floor(p * (1 - p) * 16777216 + 0.5::DOUBLE) AS BIGINT) * weight AS h
+  FROM (SELECT *, 1 / (1 + exp(-margin)) AS p FROM margin{r}))""")
+        for level in range(depth):
+            parts.append(f"""
+r{r}cut{level} AS MATERIALIZED (
+  SELECT slot, feature, threshold, gain
+  FROM (SELECT *, {_worth("l")} + {_worth("r")} - {_worth("t")} AS gain
+        FROM (SELECT *, tg - lg AS rg, th - lh AS rh
+              FROM (SELECT slot, f AS feature, v AS threshold,
+                           CAST(sum(g) OVER (PARTITION BY slot, f ORDER BY v) AS BIGINT) AS lg,
+                           CAST(sum(h) OVER (PARTITION BY slot, f ORDER BY v) AS BIGINT) AS lh,
+                           CAST(sum(g) OVER (PARTITION BY slot, f) AS BIGINT) AS tg,
+                           CAST(sum(h) OVER (PARTITION BY slot, f) AS BIGINT) AS th
+                    FROM (SELECT slot, f, x[f] AS v, sum(g) AS g, sum(h) AS h
+                          FROM r{r}level{level}, unnest(range(1, 7)) AS u(f)
+                          WHERE NOT is_test AND slot >= {2**level - 1} GROUP BY ALL)))
+        WHERE lh >= 16777216 AND rh >= 16777216)
+  WHERE gain > 1e-6::DOUBLE
+  QUALIFY row_number() OVER (PARTITION BY slot ORDER BY gain DESC, feature, threshold) = 1),
+r{r}level{level + 1} AS MATERIALIZED (
+  SELECT l.* REPLACE (CASE WHEN feature IS NULL THEN slot WHEN x[feature] <= threshold THEN 2 * slot + 1
+                           ELSE 2 * slot + 2 END AS slot)
+  FROM r{r}level{level} l LEFT JOIN r{r}cut{level} USING (slot))""")
+        parts.append(f"""
+r{r}leaf AS MATERIALIZED (
+  SELECT slot, -(CAST(sum(g) AS BIGINT) / 16777216::DOUBLE) / (CAST(sum(h) AS BIGINT) / 16777216::DOUBLE + 1::DOUBLE) * 0.05::DOUBLE AS value
+  FROM r{r}level{depth} WHERE NOT is_test GROUP BY slot),
+margin{r + 1} AS MATERIALIZED (
+  SELECT l.* EXCLUDE (slot, g, h, p) REPLACE (margin + coalesce(value, 0) AS margin) FROM r{r}level{depth} l LEFT JOIN r{r}leaf USING (slot))""")
+    nodes = []
+    for r in range(rounds):
+        nodes += [f"SELECT {r} AS tree, slot, feature - 1 AS feature, threshold, gain, 0::DOUBLE AS value FROM r{r}cut{k}" for k in range(depth)]
+        nodes.append(f"SELECT {r} AS tree, slot, -1 AS feature, 0 AS threshold, 0::DOUBLE AS gain, value FROM r{r}leaf WHERE value <> 0")
+    parts.append(f"boosted_nodes AS ({' UNION ALL '.join(nodes)})")
+    return f"{PREDICTOR}, {_SPLIT}," + ",".join(parts)
+
+
+_RULE = f"""{PREDICTOR},
+ruled AS (
+  SELECT *, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS predicted
+  FROM (SELECT is_high_cpu, (hour_of_day * 7 + day_of_week * 3 + qt_code * 5 + tbl_code * 11 + is_orders_table * 20
+                             + is_peak_hour * 13) % 101 / 101::DOUBLE AS score FROM predictor)),
+classes AS (
+  SELECT class, CAST(count(*) FILTER (WHERE is_high_cpu = v AND predicted = v) AS DOUBLE) AS hits,
+         count(*) FILTER (WHERE predicted = v) AS claimed, count(*) FILTER (WHERE is_high_cpu = v) AS support
+  FROM ruled, (VALUES (0, 'Normal CPU'), (1, 'High CPU')) AS c(v, class) GROUP BY class),
+shares AS (
+  SELECT class, coalesce(hits / nullif(claimed, 0), 0) AS precision, coalesce(hits / nullif(support, 0), 0) AS recall, support
+  FROM classes),
+measured AS (
+  SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) AS f1 FROM shares)"""
+
+
 def _q(ctes: str, body: str) -> str:
     return f"WITH {ctes.strip()}\n{body.strip()}"
 
@@ -401,6 +477,30 @@ def flows() -> dict[str, str]:
         "split_class_balance": _q(f"""{PREDICTOR}, {_SPLIT}""", """
             SELECT is_test, count(*) AS n, CAST(sum(is_high_cpu) AS BIGINT) AS high_cpu,
                    CAST(sum(is_high_cpu) AS DOUBLE) / count(*) AS high_cpu_share FROM split GROUP BY 1"""),
+        "gbt_trees": _q(_boosting(), """
+            SELECT CAST(tree AS INTEGER) AS tree, CAST(slot AS INTEGER) AS slot, CAST(feature AS INTEGER) AS feature,
+                   CAST(threshold AS INTEGER) AS threshold, round(gain, 9) + 0 AS gain, round(value, 9) + 0 AS value
+            FROM boosted_nodes"""),
+        "gbt_predictions": _q(_boosting(), f"""
+            SELECT {", ".join(_PREDICTORS)}, is_high_cpu, weight, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS predicted,
+                   round(p, 9) AS spike_probability
+            FROM (SELECT *, 1 / (1 + exp(-margin)) AS p FROM margin3) WHERE is_test"""),
+        "metrics_summary": _q(_RULE, """
+            SELECT (SELECT count(*) FROM ruled) AS n,
+                   (SELECT avg(CASE WHEN predicted = is_high_cpu THEN 1::DOUBLE ELSE 0 END) FROM ruled) AS accuracy,
+                   round(sum(CASE WHEN a.score > b.score THEN 1::DOUBLE WHEN a.score = b.score THEN 0.5::DOUBLE ELSE 0 END * a.n * b.n)
+                         / sum(a.n * b.n), 12) AS roc_auc
+            FROM (SELECT score, count(*) AS n FROM ruled WHERE is_high_cpu = 1 GROUP BY 1) a,
+                 (SELECT score, count(*) AS n FROM ruled WHERE is_high_cpu = 0 GROUP BY 1) b"""),
+        "metrics_class_report": _q(_RULE, """
+            SELECT class, round(precision, 12) AS precision, round(recall, 12) AS recall, round(f1, 12) AS f1, support FROM measured
+            UNION ALL SELECT 'macro avg', round(avg(precision), 12), round(avg(recall), 12), round(avg(f1), 12), CAST(sum(support) AS BIGINT)
+            FROM measured
+            UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 12), round(sum(recall * support) / sum(support), 12),
+                   round(sum(f1 * support) / sum(support), 12), CAST(sum(support) AS BIGINT) FROM measured"""),
+        "metrics_confusion": _q(_RULE, """
+            SELECT is_high_cpu AS actual, count(*) FILTER (WHERE predicted = 0) AS predicted_normal,
+                   count(*) FILTER (WHERE predicted = 1) AS predicted_high FROM ruled GROUP BY 1"""),
         "iforest_tree_samples": _q(_TREE_SAMPLES, "SELECT tree, place, log_id FROM samples"),
         "clean_logs": _q(FOREST, f"SELECT * REPLACE ({LOG} AS log_exec_time, {_SCORE}) FROM clean"),
         "iforest_scores": _q(FOREST, f"""SELECT "timestamp", {_SCORE}, is_anomaly FROM clean"""),

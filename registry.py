@@ -13,7 +13,7 @@ from tidewatch.functions.text import normalise_label
 from tidewatch import schemas as S
 from tidewatch.operators import classify as C
 from tidewatch.operators import quality as Q
-from tidewatch.operators import iforest, selection, spike_model
+from tidewatch.operators import iforest, metrics, selection, spike_model
 from tidewatch.plans import column_tests, contracts, delivery, exports, logs, marts, reviews
 from tidewatch.session import fresh_path, stage
 from tidewatch.sources import adapters as A
@@ -174,6 +174,65 @@ def _evaluation(spark: SparkSession, sf: str) -> spike_model.Evaluation:
     return spike_model.train_and_evaluate(rows, "log_id")
 
 
+def _few_rounds(spark: SparkSession, sf: str) -> spike_model.Evaluation:
+    """Three rounds of the learner, as many as plain SQL can follow."""
+    return spike_model.train_and_evaluate(logs.predictor_features(A.raw_logs(spark, sf)), "log_id", n_trees=3)
+
+
+def _boosted_trees(spark: SparkSession, sf: str) -> DataFrame:
+    nodes = _few_rounds(spark, sf).model.to_frame(spark)
+    figures = [(round_half_away(F.col(c), 9) + 0.0).alias(c) for c in ("gain", "value")]
+    return nodes.select("tree", "slot", "feature", "threshold", *figures)
+
+
+def _boosted_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    test = _few_rounds(spark, sf).test.drop("is_test")
+    return test.withColumn("spike_probability", round_half_away(F.col("spike_probability"), 9))
+
+
+def _boosted_report(spark: SparkSession, sf: str) -> DataFrame:
+    """All figures of the full predictor from one training, in long form."""
+    done = _evaluation(spark, sf)
+    card = spike_model.scorecard(done)
+    card = card.select(F.lit("scorecard").alias("report"), F.explode(_cells(card.columns)))
+    report = spike_model.class_report(done.test)
+    measures = [c for c in report.columns if c != "class"]
+    report = report.select(F.col("class").alias("report"), F.explode(_cells(measures)))
+    cells = spike_model.confusion(done.test)
+    counts = [c for c in cells.columns if c != "actual"]
+    cells = cells.select(F.concat(F.lit("actual "), F.col("actual").cast("string")).alias("report"), F.explode(_cells(counts)))
+    shares = spike_model.importances(done)
+    shares = shares.select(F.lit("importance").alias("report"), F.col("feature").alias("name"), F.col("importance").alias("value"))
+    rows = [part.select("report", "col.name", "col.value") for part in (card, report, cells)]
+    return Q.union_all([*rows, shares])
+
+
+def _cells(columns: list[str]):
+    return F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
+
+
+def _rule_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """The log with a fixed rule as the predictor: many equal scores, both kinds of errors."""
+    rows = logs.predictor_features(A.raw_logs(spark, sf))
+    mixed = F.col("hour_of_day") * 7 + F.col("day_of_week") * 3 + F.col("qt_code") * 5 + F.col("tbl_code") * 11
+    score = (mixed + F.col("is_orders_table") * 20 + F.col("is_peak_hour") * 13) % 101
+    scored = rows.withColumn("score", score / F.lit(101.0)).withColumn("weight", F.lit(1))
+    return scored.withColumn("predicted", (F.col("score") > 0.5).cast("int"))
+
+
+def _metrics_summary(rows: DataFrame) -> DataFrame:
+    label = spike_model.LABEL
+    right = rows.agg(F.count("*").alias("n"), metrics.accuracy(label, "predicted", "weight").alias("accuracy"))
+    auc = metrics.roc_auc(rows, "score", label, "weight")
+    # Two frames of one row each.
+    return right.join(auc, F.lit(True)).select("n", "accuracy", round_half_away(F.col("roc_auc"), 12).alias("roc_auc"))
+
+
+def _metrics_classes(rows: DataFrame) -> DataFrame:
+    report = metrics.class_report(rows, spike_model.LABEL, "predicted", "weight")
+    return report.withColumns({c: round_half_away(F.col(c), 12) for c in ("precision", "recall", "f1")})
+
+
 def _tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The five tables. Those that take a join are stored, as several checks read them.
 
@@ -340,6 +399,14 @@ def queries() -> dict[str, Query]:
         "fct_server_health_forest": on(
             _forest_logs, lambda t: marts.fct_server_health(marts.stg_clean_logs(t))
         ),
+        "gbt_trees": _boosted_trees,
+        "gbt_predictions": _boosted_predictions,
+        "gbt_report": _boosted_report,
+        "metrics_summary": on(_rule_predictions, _metrics_summary),
+        "metrics_class_report": on(_rule_predictions, _metrics_classes),
+        "metrics_confusion": on(
+            _rule_predictions, lambda t: metrics.confusion(t, spike_model.LABEL, "predicted", "weight")
+        ),
         "gbt_scorecard": lambda spark, sf: spike_model.scorecard(_evaluation(spark, sf)),
         "gbt_class_report": lambda spark, sf: spike_model.class_report(_evaluation(spark, sf).test),
         "gbt_confusion": lambda spark, sf: spike_model.confusion(_evaluation(spark, sf).test),

@@ -6,16 +6,15 @@ query is scored on its own: no state, no watermark.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch import schemas as S
 from tidewatch.functions import scalar as X
-from tidewatch.operators.spike_model import predict
+from tidewatch.operators.spike_model import Booster, predict
 
 
-def score_submitted(queries: DataFrame, model: PipelineModel) -> DataFrame:
+def score_submitted(queries: DataFrame, model: Booster) -> DataFrame:
     """Adds the predicted label and probability to a stream (or table) of submitted queries.
 
     Needs ``timestamp``, ``query_type`` and ``target_table``.
