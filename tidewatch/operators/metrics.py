@@ -9,9 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tidewatch.session import stage
+from tidewatch.operators.ranks import running
 
 # The names of the two classes in reports.
 CLASSES = ((0, "Normal CPU"), (1, "High CPU"))
@@ -21,9 +20,8 @@ _WIDE = "decimal(38,0)"
 def roc_auc(df: DataFrame, score: str, label: str, weight: str) -> DataFrame:
     """One row: ``roc_auc``, exact, ties counting half; NULL without both classes (M5).
 
-    Rows are counted per distinct score, and the scores are dealt to tasks by
-    range. A score's negatives below it are those of the ranges before, of
-    which there is one row each, and those of its own range before it.
+    Rows are counted per distinct score; the negatives below each score are
+    running sums over ranges of scores.
     """
     is_high = F.col(label) == 1
     counts = (
@@ -35,14 +33,8 @@ def roc_auc(df: DataFrame, score: str, label: str, weight: str) -> DataFrame:
             F.sum(F.when(is_high, 0).otherwise(F.col(weight))).cast(_WIDE).alias("low"),
         )
     )
-    # Stored, so that a row's range is the same in every pass and after a retry.
-    ranged = stage(counts.repartitionByRange("score").withColumn("range", F.spark_partition_id()), "score-ranges")
-    totals = ranged.groupBy("range").agg(F.sum("low").alias("range_low"))
-    earlier = F.sum("range_low").over(Window.partitionBy(F.lit(0)).orderBy("range")) - F.col("range_low")
-    starts = totals.select("range", earlier.cast(_WIDE).alias("start"))
-    within = F.sum("low").over(Window.partitionBy("range").orderBy("score")) - F.col("low")
-    placed = ranged.withColumn("within", within.cast(_WIDE)).join(starts, "range")
-    won = F.col("high").cast("double") * (2 * (F.col("start") + F.col("within")) + F.col("low")).cast("double")
+    placed = running(counts.withColumn("all", F.lit(0)), ["all"], "score", "low")
+    won = F.col("high").cast("double") * (2 * F.col("before") + F.col("low")).cast("double")
     sums = placed.agg(F.sum(won).alias("won"), F.sum("high").cast("double").alias("high"), F.sum("low").cast("double").alias("low"))
     return sums.select(F.try_divide("won", 2 * F.col("high") * F.col("low")).alias("roc_auc"))
 

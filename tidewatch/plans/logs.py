@@ -10,6 +10,7 @@ from tidewatch import schemas as S
 from tidewatch.functions import scalar as X
 from tidewatch.operators import iforest
 from tidewatch.operators.estimates import spread
+from tidewatch.operators.ranks import quantile, running, totals
 from tidewatch.operators.selection import exact_quantile
 from tidewatch.operators.spike_model import FEATURES
 from tidewatch.session import stage
@@ -96,12 +97,13 @@ def box_stats(logs: DataFrame) -> DataFrame:
 
     Rows are first counted per (table, run time), which partial aggregation
     does before the shuffle; quartiles, whiskers and outliers all come from
-    the counts.
+    the stored counts, whose ranges share the work of a large table.
     """
     ms, n = F.col("execution_time_ms").cast("double"), F.col("n")
     counts = logs.groupBy("target_table", ms.alias("ms")).agg(F.count("*").alias("n"))
-    quartiles = counts.groupBy("target_table").agg(
-        F.percentile("ms", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), n).alias("q"),
+    placed = running(counts.filter("ms IS NOT NULL"), ["target_table"], "ms", "n")
+    quartiles = totals(placed, ["target_table"], "n").groupBy("target_table").agg(
+        F.array(*[quantile(q, "ms", "n") for q in (0.25, 0.5, 0.75)]).alias("q"),
         (F.sum(F.col("ms") * n) / F.sum(n)).alias("mean_ms"),
     )
     reach = (F.col("q")[2] - F.col("q")[0]) * 1.5
@@ -117,7 +119,7 @@ def box_stats(logs: DataFrame) -> DataFrame:
     inside = F.col("ms").between(F.col("low"), F.col("high"))
     keys = ["target_table", "q1", "median", "q3", "mean_ms"]
     return (
-        counts.join(bounds, "target_table")
+        placed.join(bounds, "target_table")
         .groupBy(*keys)
         .agg(
             F.min(F.when(inside, F.col("ms"))).alias("whisker_low"),
