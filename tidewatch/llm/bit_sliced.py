@@ -40,7 +40,8 @@ COUNTS = (1, 2, 4, 8, 16, 32)  # a count above one of these sets a token of its
 BLOCK_DOCS, BLOCK_CELLS = 1024, 1 << 23
 ITEM_TERMS = 20_000
 BEST, TRIED = 10, 40
-MEMO = 500_000
+MEMO = 200_000
+SLICE = 2048  # documents whose terms are held at once
 
 # Bytes of terms, A-Z in lower case; every other byte is a gap. Bytes from 0x80 on belong to characters beyond ASCII.
 _BYTES = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256)).lower()
@@ -120,7 +121,7 @@ def _indexed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held.clear()
         return _filled(done)
 
-    for batch in batches:
+    for batch in (whole.iloc[i : i + SLICE] for whole in batches for i in range(0, len(whole), SLICE)):
         found = []
         for place, text in enumerate(batch["text"]):
             terms = terms_of(text)
