@@ -114,3 +114,32 @@ def test_numbers_are_gapless_over_many_ranges(spark, monkeypatch):
 def test_quantile_leaves_out_nan(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (float("nan"),), (None,)], "v double")
     assert X.exact_quantile(df, "v", 0.5) == 2.0
+
+
+@pytest.mark.parametrize("most", [1, 100_000])
+def test_a_hot_key_is_cut_by_content(spark, monkeypatch, most):
+    """A third of the rows share a key; ranges of one row at most take every digit on its own."""
+    monkeypatch.setattr(X, "_RANGE_ROWS", most)
+    rows = spark.range(3000).select(F.when(F.col("id") < 1000, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    before = sum(rank(k) < rank(7) for k in range(1000, 3000))
+    for n in (before, before + 1, before + 400, before + 1000, before + 1001):
+        drawn = X.sample_exact(rows.repartition(5), n, "k")
+        assert drawn.count() == n and drawn.filter("k = 7").count() == min(1000, n - before)
+        order = rows.withColumn("h", F.xxhash64("k", "v", F.lit(0))).filter("k = 7").collect()
+        wanted = sorted(order, key=lambda r: r.h % 2**64)[: n - before]
+        assert {r.v for r in drawn.filter("k = 7").collect()} == {r.v for r in wanted}
+
+
+def test_equal_rows_are_cut_by_their_count(spark, monkeypatch):
+    monkeypatch.setattr(X, "_COPIES", 16)
+    rows = spark.range(1000).select(F.lit(5).alias("k"), F.lit("same").alias("t"))
+    assert X.sample_exact(rows, 333, "k").collect() == [(5, "same")] * 333
+    split = X.split_stratified(rows.withColumn("y", F.lit(1)), "y", "k")
+    assert split.count() == 1000 and split.filter("is_test").count() == 200
+
+
+def test_nulls_in_key_and_label(spark):
+    rows = spark.range(100).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    assert [X.sample_exact(rows, n, "k").count() for n in (10, 50, 60, 100)] == [10, 50, 60, 100]
+    split = X.split_stratified(rows.withColumn("y", F.when(F.col("v") < 50, 1)), "y", "v")
+    assert split.count() == 100 and split.filter("is_test").count() == 10

@@ -5,8 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidewatch.functions.hashing import BITS, hash_rank
@@ -15,58 +18,124 @@ from tidewatch.functions.scalar import round_half_away
 _BUCKET_BITS = 16
 _VALUE_BUCKETS = 4096
 _RANGE_ROWS = 100_000
+_COPIES = 4096
 
 
-def rank_cuts(
-    df: DataFrame, key: str, seed: int, group: str, quota: Callable[[Column], Column]
-) -> DataFrame:
-    """Per group, the last (rank, key) among the first ``quota(group size)`` rows.
+def _narrowed(
+    rows: DataFrame, group: str, fixed: list[str], digits: list[str], quota: Callable[[Column], Column] | None = None
+) -> pa.Table:
+    """Per group, the value of ``digits`` that holds the wanted row, how many rows are wanted of it, and its size.
 
-    Rows are ordered by a hash of their key; ``_ties`` says how many rows of
-    the cut's own key are among the first. A count of rows per hash range,
-    65,536 of them in each group, shows the range that holds the cut; only
-    that range's rows are then put in order.
+    Without a quota, ``_take`` of the rows says how many of the group's rows are wanted. Rows are counted per value
+    before they are shuffled, and only these counts pass a window. The result has one row per group and is brought to
+    the driver, so that no step is computed twice.
     """
-    ranked = df.select(group, key, hash_rank(df, key, seed).alias("_rank"))
-    ranked = ranked.withColumn("_range", F.shiftright("_rank", BITS - _BUCKET_BITS))
-    counts = ranked.groupBy(group, "_range").agg(F.count("*").alias("_n"))
-
+    wanted = [] if quota else [F.first("_take").alias("_take")]
+    counts = rows.groupBy(group, *fixed, *digits).agg(F.count("*").alias("_n"), *wanted)
     per_group = Window.partitionBy(group)
-    running = counts.select(
-        group,
-        "_range",
-        F.sum("_n").over(per_group.orderBy("_range")).alias("_upto"),
-        (F.sum("_n").over(per_group.orderBy("_range")) - F.col("_n")).alias("_before"),
-        quota(F.sum("_n").over(per_group)).cast("long").alias("_quota"),
-    )
-    # One row per group.
-    edges = running.filter((F.col("_before") < F.col("_quota")) & (F.col("_quota") <= F.col("_upto")))
-    edges = edges.select(group, "_range", (F.col("_quota") - F.col("_before")).alias("_take"))
-    in_order = Window.partitionBy(group).orderBy("_rank", key)
-    return (
-        ranked.join(F.broadcast(edges), [group, "_range"])
-        .withColumn("_nth", F.row_number().over(in_order))
-        .withColumn("_ties", F.row_number().over(Window.partitionBy(group, "_rank", key).orderBy("_nth")))
-        .filter(F.col("_nth") == F.col("_take"))
-        .select(group, F.struct(F.col("_rank"), F.col(key)).alias("_cut"), "_ties")
+    upto = F.sum("_n").over(per_group.orderBy(*digits))
+    take = quota(F.sum("_n").over(per_group)).cast("long") if quota else F.col("_take")
+    running = counts.select(group, *fixed, *digits, "_n", take.alias("_take"), upto.alias("_upto"))
+    before = F.col("_upto") - F.col("_n")
+    edges = running.filter((before < F.col("_take")) & (F.col("_take") <= F.col("_upto")))
+    edges = edges.select(group, *fixed, *digits, (F.col("_take") - before).alias("_take"), "_n")
+    return edges.toArrow()
+
+
+def _refined(placed: DataFrame, edges: pa.Table, group: str, fixed: list[str], digits: list[str]) -> pa.Table:
+    """The edges with further digits: one after the other, or all at once where no range has over ``_RANGE_ROWS`` rows."""
+    while digits and edges.num_rows:
+        step = digits if pc.max(edges["_n"]).as_py() <= _RANGE_ROWS else digits[:1]
+        held = placed.sparkSession.createDataFrame(edges.drop_columns(["_n"]))
+        rows = placed.select(group, *fixed, *step).join(F.broadcast(held), [group, *fixed])
+        edges = _narrowed(rows, group, fixed, step)
+        fixed, digits = [*fixed, *step], digits[len(step) :]
+    return edges
+
+
+def _placed(df: DataFrame, key: str, seed: int) -> DataFrame:
+    """Rows with the digits of their place in drawing order: a hash of the key, the key, a hash of all columns.
+
+    A hash has no order of its own to keep, so its digits are compared as they are cut.
+    """
+    rank, content = hash_rank(df, key, seed), F.xxhash64(*_hashable(df))
+    return df.withColumns(
+        {
+            "_high": F.coalesce(F.shiftright(rank, BITS - _BUCKET_BITS), F.lit(-1)).cast("long"),
+            "_low": F.coalesce(rank % 2 ** (BITS - _BUCKET_BITS), F.lit(-1)).cast("long"),
+            "_key": F.struct(F.col(key).alias("k")),
+            "_first": F.shiftrightunsigned(content, 48),
+            "_second": F.shiftrightunsigned(content, 32) % 2**16,
+            "_rest": F.shiftrightunsigned(F.shiftleft(content, 32), 32),
+        }
     )
 
 
-def _with_cut(df: DataFrame, cuts: DataFrame, key: str, seed: int, group: str) -> DataFrame:
-    """The rows with the mark ``_chosen``.
+_KEY_DIGITS = ["_high", "_low", "_key"]
+_CONTENT_DIGITS = ["_first", "_second", "_rest"]
+_DIGITS = [*_KEY_DIGITS, *_CONTENT_DIGITS]
+
 
-    Rows that share the cut's key are chosen by a hash of all their columns,
-    as many as the quota has room for; only these few pass a window.
+def _hashable(df: DataFrame) -> list[Column]:
+    return [F.col(c) for c in df.columns if "map<" not in df.schema[c].dataType.simpleString()]
+
+
+def rank_cuts(df: DataFrame, key: str, seed: int, group: str, quota: Callable[[Column], Column]) -> pa.Table:
+    """Per group, the place of the last row among the first ``quota(group size)``, and ``_take`` rows of that place.
+
+    The place is found digit by digit, as in a radix sort that follows one branch: counts per value of a digit show
+    which value holds the row, and only rows with that value are counted by the next one, until few are left. The
+    digits of the hashes have at most 65,536 values, the keys of one hash value are few, and no row passes a window.
+    Where the cut falls between two keys, the place ends with the key, ``_take`` is NULL and no other column is read;
+    else rows of that key, however many, are told apart by their content in the same way. Equal rows stay together:
+    ``_take`` says how many of them are wanted.
+    """
+    placed = _placed(df, key, seed)
+    edges = _narrowed(placed.select(group, "_high"), group, [], ["_high"], quota)
+    edges = _refined(placed, edges, group, ["_high"], _KEY_DIGITS[1:])
+    split = pc.less(edges["_take"], edges["_n"])
+    inside = _refined(placed, edges.filter(split), group, _KEY_DIGITS, _CONTENT_DIGITS)
+    whole = edges.filter(pc.invert(split)).drop_columns(["_take", "_n"])
+    for name in (*_CONTENT_DIGITS, "_take"):
+        whole = whole.append_column(name, pa.nulls(whole.num_rows, pa.int64()))
+    if inside.num_rows:
+        whole = pa.concat_tables([whole, inside.select(whole.column_names).cast(whole.schema)])
+    return whole
+
+
+def _with_cut(df: DataFrame, cuts: pa.Table, key: str, seed: int, group: str) -> DataFrame:
+    """The rows with the mark ``_chosen``; a group without a cut has none.
+
+    Only rows equal to the one at the cut move: they are counted, and as many come back as there were, in blocks that
+    are dealt to tasks by their number.
     """
-    content = [F.col(c) for c in df.columns if "map<" not in df.schema[c].dataType.simpleString()]
+    if not cuts.num_rows:
+        return df.withColumn("_chosen", F.lit(False))
     # One row per group: the strata of a class label, or a single one.
-    position = F.struct(hash_rank(df, key, seed).alias("_rank"), F.col(key))
-    placed = df.withColumn("_content", F.xxhash64(*content)).join(F.broadcast(cuts), group, "left")
-    at_cut = F.coalesce(position == F.col("_cut"), F.lit(False))
-    clear = placed.filter(~at_cut).withColumn("_chosen", F.coalesce(position < F.col("_cut"), F.lit(False)))
-    nth = F.row_number().over(Window.partitionBy(group, key).orderBy("_content"))
-    tied = placed.filter(at_cut).withColumn("_chosen", nth <= F.col("_ties"))
-    return clear.unionByName(tied)
+    has_ties = cuts["_take"].null_count < cuts.num_rows
+    schema = _placed(df, key, seed).select(group, *_DIGITS, F.lit(0).cast("long").alias("_take")).schema
+    places = df.sparkSession.createDataFrame(cuts, T.StructType([T.StructField(f.name, f.dataType) for f in schema]))
+    cuts = places.select(group, F.struct(*_DIGITS).alias("_cut"), "_take")
+    placed = _placed(df, key, seed).join(F.broadcast(cuts), group, "left")
+
+    def compared(digits: list[str]) -> tuple[Column, Column]:
+        return F.struct(*digits), F.struct(*[F.col(f"_cut.{d}").alias(d) for d in digits])
+
+    key_place, key_cut = compared(_KEY_DIGITS)
+    by_key = F.coalesce(key_place <= key_cut, F.lit(False))
+    if not has_ties:
+        return placed.select(*df.columns, by_key.alias("_chosen"))
+    place, cut = compared(_DIGITS)
+    at_cut = F.coalesce(F.col("_take").isNotNull() & (place == cut), F.lit(False))
+    chosen = F.when(F.col("_take").isNull(), by_key).otherwise(place < cut)
+    clear = placed.filter(~at_cut).select(*df.columns, chosen.alias("_chosen"))
+    tied = placed.filter(at_cut).groupBy(*df.columns).agg(F.count("*").alias("_n"), F.first("_take").alias("_take"))
+    block = F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / _COPIES)))
+    blocks = tied.withColumn("_block", block).repartition(F.col("_block"))
+    first = F.col("_block") * _COPIES
+    last = F.least(first + _COPIES, F.col("_n")) - 1
+    copies = blocks.withColumn("_nth", F.explode(F.sequence(first, last)))
+    return clear.unionByName(copies.select(*df.columns, (F.col("_nth") < F.col("_take")).alias("_chosen")))
 
 
 def sample_exact(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
@@ -85,9 +154,8 @@ def indexed(rows: DataFrame, key: str, seed: int = 42, name: str = "row_idx") ->
     ranges first, so no window sees more than the root of that number. Rows
     that share a key are ordered by a hash of all their columns.
     """
-    content = [F.col(c) for c in rows.columns if "map<" not in rows.schema[c].dataType.simpleString()]
     bits = min(BITS, max(0, rows.count() // _RANGE_ROWS).bit_length())
-    ranked = rows.select("*", hash_rank(rows, key, seed).alias("_rank"), F.xxhash64(*content).alias("_content"))
+    ranked = rows.select("*", hash_rank(rows, key, seed).alias("_rank"), F.xxhash64(*_hashable(rows)).alias("_content"))
     ranked = ranked.withColumn("_range", F.shiftright("_rank", BITS - bits).cast("long"))
     counts = ranked.groupBy("_range").agg(F.count("*").alias("_n"))
     counts = counts.withColumn("_upper", F.shiftright("_range", bits // 2))
