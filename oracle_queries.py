@@ -632,6 +632,20 @@ parsed AS (
   FROM placed JOIN kinds USING (batch_id))"""
 
 
+# Half of the reviews in drawing order, ten to a request; requests of some lengths fail.
+JOB = f"""{REVIEWS},
+drawn AS (
+  SELECT *, row_number() OVER (ORDER BY {_rank("CAST(review_id AS BIGINT)")}, CAST(review_id AS BIGINT)) - 1 AS row_idx
+  FROM reviews WHERE review_comment_message IS NOT NULL
+  QUALIFY row_idx < count(*) OVER () // 2),
+batched AS (SELECT *, row_idx // 10 AS batch_id, row_idx % 10 AS position FROM drawn),
+requests AS (
+  SELECT batch_id, (length('Classify these reviews:') + 2 + length(
+           string_agg('[' || position || '] ' || review_comment_message, chr(10)))) % 5 = 0 AS is_error
+  FROM batched GROUP BY 1),
+job AS (SELECT * FROM batched JOIN requests USING (batch_id))"""
+
+
 def _stems(column: str, stems: list[str]) -> str:
     return "(" + " OR ".join(f"contains(lower({column}), '{stem}')" for stem in stems) + ")"
 
@@ -655,6 +669,14 @@ def model_calls() -> dict[str, str]:
                                    WHEN {_stems("text", S.NEGATIVE_STEMS)} THEN 'Negative'
                                    ELSE 'Neutral' END AS sentiment,
                    false AS is_error FROM placed"""),
+        "sentiment_job_accepted": _q(JOB, f"""
+            SELECT review_id, order_id, review_score, review_comment_message, review_creation_date,
+                   CASE WHEN {_stems("review_comment_message", S.POSITIVE_STEMS)} THEN 'Positive'
+                        WHEN {_stems("review_comment_message", S.NEGATIVE_STEMS)} THEN 'Negative'
+                        ELSE 'Neutral' END AS sentiment
+            FROM job WHERE NOT is_error"""),
+        "sentiment_job_rejected": _q(JOB, """
+            SELECT review_id, batch_id, CAST(position AS INTEGER) AS position FROM job WHERE is_error"""),
         "review_csv_roundtrip": _q(REVIEWS, "SELECT * EXCLUDE (raw_label) FROM reviews"),
         "table_roundtrip": _q(RAW_LOGS, """
             SELECT target_table, status, count(*) AS n, CAST(sum(execution_time_ms) AS BIGINT) AS total_ms

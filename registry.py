@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -21,6 +23,9 @@ from tidewatch.sources import files, synthetic
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The provider below travels with its job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # ---- tables the queries start from ----------------------------------------
 
 
@@ -165,6 +170,28 @@ def _classified(spark: SparkSession, sf: str) -> DataFrame:
     return labelled.select("review_id", "sentiment", "is_error")
 
 
+def unreliable_provider(instructions: str, request: str) -> str:
+    """The stand-in model, down for every request whose length is a multiple of five."""
+    if len(request) % 5 == 0:
+        raise ConnectionError("model is down")
+    return C.stem_provider(instructions, request)
+
+
+def _sentiment_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Half of the reviews with text drawn, batched, sent to a model that fails at times, and labelled."""
+    rows = A.reviews(spark, sf).withColumn("id", F.col("review_id").cast("long"))
+    half = reviews.with_text(rows).count() // 2
+    return reviews.sentiment_job(rows, unreliable_provider, fresh_path(spark, "ledger"), "id", half, per_task=25)
+
+
+def _job_sentiment(spark: SparkSession, sf: str) -> DataFrame:
+    return reviews.sentiment_table(_sentiment_job(spark, sf))
+
+
+def _job_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return C.rejected(_sentiment_job(spark, sf)).select("review_id", "batch_id", "position")
+
+
 def _forest_logs(spark: SparkSession, sf: str) -> DataFrame:
     return logs.clean_logs(A.raw_logs(spark, sf))
 
@@ -381,6 +408,8 @@ def queries() -> dict[str, Query]:
         "review_requests": _requests,
         "provider_parse": _parsed_replies,
         "provider_classify": _classified,
+        "sentiment_job_accepted": _job_sentiment,
+        "sentiment_job_rejected": _job_rejects,
         "classification_audit": on(_parsed_replies, reviews.classification_audit),
         "mart_csv_roundtrip": _mart_csv_roundtrip,
         "dq_column_tests": _column_tests,

@@ -12,7 +12,8 @@ from tidewatch.functions.text import truncate
 from tidewatch.operators import classify as C
 from tidewatch.operators.estimates import is_small
 from tidewatch.operators.joins import left_join, matching
-from tidewatch.operators.selection import sample_exact
+from tidewatch.operators.ledger import ask_once
+from tidewatch.operators.selection import indexed, sample_exact
 from tidewatch.session import stage
 
 UNKNOWN = "Unknown"
@@ -46,6 +47,32 @@ def classified_reviews(
     return stage(C.classify(chosen, provider, key="review_id", **options), "classified")
 
 
+def sentiment_job(
+    reviews: DataFrame,
+    provider: C.Provider,
+    ledger: str,
+    key: str = "review_id",
+    sample: int | None = None,
+    seed: int = 42,
+    batch: int = C.BATCH,
+    **waves,
+) -> DataFrame:
+    """The whole job (K17): sample, row index, batches, requests, replies by the ledger, labels and error marks.
+
+    Rows keep their columns and get ``batch_id``, ``position``, ``sentiment`` and ``is_error``. A later run on the
+    same ledger path sends only the requests that failed or were never sent.
+    """
+    chosen = with_text(reviews)
+    if sample is not None:
+        chosen = sample_exact(chosen, sample, key, seed)
+    numbered = indexed(chosen, key, seed)
+    place = {"batch_id": F.floor(F.col("row_idx") / batch), "position": (F.col("row_idx") % batch).cast("int")}
+    placed = stage(numbered.withColumns(place).drop("row_idx"), "review-batches")
+    requests = C.requests(placed, "batch_id", "position", "review_comment_message")
+    replies = ask_once(requests, provider, ledger, **waves).withColumnRenamed("reply", "_reply")
+    return C.apply_replies(placed, replies, "batch_id", "position", "_reply")
+
+
 def classification_audit(classified: DataFrame) -> DataFrame:
     """Rows, rows of failed batches, invalid labels and usable rows (Q20)."""
     return classified.agg(
