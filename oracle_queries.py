@@ -583,6 +583,7 @@ def flows() -> dict[str, str]:
                    CAST(count(*) FILTER (WHERE sentiment = 'Negative') AS DOUBLE) / count(*) * 100 AS "Negative"
             FROM sentiment GROUP BY 1"""),
         "category_join": _q(CATEGORIES, "SELECT * FROM categories"),
+        "category_join_shuffled": _q(CATEGORIES, "SELECT * FROM categories"),
         "category_orphans": _q(CATEGORIES, """
             SELECT *, CAST(unknown_rows AS DOUBLE) / joined_rows AS unknown_share,
                    CAST(unknown_rows AS DOUBLE) / joined_rows > 0.2::DOUBLE AS is_poor

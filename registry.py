@@ -48,9 +48,9 @@ def sentiment_table(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def categories_table(spark: SparkSession, sf: str) -> DataFrame:
+def categories_table(spark: SparkSession, sf: str, **options) -> DataFrame:
     return reviews.category_sentiment(
-        sentiment_table(spark, sf), A.items(spark, sf), A.products(spark, sf), A.translation(spark, sf)
+        sentiment_table(spark, sf), A.items(spark, sf), A.products(spark, sf), A.translation(spark, sf), **options
     )
 
 
@@ -397,6 +397,8 @@ def queries() -> dict[str, Query]:
         "sentiment_by_star": on(sentiment_table, reviews.by_star),
         "sentiment_by_star_pct": on(sentiment_table, reviews.by_star_pct),
         "category_join": categories_table,
+        # The plan for sides that are too large to broadcast, whatever their size here.
+        "category_join_shuffled": lambda spark, sf: categories_table(spark, sf, small_side_bytes=-1),
         "category_orphans": on(categories_table, reviews.orphans),
         "category_stats": stats_table,
         "category_top5": on(stats_table, reviews.best_rated),

@@ -61,9 +61,16 @@ def test_small_left_cuts_the_right_down(spark, tmp_path):
 
 def test_hot_keys_are_counted(sides, spark):
     left, right = sides
-    assert J.hot_keys(left, "k", 0.05) == [7] and J.hot_keys(right, "k", 0.05) == [9]
-    assert J.hot_keys(spark.range(5000), "id", 0.01) == []
-    assert J.hot_keys(spark.range(0), "id", 0.01) == []
+    assert list(J.hot_keys(left, "k", 0.05)) == [7] and list(J.hot_keys(right, "k", 0.05)) == [9]
+    assert J.hot_keys(spark.range(5000), "id", 0.01) == {}
+    assert J.hot_keys(spark.range(0), "id", 0.01) == {}
+
+
+def test_salts_follow_the_rows_of_a_key(spark):
+    rows = spark.range(1000).selectExpr("CASE WHEN id < 400 THEN 'a' WHEN id < 500 THEN 'b' ELSE string(id) END AS k")
+    assert J.hot_keys(rows, "k", 0.05) == {"a": 0.4, "b": 0.1}
+    assert dict(J.salts_of(rows, "k", 0.05, 100).collect()) == {"a": 8, "b": 2}
+    assert dict(J.salts_of(rows, "k", 0.05, 3).collect()) == {"a": 3, "b": 2}
 
 
 def test_a_hot_key_ends_in_many_tasks(spark, tmp_path):

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.operators.estimates import SMALL_SIDE_BYTES, is_row_local, is_small
 from tidewatch.session import stage
@@ -53,14 +56,14 @@ def salted_left_join(
 ) -> DataFrame:
     """Shuffled left join in which no task gets all rows of a hot key.
 
-    A side on which the key is hot scatters that key's rows over the salts,
-    and the other side repeats its rows of that key once per salt, so a pair
-    meets at exactly one combination of salts. Left rows that were repeated
-    are known to have a partner, so their copies without one are dropped;
-    left rows without a key are scattered too, as they meet nobody. By
-    default a key is hot if it would fill a shuffle partition on its own
-    (within 0.01% and 1% of the rows), and there are as many salts as
-    partitions.
+    A side on which the key is hot scatters that key's rows over as many salts
+    as its rows fill shuffle partitions, ``salts`` at most, and the other side
+    repeats its rows of that key once per salt, so a pair meets at exactly one
+    combination of salts. Left rows that were repeated are known to have a
+    partner, so their copies without one are dropped; left rows without a key
+    are scattered too, as they meet nobody. By default a key is hot if it
+    would fill a shuffle partition on its own (within 0.01% and 1% of the
+    rows), and ``salts`` is the number of partitions.
 
     Rows are scattered by their position in the input files, which copies of
     a row do not share and a retried task finds again.
@@ -69,50 +72,63 @@ def salted_left_join(
     salts = salts or partitions
     hot_share = hot_share or min(max(1 / partitions, _LEAST_HOT), _MOST_HOT)
     left, right = _stable(left), _stable(right.filter(F.col(key).isNotNull()))
-    hot_left, hot_right = (F.col(key).isin(hot_keys(df, key, hot_share)) for df in (left, right))
-    hot_left, hot_right = (F.coalesce(hot, F.lit(False)) for hot in (hot_left, hot_right))
+    hot_left = salts_of(left, key, hot_share, salts).withColumnRenamed("_salts", "_of_left")
+    hot_right = salts_of(right, key, hot_share, salts).withColumnRenamed("_salts", "_of_right")
+    # At most 1/hot_share rows each.
+    hot = F.broadcast(hot_left.join(hot_right, key, "full"))
     others = [c for c in right.columns if c != key]
 
     # Rows are numbered before they are repeated, so that copies share a number.
     numbered_left, numbered_right = (
-        df.withColumn("_position", F.monotonically_increasing_id()) for df in (left, right)
+        df.withColumn("_position", F.monotonically_increasing_id()).join(hot, key, "left") for df in (left, right)
     )
+    of_left = F.when(F.col(key).isNull(), salts).otherwise(F.col("_of_left"))
     salted_left = numbered_left.select(
         *left.columns,
-        hot_right.alias("_repeated"),
-        _scatter(hot_left | F.col(key).isNull(), salts).alias("_salt_left"),
-        F.explode(_repeat(hot_right, salts)).alias("_salt_right"),
+        F.col("_of_right").isNotNull().alias("_repeated"),
+        _scatter(of_left).alias("_salt_left"),
+        F.explode(_repeat(F.col("_of_right"))).alias("_salt_right"),
     )
     salted_right = numbered_right.select(
         key,
         *others,
         F.lit(True).alias("_found"),
-        _scatter(hot_right, salts).alias("_salt_right"),
-        F.explode(_repeat(hot_left, salts)).alias("_salt_left"),
+        _scatter(F.col("_of_right")).alias("_salt_right"),
+        F.explode(_repeat(F.col("_of_left"))).alias("_salt_left"),
     )
     joined = salted_left.join(salted_right, [key, "_salt_left", "_salt_right"], "left")
     kept = joined.filter(F.col("_found").isNotNull() | ~F.col("_repeated"))
     return kept.select(key, *[c for c in left.columns if c != key], *others)
 
 
-def hot_keys(df: DataFrame, key: str, share: float) -> list:
-    """The keys that hold at least ``share`` of the rows with a key: ``1/share`` at most.
+def hot_keys(df: DataFrame, key: str, share: float) -> dict:
+    """The keys that hold at least ``share`` of the rows with a key, ``1/share`` at most, and the share of each.
 
     A first pass with ``1/share`` counters per task names every such key and
     perhaps some others; a second one counts the named keys.
     """
     keys = df.select(key).filter(F.col(key).isNotNull())
     named = keys.stat.freqItems([key], share).first()[0] or []
-    counts = keys.filter(F.col(key).isin(list(named))).groupBy(key).count()
-    return [r[key] for r in counts.filter(F.col("count") >= share * keys.count()).collect()]
+    if not named:
+        return {}
+    counts = keys.groupBy(F.when(F.col(key).isin(list(named)), F.col(key)).alias(key)).count().collect()
+    total = sum(r["count"] for r in counts)
+    return {r[key]: r["count"] / total for r in counts if r[key] is not None and r["count"] >= share * total}
+
+
+def salts_of(df: DataFrame, key: str, share: float, most: int) -> DataFrame:
+    """(key, _salts) of the hot keys: one salt for each ``share`` of the rows that a key holds, ``most`` at most."""
+    found = [(k, min(most, math.ceil(held / share))) for k, held in hot_keys(df, key, share).items()]
+    fields = [T.StructField(key, df.schema[key].dataType), T.StructField("_salts", T.IntegerType())]
+    return df.sparkSession.createDataFrame(found, T.StructType(fields))
 
 
-def _scatter(condition: Column, salts: int) -> Column:
-    return F.when(condition, F.pmod("_position", F.lit(salts)).cast("int")).otherwise(0)
+def _scatter(salts: Column) -> Column:
+    return F.coalesce(F.pmod("_position", salts).cast("int"), F.lit(0))
 
 
-def _repeat(hot: Column, salts: int) -> Column:
-    return F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+def _repeat(salts: Column) -> Column:
+    return F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1)
 
 
 def _stable(df: DataFrame) -> DataFrame:

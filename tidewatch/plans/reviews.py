@@ -10,7 +10,7 @@ from tidewatch import schemas as S
 from tidewatch.functions import scalar as X
 from tidewatch.functions.text import truncate
 from tidewatch.operators import classify as C
-from tidewatch.operators.estimates import is_small
+from tidewatch.operators.estimates import SMALL_SIDE_BYTES, is_small
 from tidewatch.operators.joins import left_join, matching
 from tidewatch.operators.ledger import ask_once
 from tidewatch.operators.selection import indexed, sample_exact
@@ -125,7 +125,11 @@ def by_star_pct(sentiment: DataFrame) -> DataFrame:
 
 
 def category_sentiment(
-    sentiment: DataFrame, items: DataFrame, products: DataFrame, translation: DataFrame
+    sentiment: DataFrame,
+    items: DataFrame,
+    products: DataFrame,
+    translation: DataFrame,
+    small_side_bytes: int = SMALL_SIDE_BYTES,
 ) -> DataFrame:
     """One row per review and order item, with the product category.
 
@@ -142,19 +146,22 @@ def category_sentiment(
         "review_comment_message",
     )
     lines = items.select("order_id", "product_id")
-    if not is_small(lines):
-        lines = matching(lines, reviews.select("order_id"), "order_id")
-    if is_small(lines):
-        joined = _categories(left_join(reviews, lines, "order_id"), products, translation)
+    limit = small_side_bytes
+    if not is_small(lines, limit):
+        lines = matching(lines, reviews.select("order_id"), "order_id", limit)
+    if is_small(lines, limit):
+        joined = _categories(left_join(reviews, lines, "order_id", small_side_bytes=limit), products, translation, limit)
     else:
-        joined = left_join(reviews, stage(_categories(lines, products, translation), "item-lines"), "order_id")
+        looked_up = stage(_categories(lines, products, translation, limit), "item-lines")
+        joined = left_join(reviews, looked_up, "order_id", small_side_bytes=limit)
     category = F.coalesce("product_category_name_english", "product_category_name", F.lit(UNKNOWN))
     return joined.withColumn("category", category).select(S.CATEGORY_SENTIMENT.fieldNames())
 
 
-def _categories(lines: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
-    named = left_join(lines, products.select("product_id", "product_category_name"), "product_id")
-    return left_join(named, translation, "product_category_name").drop("product_id")
+def _categories(lines: DataFrame, products: DataFrame, translation: DataFrame, limit: int) -> DataFrame:
+    names = products.select("product_id", "product_category_name")
+    named = left_join(lines, names, "product_id", small_side_bytes=limit)
+    return left_join(named, translation, "product_category_name", small_side_bytes=limit).drop("product_id")
 
 
 def orphans(categories: DataFrame) -> DataFrame:
