@@ -2,14 +2,18 @@
 
 import os
 import sys
+from dataclasses import replace
 from functools import partial
 
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from tidewatch import schemas as S
 from tidewatch.operators import ledger as L
+from tidewatch.plans import jobs
 from tidewatch.plans import reviews as R
+from tidewatch.sources import files
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -72,6 +76,23 @@ def test_nothing_to_ask(requests, tmp_path):
     assert replies(L.ask_once(requests.limit(0), answers, f"{tmp_path}/ledger")) == {}
 
 
+def test_a_stored_job_is_resumed(spark, tmp_path):
+    rows = [(f"r{i}", f"o{i}", 5, "poison" if i == 4 else "bom", "2018-01-01 00:00:00") for i in range(25)]
+    files.write_csv(spark.createDataFrame(rows, S.REVIEWS), f"{tmp_path}/reviews.csv")
+    paths = dict.fromkeys(("orders_csv", "customers_csv", "items_csv", "products_csv", "translation_csv", "export_folder"), "")
+    settings = jobs.Settings(**paths, reviews_csv=f"{tmp_path}/reviews.csv", database="ledger_test", ledger=f"{tmp_path}/ledger")
+    files.create_database(spark, "ledger_test")
+    first = jobs.make_sentiment(spark, replace(settings, provider=by_word)).count()
+    assert first in (15, 20)
+    assert jobs.make_sentiment(spark, replace(settings, provider=always)).count() == 25
+    labels = {r.sentiment: r.n for r in spark.table("ledger_test.sentiment").groupBy("sentiment").agg(F.count("*").alias("n")).collect()}
+    assert labels == {"Positive": first, "Neutral": 25 - first}
+
+
+def always(instructions, request):
+    return "[]"
+
+
 def by_word(instructions, request):
     import json
     import re

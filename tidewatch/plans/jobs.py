@@ -47,6 +47,7 @@ class Settings:
     n_logs: int = N_LOGS
     review_sample: int | None = None
     provider: C.Provider = C.stem_provider
+    ledger: str | None = None  # a folder of model replies: a later run sends only what has none
     predictor_trees: int = spike_model.N_TREES
     forest_options: dict = field(default_factory=dict)
 
@@ -93,7 +94,10 @@ def make_delivery(spark: SparkSession, s: Settings) -> DataFrame:
 
 def make_sentiment(spark: SparkSession, s: Settings) -> DataFrame:
     source = files.read_csv(spark, s.reviews_csv, S.REVIEWS, line_breaks=True)
-    classified = reviews.classified_reviews(source, s.provider, s.review_sample)
+    if s.ledger is None:
+        classified = reviews.classified_reviews(source, s.provider, s.review_sample)
+    else:
+        classified = reviews.sentiment_job(source, s.provider, s.ledger, sample=s.review_sample)
     return files.replace_table(reviews.sentiment_table(classified), s.table("sentiment"))
 
 
