@@ -1,6 +1,7 @@
 """Every check against a frame that passes it and one that fails it."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidewatch import schemas as S
 from tidewatch.operators import quality as Q
@@ -122,7 +123,8 @@ def test_category_checks(spark):
 
 def test_cross_table_checks(spark):
     def run(**tables):
-        return {(r.table, r.check): r.status for f in contracts.cross_table(tables) for r in f.collect()}
+        report = contracts.tables_report(spark, tables).filter(F.col("phase") == contracts.CROSS)
+        return {(r.table, r.check): r.status for r in report.collect()}
 
     twice = sentiment(spark, ("Neutral", 3)).unionByName(sentiment(spark, ("Neutral", 3)))
     two_raw = raw(spark).unionByName(raw(spark))
@@ -173,6 +175,31 @@ def test_column_tests_find_what_they_should(spark):
     ]
 
 
+def test_column_tests_read_every_relation_once(spark, tmp_path):
+    paths = [str(tmp_path / name) for name in ("a", "b", "none")]
+    for path, rows in zip(paths, ([(1, "x")] * 900 + [(2, "y"), (3, None)], [(7, "z")], []), strict=True):
+        spark.createDataFrame(rows, "k long, v string").write.parquet(path)
+    relations = {name: spark.read.parquet(path) for name, path in zip("abn", paths, strict=True)}
+    tests = [Q.ColumnTest(r, c, k, ("x", "z")) for r in "abn" for c, k in (("k", Q.UNIQUE), ("v", Q.UNIQUE), ("v", Q.NOT_NULL), ("v", Q.ACCEPTED))]
+    report = Q.column_tests(relations, [*tests, Q.ColumnTest("absent", "k", Q.UNIQUE)])
+    found = {(r.relation, r.column, r.test): (r.failures, r.status) for r in report.collect()}
+    assert len(found) == len(tests)
+    assert found["a", "k", Q.UNIQUE] == found["a", "v", Q.UNIQUE] == (1, "FAIL")  # 900 copies are one value
+    assert found["a", "v", Q.NOT_NULL] == found["a", "v", Q.ACCEPTED] == (1, "FAIL")
+    assert {v for (r, _, _), v in found.items() if r != "a"} == {(0, "PASS")}
+    plan = Q.column_tests(relations, tests)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 3 and plan.count("hashpartitioning(number") == 2  # by (test, key), then by test
+
+
+def test_report_reads_every_table_once(spark, tmp_path):
+    tables = {"raw_logs": raw(spark), "clean_logs": clean(spark), "sentiment": sentiment(spark, ("Neutral", 3))}
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+    stored = {name: spark.read.parquet(str(tmp_path / name)) for name in tables}
+    plan = contracts.tables_report(spark, stored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 3
+
+
 def test_null_profile_and_duplicates(spark):
     df = spark.createDataFrame([("a", None), ("a", None), (None, None)], "k string, v string")
     assert [(r.column, r.rows, r.nulls, r.is_empty) for r in Q.null_profile(df, "t").collect()] == [

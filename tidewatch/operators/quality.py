@@ -54,38 +54,45 @@ class ColumnTest:
 def column_tests(relations: Mapping[str, DataFrame], tests: Sequence[ColumnTest]) -> DataFrame:
     """Offending rows (offending values, for ``unique``) and status of every test (Q1-Q3).
 
-    All NULL and value tests of a relation share one aggregate. Uniqueness
-    needs the rows grouped by the column; copies of a value meet on the map
-    side first, so a value with many copies moves as one row per task.
+    Every relation is read once. A row gives one entry per key that is to be
+    unique and one per test that it fails, (number of the test, key), the key
+    NULL for tests of rows and NULL keys left out. All relations share one
+    aggregate of these entries: copies of a key, and all rows that fail a
+    test, meet on the map side, so only distinct keys move. Keys are of atomic
+    types.
     """
+    declared = [t for t in tests if t.relation in relations]
     frames = []
     for relation, df in relations.items():
-        own = [t for t in tests if t.relation == relation]
-        rowwise = [t for t in own if t.kind != UNIQUE]
-        if rowwise:
-            results = [_result(t, count_if(_offends(t))) for t in rowwise]
-            frames.append(df.agg(F.array(*results).alias("r")).select(F.inline("r")))
-        for test in own:
-            if test.kind == UNIQUE:
-                copies = df.filter(F.col(test.column).isNotNull()).groupBy(test.column).count()
-                repeated = copies.agg(_result(test, count_if(F.col("count") > 1)).alias("r"))
-                frames.append(repeated.select("r.*"))
-    return union_all(frames)
-
-
-def _offends(test: ColumnTest) -> Column:
-    column = F.col(test.column)
-    return column.isNull() if test.kind == NOT_NULL else ~column.isin(list(test.allowed))
+        own = [_entry(i, t) for i, t in enumerate(declared) if t.relation == relation]
+        if own:
+            frames.append(df.select(F.explode(F.array(*own)).alias("e")).where("e IS NOT NULL").select("e.*"))
+    spark = next(iter(relations.values())).sparkSession
+    names = [(i, t.relation, t.column, t.kind) for i, t in enumerate(declared)]
+    listed = spark.createDataFrame(names, "number int, relation string, column string, test string")
+    if not frames:
+        frames = [listed.limit(0).select("number", F.lit(None).cast("string").alias("key"))]
+    copies = union_all(frames).groupBy("number", "key").agg(F.count("*").alias("n"))
+    failed = F.sum(F.when(F.col("key").isNull(), F.col("n")).otherwise((F.col("n") > 1).cast("long")))
+    counted = copies.groupBy("number").agg(failed.alias("found"))  # a row per test that any row has an entry of
+    failures = F.coalesce("found", F.lit(0).cast("long"))
+    return (
+        listed.join(F.broadcast(counted), "number", "left")
+        .withColumn("failures", failures)
+        .select("relation", "column", "test", "failures", F.when(failures == 0, PASS).otherwise(FAIL).alias("status"))
+    )
 
 
-def _result(test: ColumnTest, failures: Column) -> Column:
-    return F.struct(
-        F.lit(test.relation).alias("relation"),
-        F.lit(test.column).alias("column"),
-        F.lit(test.kind).alias("test"),
-        failures.alias("failures"),
-        F.when(failures == 0, PASS).otherwise(FAIL).alias("status"),
-    )
+def _entry(number: int, test: ColumnTest) -> Column:
+    """What a row says about a test: its key, or that it fails, or nothing."""
+    column = F.col(test.column)
+    key = column.cast("string") if test.kind == UNIQUE else F.lit(None).cast("string")
+    says = {
+        UNIQUE: column.isNotNull(),
+        NOT_NULL: column.isNull(),
+        ACCEPTED: ~column.isin(list(test.allowed)),
+    }[test.kind]
+    return F.when(says, F.struct(F.lit(number).alias("number"), key.alias("key")))
 
 
 # ---- contract checks ------------------------------------------------------
@@ -101,8 +108,8 @@ class Check:
     warn_only: bool = False
 
 
-def results(figures: DataFrame, phase: str, table: str, checks: Sequence[Check]) -> DataFrame:
-    """One row per check from a one-row frame of figures (Q4)."""
+def result_rows(phase: str, table: str, checks: Sequence[Check]) -> Column:
+    """The results of checks as an array, to be built where their figures are."""
     rows = [
         F.struct(
             F.lit(phase).alias("phase"),
@@ -115,7 +122,12 @@ def results(figures: DataFrame, phase: str, table: str, checks: Sequence[Check])
         )
         for check in checks
     ]
-    return figures.select(F.array(*rows).alias("r")).select(F.inline("r"))
+    return F.array(*rows)
+
+
+def results(figures: DataFrame, phase: str, table: str, checks: Sequence[Check]) -> DataFrame:
+    """One row per check from a one-row frame of figures (Q4)."""
+    return figures.select(result_rows(phase, table, checks).alias("r")).select(F.inline("r"))
 
 
 def plain_results(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:

@@ -71,8 +71,8 @@ def _beside(figures: DataFrame, others: DataFrame) -> DataFrame:
 # ---- tables ---------------------------------------------------------------
 
 
-def raw_logs(df: DataFrame, expected_rows: int = EXPECTED_LOGS) -> DataFrame:
-    figures = df.agg(
+def _raw_figures(df: DataFrame) -> DataFrame:
+    return df.agg(
         F.count("*").alias("n"),
         # NULLs are summed over the columns: a row may count more than once.
         sum((Q.count_if(F.col(c).isNull()) for c in S.RAW_LOGS.fieldNames()), F.lit(0)).alias("nulls"),
@@ -83,7 +83,10 @@ def raw_logs(df: DataFrame, expected_rows: int = EXPECTED_LOGS) -> DataFrame:
         Q.count_if(Q.outside("target_table", S.TARGET_TABLES)).alias("bad_table"),
         Q.rate(F.col("status") == "TIMEOUT").alias("timeouts"),
     )
-    checks = [
+
+
+def _raw_logs_checks(expected_rows: int = EXPECTED_LOGS) -> list[Check]:
+    return [
         Check(f"Row count = {expected_rows:,}", F.col("n") == expected_rows, _got("n")),
         Check("No nulls in any column", *_none("nulls", " nulls found")),
         Check("execution_time_ms > 0", *_none("bad_ms", " invalid rows")),
@@ -98,18 +101,25 @@ def raw_logs(df: DataFrame, expected_rows: int = EXPECTED_LOGS) -> DataFrame:
             warn_only=True,
         ),
     ]
-    return Q.results(figures, LOGS, "raw_logs", checks)
 
 
-def clean_logs(df: DataFrame, raw: DataFrame | None) -> DataFrame:
-    figures = df.agg(
+def raw_logs(df: DataFrame, expected_rows: int = EXPECTED_LOGS) -> DataFrame:
+    return Q.results(_raw_figures(df), LOGS, "raw_logs", _raw_logs_checks(expected_rows))
+
+
+def _clean_figures(df: DataFrame) -> DataFrame:
+    return df.agg(
         F.count("*").alias("n"),
         Q.count_if(Q.outside("risk_level", S.RISK_LEVELS)).alias("bad_risk"),
         Q.count_if(~F.col("is_anomaly").isin(0, 1)).alias("bad_flag"),
         Q.count_if(Q.nulls_in("risk_level", "is_anomaly", "anomaly_score")).alias("nulls"),
         Q.rate(F.col("risk_level") == "CRITICAL").alias("critical"),
+        Q.count_if(F.col("risk_level").isNull()).alias("open"),
     )
-    checks = [
+
+
+def _clean_logs_checks() -> list[Check]:
+    return [
         Check(
             "Row count matches raw_logs",
             F.col("n") == F.col("raw_n"),
@@ -127,13 +137,11 @@ def clean_logs(df: DataFrame, raw: DataFrame | None) -> DataFrame:
             "CRITICAL share < 15%", F.col("critical") < 0.15, Q.as_percent(F.col("critical")), warn_only=True
         ),
     ]
-    return Q.results(_with_raw_count(figures, raw), LOGS, "clean_logs", checks)
 
 
-def _with_raw_count(figures: DataFrame, raw: DataFrame | None) -> DataFrame:
-    if raw is None:
-        return figures.withColumn("raw_n", F.lit(-1))
-    return _beside(figures, raw.agg(F.count("*").alias("raw_n")))
+def clean_logs(df: DataFrame, raw: DataFrame | None) -> DataFrame:
+    report = log_tables(raw, df)[0]
+    return report.filter((F.col("phase") == LOGS) & (F.col("table") == "clean_logs"))
 
 
 def delivery(df: DataFrame, min_rows: int = MIN_DELIVERIES) -> DataFrame:
@@ -204,20 +212,24 @@ def _total_and_unique(total: str, unique: str) -> Column:
     )
 
 
-def sentiment(df: DataFrame) -> DataFrame:
+def _sentiment_figures(df: DataFrame, *more: Column) -> DataFrame:
     def agreement(stars: int, labels: list[str]) -> Column:
         share = F.avg(F.when(F.col("review_score") == stars, F.col("sentiment").isin(labels).cast("double")))
         return F.coalesce(share, F.lit(0.0))
 
-    figures = df.agg(
+    return df.agg(
         F.count("*").alias("n"),
         Q.count_if(Q.outside("sentiment", S.SENTIMENTS)).alias("bad_label"),
         Q.count_if((F.col("review_score") < 1) | (F.col("review_score") > 5)).alias("bad_score"),
         Q.count_if(Q.nulls_in("sentiment", "review_score")).alias("nulls"),
         agreement(5, ["Positive", "Neutral"]).alias("five"),
         agreement(1, ["Negative", "Neutral"]).alias("one"),
+        *more,
     )
-    checks = [
+
+
+def _sentiment_checks() -> list[Check]:
+    return [
         Check("Row count > 0", F.col("n") > 0, _got("n")),
         Check("sentiment values valid", *_none("bad_label", " other values")),
         Check("review_score in [1, 5]", *_none("bad_score", " out-of-range")),
@@ -235,7 +247,10 @@ def sentiment(df: DataFrame) -> DataFrame:
             warn_only=True,
         ),
     ]
-    return Q.results(figures, REVIEWS, "sentiment", checks)
+
+
+def sentiment(df: DataFrame) -> DataFrame:
+    return Q.results(_sentiment_figures(df), REVIEWS, "sentiment", _sentiment_checks())
 
 
 def category_sentiment(df: DataFrame) -> DataFrame:
@@ -260,31 +275,38 @@ def category_sentiment(df: DataFrame) -> DataFrame:
     return Q.results(figures, REVIEWS, "category_sentiment", checks)
 
 
-def cross_table(tables: Mapping[str, DataFrame | None]) -> list[DataFrame]:
-    """Row counts, unclassified rows and review keys across tables (Q12, Q15, Q17)."""
-    raw, clean, labelled = (tables.get(t) for t in ("raw_logs", "clean_logs", "sentiment"))
-    out = []
-    if clean is not None:
-        figures = clean.agg(F.count("*").alias("n"), Q.count_if(F.col("risk_level").isNull()).alias("open"))
-        if raw is not None:
-            same = Check(
-                "Row counts match",
-                F.col("n") == F.col("raw_n"),
-                F.concat(
-                    F.lit("raw="),
-                    Q.grouped_number(F.col("raw_n")),
-                    F.lit("  clean="),
-                    Q.grouped_number(F.col("n")),
-                ),
-            )
-            out.append(Q.results(_with_raw_count(figures, raw), CROSS, "raw_logs <-> clean_logs", [same]))
-        rated = Check("All rows have a risk_level", *_none("open", " unclassified"))
-        out.append(Q.results(figures, CROSS, "clean_logs", [rated]))
-    if labelled is not None:
-        figures = labelled.agg(F.count("*").alias("n"), F.count_distinct("review_id").alias("ids"))
-        unique = Check("No duplicate review_ids", F.col("n") == F.col("ids"), _total_and_unique("n", "ids"))
-        out.append(Q.results(figures, CROSS, "sentiment", [unique]))
-    return out
+def log_tables(raw: DataFrame | None, clean: DataFrame | None, expected_rows: int = EXPECTED_LOGS) -> list[DataFrame]:
+    """Checks of the log tables, by themselves and across (Q12, Q17), from one pass over each."""
+    if clean is None:
+        return [] if raw is None else [raw_logs(raw, expected_rows)]
+    rated = Check("All rows have a risk_level", *_none("open", " unclassified"))
+    rows = [Q.result_rows(LOGS, "clean_logs", _clean_logs_checks()), Q.result_rows(CROSS, "clean_logs", [rated])]
+    figures = _clean_figures(clean)
+    if raw is None:
+        figures = figures.withColumn("raw_n", F.lit(-1))
+    else:
+        same = Check(
+            "Row counts match",
+            F.col("n") == F.col("raw_n"),
+            F.concat(
+                F.lit("raw="),
+                Q.grouped_number(F.col("raw_n")),
+                F.lit("  clean="),
+                Q.grouped_number(F.col("n")),
+            ),
+        )
+        of_raw = Q.result_rows(LOGS, "raw_logs", _raw_logs_checks(expected_rows)).alias("of_raw")
+        figures = _beside(figures, _raw_figures(raw).select(F.col("n").alias("raw_n"), of_raw))
+        rows = [F.col("of_raw"), *rows, Q.result_rows(CROSS, "raw_logs <-> clean_logs", [same])]
+    return [figures.select(F.concat(*rows).alias("r")).select(F.inline("r"))]
+
+
+def sentiment_and_keys(df: DataFrame) -> DataFrame:
+    """Checks of the labelled reviews and of their keys (Q15), from one pass."""
+    figures = _sentiment_figures(df, F.count_distinct("review_id").alias("ids"))
+    unique = Check("No duplicate review_ids", F.col("n") == F.col("ids"), _total_and_unique("n", "ids"))
+    rows = [Q.result_rows(REVIEWS, "sentiment", _sentiment_checks()), Q.result_rows(CROSS, "sentiment", [unique])]
+    return figures.select(F.concat(*rows).alias("r")).select(F.inline("r"))
 
 
 def tables_report(
@@ -293,18 +315,21 @@ def tables_report(
     expected_logs: int = EXPECTED_LOGS,
     min_deliveries: int = MIN_DELIVERIES,
 ) -> DataFrame:
-    """All table and cross-table checks; a table that is missing fails one check only."""
-    sections = [
-        (LOGS, "raw_logs", lambda df: raw_logs(df, expected_logs)),
-        (LOGS, "clean_logs", lambda df: clean_logs(df, tables.get("raw_logs"))),
-        (DELIVERY, "delivery", lambda df: delivery(df, min_deliveries)),
-        (REVIEWS, "sentiment", sentiment),
-        (REVIEWS, "category_sentiment", category_sentiment),
-    ]
-    found = [(phase, name, "Table exists", *_existence(tables.get(name))) for phase, name, _ in sections]
+    """All table and cross-table checks; a table that is missing fails one check only.
+
+    Every table is read once, checks across tables included.
+    """
+    phases = {"raw_logs": LOGS, "clean_logs": LOGS, "delivery": DELIVERY, "sentiment": REVIEWS, "category_sentiment": REVIEWS}
+    found = [(phase, name, "Table exists", *_existence(tables.get(name))) for name, phase in phases.items()]
     frames = [Q.plain_results(spark, found)]
-    frames += [checks(tables[name]) for _, name, checks in sections if tables.get(name) is not None]
-    return Q.union_all(frames + cross_table(tables))
+    frames += log_tables(tables.get("raw_logs"), tables.get("clean_logs"), expected_logs)
+    sections = {
+        "delivery": lambda df: delivery(df, min_deliveries),
+        "sentiment": sentiment_and_keys,
+        "category_sentiment": category_sentiment,
+    }
+    frames += [checks(tables[name]) for name, checks in sections.items() if tables.get(name) is not None]
+    return Q.union_all(frames)
 
 
 def _existence(df: DataFrame | None) -> tuple[str, str]:
