@@ -13,9 +13,10 @@ occurrence lie side by side and form its context, at most 2 * length - 64 bytes.
    no task ever holds an unbounded group.
 4. The repeated strings of a document merge into spans.
 
-Edge cases: a null text is an empty text; texts shorter than ``length`` keep all bytes; rows without an id are left
-out of the search for partners and keep all bytes; rows that repeat an id with one text count as two places, and all
-rows of an id lose the spans found for it; an empty table gives no rows; other columns are carried along or not read.
+Edge cases: a null text is an empty text; texts shorter than ``length`` keep all bytes. A place belongs to an id and a
+text (by 64 bits of hash, within that id): rows that share an id but not a text are searched and cut each for itself,
+rows without an id like all others. Rows that repeat both count as two places, and each loses the spans found for both.
+An empty table gives no rows. Other columns, whatever their names, are carried along or not read.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -92,13 +93,14 @@ def _find_anchors(length: int):
         powers = Powers()
         for batch in batches:
             parts = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for doc_id, mark, text in zip(batch["doc_id"], batch["mark"], batch["text"], strict=True):
                 if text and len(text) * 4 >= length:
                     first, last, gram, context = anchors(np.frombuffer(text.encode("utf-8", "replace"), np.uint8), powers, length)
                     if len(first):
-                        parts.append((np.full(len(first), doc_id, np.int64), first, (last - first).astype(np.int32), gram.view(np.int64), context.view(np.int64)))
+                        of = np.full(len(first), doc_id, np.int64), np.full(len(first), mark, np.int64)
+                        parts.append((*of, first, (last - first).astype(np.int32), gram.view(np.int64), context.view(np.int64)))
             if parts:
-                columns = ["doc_id", "start", "extra", "gram", "context"]
+                columns = ["doc_id", "mark", "start", "extra", "gram", "context"]
                 yield pd.DataFrame(dict(zip(columns, map(np.concatenate, zip(*parts, strict=True)), strict=True)))
 
     return run
@@ -210,12 +212,13 @@ def repeated_starts(contexts: list[bytes], length: int = LENGTH) -> list[np.ndar
 def _block_spans(length: int):
     def run(block: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        for doc_id, start, alone, places in zip(block["doc_id"], block["start"], block["alone"], repeated_starts(list(block["content"]), length), strict=True):
+        starts = repeated_starts(list(block["content"]), length)
+        for doc_id, mark, start, alone, places in zip(block["doc_id"], block["mark"], block["start"], block["alone"], starts, strict=True):
             if alone and len(places):
                 breaks = np.flatnonzero(np.diff(places) > length) + 1
                 for part in np.split(places, breaks):
-                    rows.append((doc_id, start + part[0], start + part[-1] + length))
-        return pd.DataFrame(rows, columns=["doc_id", "first", "stop"]).astype("int64")
+                    rows.append((doc_id, mark, start + part[0], start + part[-1] + length))
+        return pd.DataFrame(rows, columns=["doc_id", "mark", "first", "stop"]).astype("int64")
 
     return run
 
@@ -223,48 +226,55 @@ def _block_spans(length: int):
 # ---- the distributed operator ----------------------------------------------
 
 
+def place_of(documents: DataFrame) -> tuple[Column, Column]:
+    """What tells the rows of a table apart: the id (0 if there is none) and a hash of the text."""
+    return F.coalesce(documents["doc_id"].cast("long"), F.lit(0)), F.xxhash64(documents["doc_id"].isNull(), documents["text"])
+
+
 def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc_id, first, stop): merged byte ranges covered by strings that start anywhere else too."""
-    texts = documents.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = stage(texts.mapInPandas(_find_anchors(length), "doc_id long, start long, extra int, gram long, context long"), "anchors")
+    """(doc_id, mark, first, stop): merged byte ranges covered by strings that start anywhere else too, by ``place_of``."""
+    doc_id, mark = place_of(documents)
+    texts = documents.where(documents["text"].isNotNull()).select(doc_id.alias("doc_id"), mark.alias("mark"), documents["text"])
+    schema = "doc_id long, mark long, start long, extra int, gram long, context long"
+    found = stage(texts.mapInPandas(_find_anchors(length), schema), "anchors")
     grams = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     hits = stage(found.join(grams, "gram"), "anchor-hits")
     contexts = stage(
-        hits.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start", "extra")).alias("place")), "contexts"
+        hits.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "mark", "start", "extra")).alias("place")), "contexts"
     )
     whole = hits.join(contexts.where("n > 1").select("gram", "context"), ["gram", "context"])
-    spans = whole.select("doc_id", F.col("start").alias("first"), (F.col("start") + F.col("extra") + length).alias("stop"))
+    spans = whole.select("doc_id", "mark", F.col("start").alias("first"), (F.col("start") + F.col("extra") + length).alias("stop"))
 
     kinds = contexts.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
     mixed = contexts.join(kinds, "gram").select("gram", "kinds", (F.col("n") == 1).alias("alone"), "place.*")
-    per_document = mixed.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "kinds", "alone", "start", "extra")).alias("cuts"))
-    one_each = texts.join(per_document, "doc_id").dropDuplicates(["doc_id"])
-    raw = one_each.select("doc_id", F.encode("text", "UTF-8").alias("raw"), F.explode("cuts").alias("cut")).select("doc_id", "raw", "cut.*")
+    per_document = mixed.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("gram", "kinds", "alone", "start", "extra")).alias("cuts"))
+    one_each = texts.join(per_document, ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"])
+    raw = one_each.select("doc_id", "mark", F.encode("text", "UTF-8").alias("raw"), F.explode("cuts").alias("cut")).select("doc_id", "mark", "raw", "cut.*")
     cut = stage(
-        raw.select("doc_id", "gram", "kinds", "alone", "start", F.expr(f"substring(raw, int(start) + 1, extra + {length})").alias("content")), "context-bytes"
+        raw.select("doc_id", "mark", "gram", "kinds", "alone", "start", F.expr(f"substring(raw, int(start) + 1, extra + {length})").alias("content")), "context-bytes"
     )
     few = cut.where(F.col("kinds") <= BLOCK_CONTEXTS)
     blocks = max(1, -(-few.count() // BLOCK_CONTEXTS))
     block = F.pmod(F.xxhash64("gram"), F.lit(blocks))
-    schema = "doc_id long, first long, stop long"
+    schema = "doc_id long, mark long, first long, stop long"
     from_blocks = few.withColumn("block", block).groupBy("block").applyInPandas(_block_spans(length), schema)
 
     many = cut.where(F.col("kinds") > BLOCK_CONTEXTS)
     offsets = F.explode(F.sequence(F.lit(0), F.length("content") - length))
     string = F.expr(f"substring(content, place + 1, {length})")
-    each = many.select("doc_id", "alone", "start", "content", offsets.alias("place")).select(
-        "doc_id", "alone", (F.col("start") + F.col("place")).alias("first"), F.xxhash64(string).alias("key"), F.hash(string).alias("key2")
+    each = many.select("doc_id", "mark", "alone", "start", "content", offsets.alias("place")).select(
+        "doc_id", "mark", "alone", (F.col("start") + F.col("place")).alias("first"), F.xxhash64(string).alias("key"), F.hash(string).alias("key2")
     )
     # Only the strings of one gram meet here, so 96 bits of hash tell them apart.
     counted = each.groupBy("key", "key2").agg(F.count("*").alias("n")).where("n > 1").select("key", "key2")
-    from_many = each.where("alone").join(counted, ["key", "key2"]).select("doc_id", "first", (F.col("first") + length).alias("stop"))
+    from_many = each.where("alone").join(counted, ["key", "key2"]).select("doc_id", "mark", "first", (F.col("first") + length).alias("stop"))
 
     every = spans.union(from_blocks).union(from_many)
-    order = Window.partitionBy("doc_id").orderBy("first", "stop")
+    order = Window.partitionBy("doc_id", "mark").orderBy("first", "stop")
     reach = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.coalesce((F.col("first") > reach).cast("int"), F.lit(1))
     numbered = every.withColumn("opens", opens).withColumn("island", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy("doc_id", "island").agg(F.min("first").alias("first"), F.max("stop").alias("stop")).drop("island")
+    return numbered.groupBy("doc_id", "mark", "island").agg(F.min("first").alias("first"), F.max("stop").alias("stop")).drop("island")
 
 
 def without_spans(raw: bytes, spans: list) -> bytes:
@@ -277,10 +287,20 @@ def without_spans(raw: bytes, spans: list) -> bytes:
     return b"".join((*out, raw[at:]))
 
 
-def _with_spans(documents: DataFrame, length: int) -> DataFrame:
-    spans = repeated_spans(documents, length).groupBy("doc_id").agg(F.collect_list(F.struct("first", "stop")).alias("spans"))
-    spans = spans.withColumnRenamed("doc_id", "span_id")
-    return documents.join(spans, documents["doc_id"] == spans["span_id"], "left").drop("span_id")
+def _unused(documents: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as no column of the table has."""
+    taken = {c.lower() for c in documents.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
+def _with_spans(documents: DataFrame, length: int, spans: str) -> DataFrame:
+    """The documents with a column of their spans."""
+    merged = repeated_spans(documents, length).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("first", "stop")).alias("found"))
+    doc_id, mark = place_of(documents)
+    joined = documents.join(merged, (doc_id == merged["doc_id"]) & (mark == merged["mark"]), "left")
+    return joined.select(*[documents[f"`{c}`"] for c in documents.columns], merged["found"].alias(spans))
 
 
 def _remaining(texts: pd.Series, spans: pd.Series) -> Iterator[tuple[bytes, list]]:
@@ -298,7 +318,8 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
 
     rest.__annotations__ = {"texts": pd.Series, "spans": pd.Series, "return": pd.Series}
     left = F.pandas_udf(rest, "string")
-    return _with_spans(documents, length).withColumn("text", left(F.col("text"), F.col("spans"))).drop("spans")
+    spans = _unused(documents, "spans")
+    return _with_spans(documents, length, spans).withColumn("text", left(F.col("text"), F.col(spans))).drop(spans)
 
 
 def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -313,6 +334,6 @@ def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def suffix_dedup(documents: DataFrame) -> DataFrame:
-    held = _with_spans(documents.select("doc_id", "text"), LENGTH)
+    held = _with_spans(documents.select("doc_id", "text"), LENGTH, "spans")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return held.mapInPandas(_digest, schema)
