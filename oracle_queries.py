@@ -858,6 +858,25 @@ def _export_sql() -> str:
     return "\nUNION ALL ".join(rows)
 
 
+# Staging views by the relation above that has their rows.
+_STAGED = {
+    "server_logs": "raw_logs",
+    "clean_logs": "clean_logs",
+    "delivery_orders": "stg_delivery_orders",
+    "reviews": "stg_reviews",
+}
+
+# The columns of the mart exports, in their order.
+_MART_COLUMNS = {
+    "fct_server_health": "risk_level query_count pct_of_total avg_exec_ms max_exec_ms avg_cpu_pct timeout_count "
+    "timeout_rate_pct peak_hour_queries orders_table_queries",
+    "fct_delivery_by_state": "customer_state state_name region total_orders avg_delivery_days median_delivery_days "
+    "avg_days_vs_estimate late_rate_pct early_rate_pct pct_fast pct_normal pct_slow pct_critical",
+    "dim_category_sentiment": "category review_count avg_stars pct_positive pct_negative pct_neutral "
+    "dominant_sentiment is_high_complaint_category",
+}
+
+
 def quality() -> dict[str, str]:
     tests = "\nUNION ALL ".join(_column_test(t) for t in ALL_TESTS)
     contract = _contract_sql()
@@ -885,7 +904,19 @@ products_csv AS (
         f"count(*) - count(DISTINCT {k}) AS duplicates FROM {t}"
         for t, k in keys
     )
+    stored = ["raw_logs", "clean_logs", "delivery", "sentiment", "category_sentiment", *_MART_COLUMNS]
+    layers = [("table", t, t) for t in stored]
+    layers += [("view", f"stg_{view}", table) for view, table in _STAGED.items()]
+    listing = "\nUNION ALL ".join(
+        f"SELECT '{kind}' AS kind, '{name}' AS name, count(*) AS rows FROM {source}" for kind, name, source in layers
+    )
+    described = ", ".join(
+        f"('{mart}.csv', CAST({i} AS INT), '{c}')" for mart, cs in _MART_COLUMNS.items() for i, c in enumerate(cs.split())
+    )
     return {
+        "layer_listing": _q(_marts(), listing),
+        "layer_mart": flows()["fct_delivery_by_state"],
+        "export_columns": f'SELECT * FROM (VALUES {described}) AS v(file, position, "column")',
         "dq_column_tests": _q(
             _marts(), f"SELECT *, CASE WHEN failures = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({tests})"
         ),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark import cloudpickle
@@ -16,7 +17,7 @@ from tidewatch import schemas as S
 from tidewatch.operators import classify as C
 from tidewatch.operators import quality as Q
 from tidewatch.operators import iforest, metrics, selection, spike_model
-from tidewatch.plans import column_tests, contracts, delivery, exports, logs, marts, reviews
+from tidewatch.plans import column_tests, contracts, delivery, exports, jobs, logs, marts, reviews
 from tidewatch.session import fresh_path, stage
 from tidewatch.sources import adapters as A
 from tidewatch.sources import files, synthetic
@@ -349,6 +350,55 @@ def _table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _layers(spark: SparkSession, sf: str, report: Callable[[str], DataFrame]) -> DataFrame:
+    """A report on the layers, built in a database of its own that is gone afterwards.
+
+    The five tables are stored (the log twice, so that one is replaced), then
+    staging views and mart tables are made from them by name.
+    """
+    base = f"layers_{uuid.uuid4().hex}"
+    settings = jobs.Settings(*[""] * 7, database=base, mart_database=base)
+    files.create_database(spark, base)
+    try:
+        tables = _tables(spark, sf)
+        files.replace_table(tables["raw_logs"].where("status = 'TIMEOUT'"), settings.table("raw_logs"))
+        for name, df in tables.items():
+            files.replace_table(df, settings.table(name))
+        jobs.make_marts(spark, settings)
+        return stage(report(base), "layers")
+    finally:
+        for view in jobs.STAGING:
+            spark.catalog.dropTempView(view)
+        spark.sql(f"DROP DATABASE IF EXISTS {base} CASCADE")
+
+
+def _layer_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Every stored table and staging view with its rows, read by name; a name that is not stored is refused."""
+
+    def report(base: str) -> DataFrame:
+        stored = {name: files.require_table(spark, f"{base}.{name}", "the jobs") for name in files.table_names(spark, base)}
+        views = {name: spark.table(name) for name in jobs.STAGING}
+        counts = [
+            df.agg(F.count("*").alias("rows")).select(F.lit(kind).alias("kind"), F.lit(name).alias("name"), "rows")
+            for kind, frames in (("table", stored), ("view", views))
+            for name, df in frames.items()
+        ]
+        return Q.union_all(counts)
+
+    return _layers(spark, sf, report)
+
+
+def _layer_mart(spark: SparkSession, sf: str) -> DataFrame:
+    """The delivery mart as it is stored, by SQL over its name."""
+    return _layers(spark, sf, lambda base: spark.sql(f"SELECT * FROM {base}.fct_delivery_by_state"))
+
+
+def _column_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """The header of every mart export, from the files."""
+    folder = fresh_path(spark, "listing")
+    return exports.column_listing(spark, exports.export_tables(_marts(_tables(spark, sf)), folder))
+
+
 def queries() -> dict[str, Query]:
     predictor = on(A.raw_logs, logs.predictor_features)
     return {
@@ -421,6 +471,9 @@ def queries() -> dict[str, Query]:
         "dq_duplicates": _duplicates,
         "review_csv_roundtrip": _review_csv_roundtrip,
         "table_roundtrip": _table_roundtrip,
+        "layer_listing": _layer_listing,
+        "layer_mart": _layer_mart,
+        "export_columns": _column_listing,
         "export_roundtrip": _export_roundtrip,
         "clean_logs": on(_forest_logs, lambda t: rounded_scores(rounded_log(t))),
         "iforest_scores": on(

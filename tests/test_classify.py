@@ -113,6 +113,16 @@ def test_requests_number_the_reviews_in_order(spark):
     assert rows[1].request == REQUEST + "[0] c"
 
 
+def test_a_batch_above_its_size_is_an_error(spark):
+    rows = spark.range(23).select((F.col("id") / 11).cast("long").alias("batch"), "id", F.lit("t").alias("text"))
+    with pytest.raises(Exception, match="batch 0 has 11 rows, limit 10"):
+        C.requests(rows, "batch", "id", "text").collect()
+    found = C.requests(rows, "batch", "id", "text", most=11).collect()
+    assert sorted((r.batch, r.reviews) for r in found) == [(0, 11), (1, 11), (2, 1)]
+    nameless = rows.limit(2).withColumn("batch", F.lit(None).cast("long"))
+    assert [(r.batch, r.reviews) for r in C.requests(nameless, "batch", "id", "text").collect()] == [(None, 2)]
+
+
 def by_content(instructions, request):
     label = "Positive" if len(request) % 2 else "Negative"
     return json.dumps([{"id": i, "sentiment": label} for i in ids_in(request)])

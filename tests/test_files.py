@@ -52,6 +52,20 @@ def test_tables_are_replaced_and_guarded(spark):
         files.require_table(spark, "files_db.nothing", "make_it")
 
 
+def test_a_failed_replacement_leaves_the_table(spark):
+    files.create_database(spark, "swap_db")
+    files.replace_table(spark.range(4).withColumn("a", F.lit("old")), "swap_db.t")
+    breaks = F.when(F.col("id") == 70, F.raise_error(F.lit("broken row"))).otherwise(F.lit("new"))
+    with pytest.raises(Exception, match="broken row"):
+        files.replace_table(spark.range(100).withColumn("a", breaks), "swap_db.t")
+    assert [r.a for r in spark.table("swap_db.t").collect()] == ["old"] * 4
+    assert files.table_names(spark, "swap_db") == ["t"]
+    # Other columns than before, and rows read from the table itself.
+    own = spark.table("swap_db.t").select((F.col("id") + 1).alias("next"))
+    assert sorted(r.next for r in files.replace_table(own, "swap_db.t").collect()) == [1, 2, 3, 4]
+    assert files.table_names(spark, "swap_db") == ["t"] and spark.table("swap_db.t").columns == ["next"]
+
+
 def test_export_contract_checks(spark, tmp_path):
     contract = [contracts.ExportContract("out.csv", 2, ("a", "c"))]
     missing = contracts.export_report(spark, str(tmp_path), contract).collect()

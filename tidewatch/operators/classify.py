@@ -115,16 +115,28 @@ def labelled(df: DataFrame, parsed: str, position: str) -> DataFrame:
     )
 
 
-def requests(df: DataFrame, batch_id: str, order: str, text: str, max_chars: int | None = None) -> DataFrame:
-    """The request of every batch (P35). A batch holds a few rows, not a group of any size."""
+def requests(
+    df: DataFrame, batch_id: str, order: str, text: str, max_chars: int | None = None, *, most: int = BATCH
+) -> DataFrame:
+    """The request of every batch (P35), which holds ``most`` rows at most.
+
+    A batch of more is an error, found by counting per batch before any text
+    is gathered, so no group of unbounded size is ever built.
+    """
+    counts = df.groupBy(batch_id).agg(F.count("*").alias("_n"))
+    large = F.concat(F.lit("batch "), F.col(batch_id).cast("string"), F.lit(" has "), F.col("_n"), F.lit(f" rows, limit {most}"))
+    checked = counts.select(
+        F.col(batch_id).alias("_of"), F.when(F.col("_n") > most, F.raise_error(large)).otherwise(F.col("_n")).alias("_n")
+    )
+    bounded = df.join(checked, F.col(batch_id).eqNullSafe(F.col("_of")))
     rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), F.col(text).alias("text"))))
     lines = F.transform("_rows", lambda r, i: prompt_line(i, r["text"], max_chars))
     return (
-        df.groupBy(batch_id)
-        .agg(rows.alias("_rows"))
+        bounded.groupBy(batch_id)
+        .agg(rows.alias("_rows"), F.max("_n").alias("_n"))
         .select(
             batch_id,
-            F.size("_rows").cast("long").alias("reviews"),
+            F.col("_n").alias("reviews"),
             F.concat(F.lit(REQUEST), F.array_join(lines, "\n")).alias("request"),
         )
     )

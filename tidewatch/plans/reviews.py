@@ -68,7 +68,7 @@ def sentiment_job(
     numbered = indexed(chosen, key, seed)
     place = {"batch_id": F.floor(F.col("row_idx") / batch), "position": (F.col("row_idx") % batch).cast("int")}
     placed = stage(numbered.withColumns(place).drop("row_idx"), "review-batches")
-    requests = C.requests(placed, "batch_id", "position", "review_comment_message")
+    requests = C.requests(placed, "batch_id", "position", "review_comment_message", most=batch)
     replies = ask_once(requests, provider, ledger, **waves).withColumnRenamed("reply", "_reply")
     return C.apply_replies(placed, replies, "batch_id", "position", "_reply")
 

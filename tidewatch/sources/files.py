@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -71,9 +73,32 @@ def file_exists(spark: SparkSession, path: str) -> bool:
 
 
 def replace_table(df: DataFrame, name: str) -> DataFrame:
-    """Replace a managed table with a frame and return the stored table."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
-    return df.sparkSession.table(name)
+    """Replace a managed table with a frame and return the stored table.
+
+    A table that is there is written anew beside itself and given up only when
+    the new one is whole, by renaming both: a job that fails leaves the old
+    rows, and the frame may read the very table that it replaces. Readers may
+    find no table between the two renames.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        df.write.format("parquet").saveAsTable(name)
+        return spark.table(name)
+    mark = uuid.uuid4().hex
+    beside, former = f"{name}_beside_{mark}", f"{name}_former_{mark}"
+    try:
+        df.write.format("parquet").saveAsTable(beside)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {beside}")
+        raise
+    spark.sql(f"ALTER TABLE {name} RENAME TO {former}")
+    try:
+        spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {former} RENAME TO {name}")
+        raise
+    spark.sql(f"DROP TABLE {former}")
+    return spark.table(name)
 
 
 def create_database(spark: SparkSession, name: str) -> None:
