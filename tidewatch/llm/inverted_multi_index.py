@@ -5,10 +5,12 @@ product into the least distance. Each half of a vector is quantised with its own
 A query sorts the centroids of both halves by distance and walks the pairs in the order of the summed distance with a
 heap, until the cells it has met hold enough entries; these entries are reranked by the exact inner product.
 
-Queries are dealt to cells, not entries to queries: an entry is shuffled once, a query once per cell it visits, and a
-cell's block of entries meets its queries in one matrix product. A cell with very many entries is dealt over several
-blocks, which its queries all visit, so copies of one vector do not fill a task. The codebooks are fitted on at most
-``FIT_ROWS`` vectors in the order of a hash of their id; every row is indexed.
+Queries are dealt to blocks of about ``BLOCK_ROWS`` entries from neighbouring cells: a query goes once to each block that
+holds a cell of its walk, with the list of these cells, and meets the block's entries in one matrix product, of which it
+keeps the entries of its own cells. A cell with more entries is dealt over several blocks, which its queries all visit,
+so copies of one vector do not fill a task. Queries come in slices of about ``SLICE_QUERIES``, and every slice meets the
+blocks in tasks of its own. The codebooks are fitted on at most ``FIT_ROWS`` vectors in the order of a hash of their id;
+every row is indexed.
 
 How many entries a query reranks follows from the table: the exact neighbours of ``PROBES`` drawn vectors among all rows
 are found in one pass, and the walk goes as far as it must to reach ``RECALL`` of them. On vectors without clusters that
@@ -36,7 +38,9 @@ from tidewatch.session import stage
 
 FIT_ROWS = 16_384
 ROUNDS = 12
-BLOCK_ROWS = 2_000
+BLOCK_ROWS = 4_000  # entries that a task holds at once
+SLICE_QUERIES = 20_000  # queries that meet a block in one task, about
+VISIT_ROWS = 128  # queries whose walks or scores a task holds at once
 SHARE = 0.06  # share of all entries that a query reranks at least
 PROBES, RECALL = 256, 0.95  # drawn vectors, and the share of their true neighbours that walks must reach
 
@@ -103,21 +107,40 @@ def _assign(one: np.ndarray, two: np.ndarray, top: float):
     return run
 
 
-def _visits(one: np.ndarray, two: np.ndarray, entries: np.ndarray, blocks: np.ndarray, enough: int):
+def blocks_of(entries: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """First block and number of blocks of every cell: neighbouring cells share a block of about ``size`` entries, a
+    larger cell has blocks of its own."""
+    first, pieces = np.zeros(len(entries), dtype=np.int64), np.ones(len(entries), dtype=np.int64)
+    block, held = 0, 0
+    for cell, n in enumerate(entries.tolist()):
+        if held and held + n > size:
+            block, held = block + 1, 0
+        first[cell], pieces[cell] = block, max(1, -(-n // size))
+        held += n
+        if n > size:
+            block, held = block + int(pieces[cell]), 0
+    return first, pieces
+
+
+def _visits(one: np.ndarray, two: np.ndarray, entries: np.ndarray, first: np.ndarray, pieces: np.ndarray, enough: int):
+    """One row per query and block, with the cells that the query's walk reaches there."""
     half = one.shape[1]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not len(batch):
-                continue
-            x = np.array(batch["vector"].tolist(), dtype=np.float64)
-            x = np.column_stack((x, np.zeros(len(x))))
-            first, second = distances(x[:, :half], one), distances(x[:, half:], two)
-            rows = []
-            for i, (query, vector) in enumerate(zip(batch["vec_id"], batch["vector"], strict=True)):
-                for cell in walk(first[i], second[i], entries, enough):
-                    rows += [(query, cell, block, vector) for block in range(blocks[cell])]
-            yield pd.DataFrame(rows, columns=["query_id", "cell", "block", "vector"])
+            for i in range(0, len(batch), VISIT_ROWS):
+                part = batch.iloc[i : i + VISIT_ROWS]
+                x = np.array(part["vector"].tolist(), dtype=np.float64)
+                x = np.column_stack((x, np.zeros(len(x))))
+                to_one, to_two = distances(x[:, :half], one), distances(x[:, half:], two)
+                rows = []
+                for j, (query, vector) in enumerate(zip(part["vec_id"], part["vector"], strict=True)):
+                    cells = np.sort(np.array(walk(to_one[j], to_two[j], entries, enough), dtype=np.int64))
+                    cuts = np.flatnonzero(np.diff(first[cells])) + 1
+                    for group in np.split(cells, cuts) if len(cells) else []:
+                        block = int(first[group[0]])
+                        rows += [(query, block + k, group, vector) for k in range(int(pieces[group[0]]))]
+                yield pd.DataFrame(rows, columns=["query_id", "block", "cells", "vector"])
 
     return run
 
@@ -147,7 +170,7 @@ def _true(ids: np.ndarray, probes: np.ndarray, k: int):
 
 def entries_needed(index: DataFrame, one: np.ndarray, two: np.ndarray, entries: np.ndarray, k: int) -> int:
     """Entries that a walk must hold so that the probes' walks reach ``RECALL`` of their true neighbours."""
-    drawn = index.orderBy(F.xxhash64("vec_id", F.lit(1)), "vec_id").limit(PROBES).toPandas().drop_duplicates("vec_id")
+    drawn = _drawn(index, int(entries.sum()), 1, PROBES).drop_duplicates("vec_id")
     x = np.array(drawn["vector"].tolist(), dtype=np.float64)
     found = index.mapInPandas(_true(drawn["vec_id"].to_numpy(), x, k), "probe long, score double, vec_id long, cell long")
     order = Window.partitionBy("probe").orderBy(F.desc("score"), "vec_id")
@@ -164,34 +187,45 @@ def entries_needed(index: DataFrame, one: np.ndarray, two: np.ndarray, entries:
 
 
 def _rerank(k: int):
+    """The k best entries of a block for each query, among those of the cells that its walk reached."""
+
     def run(key: tuple, queries: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
         columns = ["query_id", "vec_id", "score"]
+        parts = [pd.DataFrame({c: pd.Series(dtype=t) for c, t in zip(columns, ("int64", "int64", "float64"), strict=True)})]
         if not len(queries) or not len(entries):
-            return pd.DataFrame({c: pd.Series(dtype=t) for c, t in zip(columns, ("int64", "int64", "float64"), strict=True)})
-        ids = entries["vec_id"].to_numpy()
-        order = np.argsort(ids, kind="stable")
-        ids = ids[order]
-        x = np.array(entries["vector"].tolist(), dtype=np.float64)[order]
-        parts = []
-        for i in range(0, len(queries), 256):
-            own = queries["query_id"].to_numpy()[i : i + 256]
-            scores = np.array(queries["vector"].iloc[i : i + 256].tolist(), dtype=np.float64) @ x.T
-            for query, row in zip(own, scores, strict=True):
-                row = np.where(ids == query, -np.inf, row)
-                if len(row) > k:
-                    least = np.partition(row, len(row) - k)[len(row) - k]
-                    sure = np.flatnonzero(row > least)
-                    # Ties go to the smaller ids, which come first.
-                    best = np.concatenate((sure, np.flatnonzero(row == least)[: k - len(sure)]))
-                else:
-                    best = np.arange(len(row))
-                best = best[row[best] > -np.inf]
-                parts.append(pd.DataFrame({"query_id": query, "vec_id": ids[best], "score": row[best]}))
-        return pd.concat(parts, ignore_index=True)
+            return parts[0]
+        # Ties go to the smaller ids, which come first.
+        entries = entries.sort_values("vec_id", kind="stable")
+        ids, x = entries["vec_id"].to_numpy(), np.array(entries["vector"].tolist(), dtype=np.float64)
+        cells, place = np.unique(entries["cell"].to_numpy(), return_inverse=True)
+        for i in range(0, len(queries), VISIT_ROWS):
+            part = queries.iloc[i : i + VISIT_ROWS]
+            own = part["query_id"].to_numpy()
+            reached = np.zeros((len(part), len(cells)), dtype=bool)
+            for row, wanted in zip(reached, part["cells"], strict=True):
+                row[np.isin(cells, wanted)] = True
+            scores = np.array(part["vector"].tolist(), dtype=np.float64) @ x.T
+            scores[~reached[:, place] | (ids[None] == own[:, None])] = -np.inf
+            least = np.partition(scores, max(0, len(ids) - k), axis=1)[:, max(0, len(ids) - k)]
+            row, at = np.nonzero((scores >= least[:, None]) & (scores > -np.inf))
+            order = np.lexsort((at, -scores[row, at], row))
+            row, at = row[order], at[order]
+            best = np.arange(len(row)) - np.searchsorted(row, row) < k
+            row, at = row[best], at[best]
+            parts.append(pd.DataFrame({"query_id": own[row], "vec_id": ids[at], "score": scores[row, at]}))
+        return pd.concat(parts[1:], ignore_index=True)
 
     return run
 
 
+def _drawn(rows: DataFrame, n: int, seed: int, wanted: int) -> pd.DataFrame:
+    """The ``wanted`` rows with the least hashes; rows far above the cut are left out before any partition sends its own."""
+    order = F.xxhash64("vec_id", F.lit(seed))
+    if n > 2 * wanted:
+        rows = rows.where(order < -(1 << 63) + (1 << 64) * 2 * wanted // n)
+    return rows.orderBy(order, "vec_id").limit(wanted).toPandas()
+
+
 def usable(embeddings: DataFrame) -> DataFrame:
     """(vec_id, vector) of the rows that take part."""
     vector = F.col("embedding").cast("array<double>")
@@ -212,7 +246,7 @@ def neighbours(embeddings: DataFrame, k: int = 20, every: int = 20, share: float
     norm = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
     about = rows.agg(F.count("*").alias("n"), F.max(norm).alias("top")).first()
     n, top = about["n"], about["top"]
-    fit = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).toPandas()
+    fit = _drawn(rows, n, 0, FIT_ROWS)
     sample = _matrix(fit["vector"], top)
     half = sample.shape[1] // 2 or 1
     # About 50 entries a cell and never more centroids than a sixteenth of the sample.
@@ -222,14 +256,18 @@ def neighbours(embeddings: DataFrame, k: int = 20, every: int = 20, share: float
     entries = np.zeros(len(one) * len(two), dtype=np.int64)
     for row in index.groupBy("cell").agg(F.count("*").alias("n")).collect():  # 65,536 cells at most
         entries[row["cell"]] = row["n"]
-    blocks = np.maximum(1, -(-entries // BLOCK_ROWS))
-    enough = max(math.ceil(share * n), entries_needed(index, one, two, entries, k))
-    large = {int(c): int(blocks[c]) for c in np.flatnonzero(blocks > 1)}
-    pieces = F.create_map(*[F.lit(x) for pair in large.items() for x in pair]) if large else None
-    block = F.pmod(F.xxhash64("vec_id"), F.coalesce(pieces[F.col("cell")], F.lit(1))) if large else F.lit(0)
-    dealt = index.withColumn("block", block.cast("int"))
+    first, pieces = blocks_of(entries, BLOCK_ROWS)
+    enough = max(math.ceil(share * n), entries_needed(index, one, two, entries, k), k + 1)
     queries = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
-    visits = queries.mapInPandas(_visits(one, two, entries, blocks, enough), "query_id long, cell long, block int, vector array<double>")
-    met = visits.groupBy("cell", "block").cogroup(dealt.groupBy("cell", "block")).applyInPandas(_rerank(k), "query_id long, vec_id long, score double")
+    slices = max(1, -(-queries.count() // SLICE_QUERIES))
+    # 65,536 cells at most, as above.
+    layout = spark.createDataFrame(pd.DataFrame({"cell": range(len(first)), "first": first, "pieces": pieces}))
+    block = (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("pieces"))).cast("int").alias("block")
+    dealt = index.join(F.broadcast(layout), "cell").select("vec_id", "cell", "vector", block, F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
+    schema = "query_id long, block int, cells array<long>, vector array<double>"
+    visits = queries.mapInPandas(_visits(one, two, entries, first, pieces, enough), schema)
+    visits = visits.withColumn("slice", F.pmod(F.xxhash64("query_id"), F.lit(slices)).cast("int"))
+    met = visits.groupBy("block", "slice").cogroup(dealt.groupBy("block", "slice"))
+    met = met.applyInPandas(_rerank(k), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
