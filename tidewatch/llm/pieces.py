@@ -32,7 +32,10 @@ from pyspark.sql import DataFrame
 from tidewatch.llm.common import mix64
 
 MARK = "▁"
-MEMO = 1_000_000
+MEMO_BYTES = 64_000_000  # of words and their ids that a worker remembers
+FITS = 250_000  # answers on which piece may follow which that a worker remembers
+ENTRY_BYTES = 200  # of a remembered word besides its characters and ids
+SLICE = 1 << 21  # characters that are encoded at once; a longer text by itself
 SLOT_BITS = 21  # answers that a worker keeps at hand on which piece may follow which
 TREE_DEPTH = 64  # longer words, which share few beginnings, are encoded one by one
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -113,6 +116,7 @@ class Transducer:
         self.halves: dict[str, tuple[str, str] | None] = {}
         self.fits: dict[int, bool] = {}
         self.memo: dict[str, bytes] = {}
+        self.memo_bytes = 0
         self.by_length: list[tuple[int, np.ndarray, np.ndarray]] = []
         self.slot_keys = np.full(1 << SLOT_BITS, -1, dtype=np.int64)
         self.slot_fits = np.zeros(1 << SLOT_BITS, dtype=bool)
@@ -192,7 +196,7 @@ class Transducer:
                     key = before << 32 | place
                     fit = fits.get(key)
                     if fit is None:
-                        if len(fits) >= 4 * MEMO:
+                        if len(fits) >= FITS:
                             fits.clear()
                         fit = fits[key] = self._may_follow(self.order[before], self.order[place])
                     if not fit:
@@ -260,7 +264,7 @@ class Transducer:
             for i, key in enumerate(distinct.tolist()):
                 fit = self.fits.get(key)
                 if fit is None:
-                    if len(self.fits) >= MEMO:
+                    if len(self.fits) >= FITS:
                         self.fits.clear()
                     fit = self.fits[key] = self._may_follow(self.order[key >> 32], self.order[key & 0xFFFFFFFF])
                 fits[i] = fit
@@ -352,16 +356,20 @@ class Transducer:
         return out
 
     def learn(self, texts: list[list[str]]) -> None:
-        """Remember the ids of all words of these texts."""
+        """Remember the ids of all words of these texts; the words of earlier ones go where there is no room."""
         every = set().union(*texts)
-        if len(self.memo) + len(every) > MEMO:
+        if self.memo_bytes > MEMO_BYTES:
             self.memo.clear()
+            self.memo_bytes = 0
         fresh = [w for w in every if w not in self.memo]
+        found: list[tuple[str, bytes]] = []
         if self.vocabulary.merges:
             short = sorted(w for w in fresh if len(w) <= TREE_DEPTH)
-            self.memo.update(zip(short, self.paths(short), strict=True))
+            found += zip(short, self.paths(short), strict=True)
             fresh = [w for w in fresh if len(w) > TREE_DEPTH]
-        self.memo.update((w, self._ids(w)) for w in fresh)
+        found += [(w, self._ids(w)) for w in fresh]
+        self.memo.update(found)
+        self.memo_bytes += sum(ENTRY_BYTES + len(w) + len(ids) for w, ids in found)
 
     def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [self.vocabulary.words(t) if t else [] for t in texts]
@@ -387,17 +395,25 @@ def transducer(path: str) -> Transducer:
     return _made[path]
 
 
+def slices(texts: pd.Series) -> Iterator[slice]:
+    """Runs of rows of about ``SLICE`` characters."""
+    sizes = np.cumsum([len(t) if t else 0 for t in texts]) // SLICE
+    cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(texts)]
+    return (slice(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if a < b)
+
+
 def _encode(path: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         machine = transducer(path)
         for batch in batches:
-            rows = []
-            for text, ids in zip(batch["text"], machine.encode_all(batch["text"].tolist()), strict=True):
-                back = machine.decode(ids)
-                rows.append((len(ids), ids, hashlib.sha256(back.encode("utf-8", "replace")).hexdigest(), back == (text or "")))
-            done = pd.DataFrame(rows, columns=["n_ids", "ids", "decoded_sha256", "round_trip"])
-            done.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield done
+            for part in map(batch.iloc.__getitem__, slices(batch["text"])):
+                rows = []
+                for text, ids in zip(part["text"], machine.encode_all(part["text"].tolist()), strict=True):
+                    back = machine.decode(ids)
+                    rows.append((len(ids), ids, hashlib.sha256(back.encode("utf-8", "replace")).hexdigest(), back == (text or "")))
+                done = pd.DataFrame(rows, columns=["n_ids", "ids", "decoded_sha256", "round_trip"])
+                done.insert(0, "doc_id", part["doc_id"].to_numpy())
+                yield done
 
     return run
 
