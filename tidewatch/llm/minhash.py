@@ -8,8 +8,9 @@ alone would give, estimate the Jaccard similarity; what the estimate cannot rule
 Equal sets are one class first, so copies never meet pair by pair. Every class is first tried with one other: of the
 first classes of its bands' groups, the one it shares most bands with. Then only pairs that confirmed links leave in
 different components are tried: all of them in groups of up to ``SMALL_GROUP`` classes. In larger groups the classes of
-a band are put in the order of their registers from a drawn register on, where similar ones come to stand together, and
-every class is tried with the ones before it; from other registers on until a round confirms nothing. A
+a band are put in the order of their registers from a drawn register on, where similar ones come to stand together. Of
+the classes before it in all its bands, those that stand there most often are tried with a class, at most ``NEIGHBOURS`` a
+round; from other registers on until a round confirms nothing. A
 group of n near copies so costs a multiple of n pairs, not n^2. What these rounds leave apart is settled exactly: large
 groups are cut into blocks of ``BLOCK`` classes, every two blocks meet in one task, and all their pairs across components
 are compared by registers there and confirmed on the full sets, each pair in the first band it shares.
@@ -327,16 +328,22 @@ class NearDuplicates:
         one = F.struct("id", "n", "part")
         near = F.array(*(F.lag(one, k).over(order) for k in range(1, NEIGHBOURS + 1)))
         other = F.filter("near", lambda x: (x["part"] != F.col("part")) & _sizes_allow(self.rule.percent, x["n"], F.col("n")))
-        met = cells.select("id", "n", "part", near.alias("near")).select("id", "n", F.explode(other).alias("other"))
+        met = cells.select("id", "n", "part", near.alias("near")).select("id", "n", other.alias("near")).where(F.size("near") > 0)
+        # Over all its bands a class keeps the neighbours that stand by it most often.
+        stood = met.groupBy("id").agg(F.first("n").alias("n"), F.flatten(F.collect_list("near")).alias("near"))
+        often = F.transform(F.array_distinct("near"), lambda x: F.struct(-F.size(F.filter("near", lambda y: y == x)), x.alias("other")))
+        kept = F.transform(F.slice(F.array_sort(often), 1, NEIGHBOURS), lambda x: x["other"])
+        met = stood.select("id", "n", F.explode(kept).alias("other"))
         return met.select(F.col("other.id").alias("a"), F.col("id").alias("b"), F.col("other.n").alias("n_a"), F.col("n").alias("n_b"))
 
     def _settled(self, large: DataFrame, labels: DataFrame) -> DataFrame:
         """Links between the components of large groups: all pairs, by blocks. A class is read once per block of its
         groups; groups that lie in one component are left out."""
         named = large.join(labels.withColumnRenamed("node", "id"), "id", "left")
-        named = named.select("band", "id", "n", "size", F.coalesce("component", "id").alias("part"))
+        named = stage(named.select("band", "id", "n", "size", F.coalesce("component", "id").alias("part")), "places")
+        # Stored before it is joined, so that a hot band's rows may be dealt over several tasks.
         split = named.groupBy("band").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least < most")
-        named = named.join(split.select("band"), "band", "left_semi")
+        named = named.join(stage(split.select("band"), "bands-apart"), "band", "left_semi")
         blocks = F.ceil(F.col("size") / BLOCK).cast("int")
         own = F.pmod(F.xxhash64("id"), blocks).cast("int")
         met = named.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
