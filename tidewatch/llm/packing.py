@@ -20,6 +20,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -37,8 +38,12 @@ SPECIAL = b"<|endoftext|>"  # an entry that no merging makes
 Piece = tuple[int, int, int]  # place of the document in its block, start, length
 
 
-def difference(loads: list[int], windows: int) -> list[list[int]]:
-    """Partition of the places of ``loads`` into at most ``windows`` sets with near-equal sums.
+_load = itemgetter(0)
+
+
+def difference(loads: list[int], windows: int, capacity: int | None = None) -> list[list[int]] | None:
+    """Partition of the places of ``loads`` into at most ``windows`` sets with near-equal sums; None once a window of a
+    partial partition exceeds the capacity, as windows never shrink.
 
     A partial partition lists (load, members) in descending order and leaves out empty windows. Two of them meet as
     the largest window of one with the smallest of the other, always the two partitions with the largest imbalance.
@@ -55,7 +60,9 @@ def difference(loads: list[int], windows: int) -> list[list[int]]:
         met = one[: len(one) - both] + two[: len(two) - both]
         if both:
             met += [(a[0] + b[0], (-1, a[1], b[1])) for a, b in zip(one[len(one) - both :], reversed(two[len(two) - both :]), strict=True)]
-        met.sort(key=lambda x: -x[0])
+        met.sort(key=_load, reverse=True)
+        if capacity is not None and met[0][0] > capacity:
+            return None
         heapq.heappush(heap, (-(met[0][0] - (met[-1][0] if len(met) == windows else 0)), n, met))
         n += 1
     out = []
@@ -75,8 +82,8 @@ def partition(loads: list[int], capacity: int) -> list[list[int]]:
     """Sets of places whose sums stay within the capacity; the number of sets rises until they do."""
     windows = max(1, -(-sum(loads) // capacity))
     while True:
-        sets = difference(loads, windows)
-        if all(sum(loads[i] for i in s) <= capacity for s in sets):
+        sets = difference(loads, windows, capacity)
+        if sets is not None:
             return sets
         windows += 1
 
@@ -135,37 +142,33 @@ class Tokens:
         ranks = {entry: i for entry, i in ranks.items() if entry != SPECIAL}
         # Ids rise in the order of the merges, so ranks are ids; the merging itself is the same for all chunks.
         self.merge = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.memo: dict[str, bytes] = {}
-
-    @staticmethod
-    def chunks(text: str) -> list[str]:
-        parts = text.split(" ")
-        merged = [parts[0]]
-        open_edge = not parts[0] or parts[0][-1].isspace()
-        for part in parts[1:]:
-            blank = not part or part[0].isspace()
-            if blank or open_edge:
-                merged[-1] += " " + part
-            else:
-                merged.append(" " + part)
-            open_edge = not part or part[-1].isspace()
-        return merged
-
-    def learn(self, texts: list[list[str]]) -> None:
-        fresh = {c for chunks in texts for c in chunks}
-        if len(self.memo) + len(fresh) > MEMO:
-            self.memo.clear()
-        memo, merge = self.memo, self.merge
+        self.between = re.compile(r"(?<=\S) (?=\S)")
+        self.unusual = re.compile(r" (?:(?=\s|\Z)|(?<=\s ))|\A ")
+        self.heads: dict[str, bytes] = {}  # ids of chunks that begin a text
+        self.memo: dict[str, bytes] = {}  # ids of chunks after a space, which is theirs
+        self.packs: dict = {}
+
+    def learn(self, memo: dict[str, bytes], fresh: set[str], before: str) -> None:
+        if len(memo) + len(fresh) > MEMO:
+            memo.clear()
+        merge, packs = self.merge, self.packs
         for chunk in fresh:
-            if chunk not in memo:
-                ids = merge(chunk)
-                memo[chunk] = struct.pack(f"<{len(ids)}I", *ids)
+            if chunk in memo:
+                continue
+            ids = merge(before + chunk)
+            n = len(ids)
+            memo[chunk] = (packs.get(n) or packs.setdefault(n, struct.Struct(f"<{n}I").pack))(*ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        chunked = [self.chunks(t) if t else [] for t in texts]
-        self.learn(chunked)
-        return [b"".join(map(self.memo.__getitem__, chunks)) for chunks in chunked]
-
+        unusual, cut = self.unusual.search, self.between.split
+        chunked = [(cut(t) if unusual(t) else t.split(" ")) if t else [""] for t in texts]
+        heads = [chunks[0] for chunks in chunked]
+        for chunks in chunked:
+            del chunks[0]
+        self.learn(self.heads, set(heads), "")
+        self.learn(self.memo, set().union(*chunked), " ")
+        get = self.memo.__getitem__
+        return [self.heads[head] + b"".join(map(get, chunks)) for head, chunks in zip(heads, chunked, strict=True)]
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """As ``encode``, with the file's added tokens as single ids."""
