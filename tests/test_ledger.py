@@ -110,3 +110,15 @@ def test_the_job_marks_the_batch_that_failed(spark, tmp_path):
     assert len(found) == 45 and {(r.batch_id, r.position) for r in found} == {divmod(i, 10) for i in range(45)}
     (bad,) = {r.batch_id for r in found if r.id == 3}
     assert all(r.is_error == (r.batch_id == bad) and r.sentiment == ("Neutral" if r.is_error else "Positive") for r in found)
+
+
+def test_a_wave_has_files_of_its_own(requests, tmp_path):
+    from pathlib import Path
+
+    from tidewatch.session import shared_dir
+
+    before = set(Path(shared_dir(requests.sparkSession)).glob("pending-*/wave=*"))
+    L.ask_once(requests, partial(answers, tmp_path, None, None), f"{tmp_path}/ledger", wave=3)
+    made = set(Path(shared_dir(requests.sparkSession)).glob("pending-*/wave=*")) - before
+    assert sorted(p.name for p in made) == ["wave=0", "wave=1", "wave=2"]
+    assert calls(tmp_path) == sorted(f"request{i}" for i in range(8))

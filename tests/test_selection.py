@@ -143,3 +143,15 @@ def test_nulls_in_key_and_label(spark):
     assert [X.sample_exact(rows, n, "k").count() for n in (10, 50, 60, 100)] == [10, 50, 60, 100]
     split = X.split_stratified(rows.withColumn("y", F.when(F.col("v") < 50, 1)), "y", "v")
     assert split.count() == 100 and split.filter("is_test").count() == 10
+
+
+def test_numbering_deals_rows_to_many_tasks(spark):
+    """No task gets most of the rows, as their texts travel with them."""
+    named = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(named, "false")
+    try:
+        found = X.indexed(spark.range(20_000).withColumn("text", F.lit("t")), "id")
+        held = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set(named, "true")
+    assert sum(held) == 20_000 and max(held) < 12_000

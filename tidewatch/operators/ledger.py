@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from tidewatch.functions.text import INSTRUCTIONS
 from tidewatch.operators.classify import Provider
 from tidewatch.operators.selection import indexed
-from tidewatch.session import stage
+from tidewatch.session import fresh_path, stage
 
 SCHEMA = "request_hash string, reply string"
+FILES = 8  # that hold the requests of a wave
 
 
 def recorded(spark, path: str) -> DataFrame:
@@ -34,7 +35,12 @@ def ask_once(
     keyed = requests.select(batch_id, "request", F.sha2("request", 256).alias("request_hash"))
     answered = recorded(spark, path).filter("reply IS NOT NULL").select("request_hash").distinct()
     unanswered = keyed.join(answered, "request_hash", "left_anti").select("request_hash", "request").distinct()
-    pending = stage(indexed(stage(unanswered, "unanswered"), "request_hash", name="number"), "pending")
+    pending = indexed(stage(unanswered, "unanswered"), "request_hash", name="number")
+    # A wave has folders of its own, so that its job reads no other's requests.
+    pending = pending.withColumn("wave", F.floor(F.col("number") / wave))
+    folder = fresh_path(spark, "pending")
+    pending.repartition("wave", F.col("number") % FILES).write.partitionBy("wave").parquet(folder)
+    pending = spark.read.schema(pending.schema).parquet(folder)
 
     @F.pandas_udf("string")
     def ask(texts: pd.Series) -> pd.Series:
@@ -42,7 +48,7 @@ def ask_once(
 
     total = pending.count()
     for first in range(0, total, wave):
-        due = pending.filter((F.col("number") >= first) & (F.col("number") < first + wave))
+        due = pending.filter(F.col("wave") == first // wave)
         tasks = -(-min(wave, total - first) // per_task)
         replies = due.repartition(tasks, "number").select("request_hash", ask.asNondeterministic()("request").alias("reply"))
         replies.write.mode("append").parquet(path)

@@ -18,6 +18,7 @@ from tidewatch.functions.scalar import round_half_away
 _BUCKET_BITS = 16
 _VALUE_BUCKETS = 4096
 _RANGE_ROWS = 100_000
+_NUMBERED_ROWS = 1_000  # whole rows that are numbered together
 _COPIES = 4096
 
 
@@ -149,12 +150,12 @@ def indexed(rows: DataFrame, key: str, seed: int = 42, name: str = "row_idx") ->
     """The rows numbered from 0 in drawing order, whatever their partitions.
 
     Rows are counted per hash range; each range starts where the ones before
-    it end and is numbered by itself. Ranges hold about ``_RANGE_ROWS`` rows,
-    so their number follows the table. Their counts are summed over groups of
+    it end and is numbered by itself. Ranges hold about ``_NUMBERED_ROWS`` rows,
+    so their number follows the table, and tasks have many of them each. Their counts are summed over groups of
     ranges first, so no window sees more than the root of that number. Rows
     that share a key are ordered by a hash of all their columns.
     """
-    bits = min(BITS, max(0, rows.count() // _RANGE_ROWS).bit_length())
+    bits = min(BITS, max(0, rows.count() // min(_NUMBERED_ROWS, _RANGE_ROWS)).bit_length())
     ranked = rows.select("*", hash_rank(rows, key, seed).alias("_rank"), F.xxhash64(*_hashable(rows)).alias("_content"))
     ranked = ranked.withColumn("_range", F.shiftright("_rank", BITS - bits).cast("long"))
     counts = ranked.groupBy("_range").agg(F.count("*").alias("_n"))
