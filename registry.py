@@ -325,7 +325,12 @@ def _export_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     tables = _tables(spark, sf)
     folder = fresh_path(spark, "exports")
     stats = reviews.category_stats(tables["category_sentiment"])
-    frames = {**tables, "category_sentiment": categories_table(spark, sf), "category_stats": stats}
+    frames = {
+        **tables,
+        "sentiment": reviews.dealt(tables["sentiment"]),
+        "category_sentiment": categories_table(spark, sf, deal=True),
+        "category_stats": stats,
+    }
     exports.export_tables({**frames, **_marts(tables)}, folder)
     return contracts.export_report(spark, folder).withColumn(
         "detail", F.replace(F.col("detail"), F.lit(folder), F.lit(""))

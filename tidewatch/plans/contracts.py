@@ -25,17 +25,24 @@ class ExportContract:
     file: str
     min_rows: int
     columns: tuple[str, ...]
+    line_breaks: bool = True  # inside fields; without them a file is split between tasks
 
 
 EXPORT_CONTRACTS = [
     ExportContract(
-        "synthetic_sql_logs.csv", 14_000, ("timestamp", "execution_time_ms", "server_cpu_load", "status")
+        "synthetic_sql_logs.csv",
+        14_000,
+        ("timestamp", "execution_time_ms", "server_cpu_load", "status"),
+        line_breaks=False,
+    ),
+    ExportContract(
+        "processed_logs.csv", 14_000, ("risk_level", "is_anomaly", "anomaly_score"), line_breaks=False
     ),
-    ExportContract("processed_logs.csv", 14_000, ("risk_level", "is_anomaly", "anomaly_score")),
     ExportContract(
         "delivery_analysis.csv",
         90_000,
         ("customer_state", "state_name", "country", "delivery_days", "is_late"),
+        line_breaks=False,
     ),
     ExportContract("enriched_customer_sentiment.csv", 100, ("review_score", "sentiment")),
     ExportContract("category_sentiment.csv", 50, ("category", "sentiment", "star_rating")),
@@ -359,7 +366,7 @@ def _export_checks(spark: SparkSession, path: str, contract: ExportContract) ->
     missing = [c for c in contract.columns if c not in header]
     # Only presence matters here, so the columns are read as text.
     text = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    rows = files.read_csv(spark, path, text, line_breaks=True)
+    rows = files.read_csv(spark, path, text, line_breaks=contract.line_breaks)
     empty = F.array_compact(
         F.array(*[F.when(F.count(F.col(f"`{c}`")) == 0, F.lit(c)) for c in header])
     )

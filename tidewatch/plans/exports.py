@@ -23,6 +23,9 @@ MART_EXPORTS = {
 }
 # Results with one row per level, state or category.
 _SMALL = {"category_stats", *MART_EXPORTS}
+# Exports with review texts, and the rows that one file of theirs holds at most.
+_TEXTS = {"sentiment", "category_sentiment"}
+ROWS_A_FILE = 20_000
 
 
 def export_tables(frames: Mapping[str, DataFrame], folder: str) -> list[str]:
@@ -31,7 +34,8 @@ def export_tables(frames: Mapping[str, DataFrame], folder: str) -> list[str]:
     for table, file in {**TABLE_EXPORTS, **MART_EXPORTS}.items():
         if table in frames:
             path = f"{folder.rstrip('/')}/{file}"
-            files.write_csv(frames[table], path, single_file=table in _SMALL)
+            most = ROWS_A_FILE if table in _TEXTS else 0
+            files.write_csv(frames[table], path, single_file=table in _SMALL, rows_a_file=most)
             paths.append(path)
     return paths
 

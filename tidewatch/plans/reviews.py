@@ -130,13 +130,15 @@ def category_sentiment(
     products: DataFrame,
     translation: DataFrame,
     small_side_bytes: int = SMALL_SIDE_BYTES,
+    deal: bool = False,
 ) -> DataFrame:
     """One row per review and order item, with the product category.
 
     A review of several items counts once for each. Items are first cut down
     to the orders that were reviewed, if those are few. Where they are still
     too many to broadcast, their categories are looked up on the narrow item
-    rows and stored, so the review texts are moved once.
+    rows and stored, so the review texts are moved once. With ``deal`` they
+    are also moved if items are broadcast: for results that are written out.
     """
     reviews = sentiment.select(
         "review_id",
@@ -149,15 +151,22 @@ def category_sentiment(
     limit = small_side_bytes
     if not is_small(lines, limit):
         lines = matching(lines, reviews.select("order_id"), "order_id", limit)
-    if is_small(lines, limit):
-        joined = _categories(left_join(reviews, lines, "order_id", small_side_bytes=limit), products, translation, limit)
-    else:
+    if not is_small(lines, limit):
         looked_up = stage(_categories(lines, products, translation, limit), "item-lines")
-        joined = left_join(reviews, looked_up, "order_id", small_side_bytes=limit)
+        texts = dealt(reviews) if deal and is_small(looked_up, limit) else reviews
+        joined = left_join(texts, looked_up, "order_id", small_side_bytes=limit)
+    else:
+        texts = dealt(reviews) if deal else reviews
+        joined = _categories(left_join(texts, lines, "order_id", small_side_bytes=limit), products, translation, limit)
     category = F.coalesce("product_category_name_english", "product_category_name", F.lit(UNKNOWN))
     return joined.withColumn("category", category).select(S.CATEGORY_SENTIMENT.fieldNames())
 
 
+def dealt(reviews: DataFrame) -> DataFrame:
+    """Reviews in equal shares. Files of few large row groups would leave the writing of all texts to a few tasks."""
+    return reviews.repartition("review_id", "review_comment_message")
+
+
 def _categories(lines: DataFrame, products: DataFrame, translation: DataFrame, limit: int) -> DataFrame:
     names = products.select("product_id", "product_category_name")
     named = left_join(lines, names, "product_id", small_side_bytes=limit)

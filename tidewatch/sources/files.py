@@ -53,13 +53,15 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     return spark.read.options(**READ_OPTIONS).csv(path).columns
 
 
-def write_csv(df: DataFrame, path: str, *, single_file: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, *, single_file: bool = False, rows_a_file: int = 0) -> None:
     """Write a headed CSV directory.
 
-    ``single_file`` is for results of a fixed size, such as the marts.
+    ``single_file`` is for results of a fixed size, such as the marts;
+    ``rows_a_file``, if not 0, is for free text, whose files are read by one
+    task each.
     """
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    out.write.mode("overwrite").options(**CSV_OPTIONS, maxRecordsPerFile=rows_a_file).csv(path)
 
 
 def file_exists(spark: SparkSession, path: str) -> bool:
