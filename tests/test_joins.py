@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators import estimates, joins as J
+from tidewatch.plans import reviews
 
 
 @pytest.fixture(scope="module")
@@ -83,3 +84,27 @@ def test_a_hot_key_ends_in_many_tasks(spark, tmp_path):
     assert same(joined, left.join(right, "k", "left"))
     salts = left.withColumn("_position", F.monotonically_increasing_id()).filter("k = 7")
     assert salts.select(F.pmod("_position", F.lit(16))).distinct().count() == 16
+
+
+def test_keys_of_one_row_are_never_salted(spark):
+    names = spark.range(20).selectExpr("id AS k", "string(id) AS name")
+    assert J.salts_of(names, "k", 0.01, 16).collect() == []
+    twice = names.union(names.where("k = 3"))
+    assert dict(J.salts_of(twice, "k", 0.01, 16).collect()) == {3: 2}
+    left = spark.range(400).selectExpr("id % 25 AS k", "id AS lid")
+    assert same(J.salted_left_join(left, twice, "k"), left.join(twice, "k", "left"))
+
+
+def test_lines_are_moved_once_for_their_categories(spark, monkeypatch):
+    lines = spark.createDataFrame([(str(i % 7), f"p{i % 9}") for i in range(60)], "order_id string, product_id string")
+    products = spark.createDataFrame(
+        [(f"p{i}", None if i == 2 else f"b{i % 3}") for i in range(8)], "product_id string, product_category_name string"
+    )
+    names = spark.createDataFrame([("b0", "x"), ("b1", "y")], "product_category_name string, product_category_name_english string")
+    lefts = []
+    salted = J.salted_left_join
+    monkeypatch.setattr(J, "salted_left_join", lambda left, *a, **k: lefts.append(left.columns) or salted(left, *a, **k))
+    found = reviews._categories(lines, products, names, -1)
+    assert sum("order_id" in columns for columns in lefts) == 1 and len(lefts) == 2
+    plain = lines.join(products, "product_id", "left").join(names, "product_category_name", "left").drop("product_id")
+    assert same(found, plain)

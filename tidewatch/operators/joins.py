@@ -102,7 +102,12 @@ def salted_left_join(
 
 
 def hot_keys(df: DataFrame, key: str, share: float) -> dict:
-    """The keys that hold at least ``share`` of the rows with a key, ``1/share`` at most, and the share of each.
+    """The keys that hold at least ``share`` of the rows with a key, ``1/share`` at most, and the share of each."""
+    return {k: held for k, (held, _) in _hot_rows(df, key, share).items()}
+
+
+def _hot_rows(df: DataFrame, key: str, share: float) -> dict:
+    """The hot keys with their share and their rows.
 
     A first pass with ``1/share`` counters per task names every such key and
     perhaps some others; a second one counts the named keys.
@@ -113,12 +118,18 @@ def hot_keys(df: DataFrame, key: str, share: float) -> dict:
         return {}
     counts = keys.groupBy(F.when(F.col(key).isin(list(named)), F.col(key)).alias(key)).count().collect()
     total = sum(r["count"] for r in counts)
-    return {r[key]: r["count"] / total for r in counts if r[key] is not None and r["count"] >= share * total}
+    hot = [r for r in counts if r[key] is not None and r["count"] >= share * total]
+    return {r[key]: (r["count"] / total, r["count"]) for r in hot}
 
 
 def salts_of(df: DataFrame, key: str, share: float, most: int) -> DataFrame:
-    """(key, _salts) of the hot keys: one salt for each ``share`` of the rows that a key holds, ``most`` at most."""
-    found = [(k, min(most, math.ceil(held / share))) for k, held in hot_keys(df, key, share).items()]
+    """(key, _salts) of the hot keys: one salt for each ``share`` of the rows that a key holds, ``most`` at most.
+
+    A key has no more salts than rows, and none if that leaves it one: the other side would be repeated for nothing,
+    as with a short list of names, each of which holds a large share of it.
+    """
+    salts = {k: min(most, math.ceil(held / share), rows) for k, (held, rows) in _hot_rows(df, key, share).items()}
+    found = [(k, n) for k, n in salts.items() if n > 1]
     fields = [T.StructField(key, df.schema[key].dataType), T.StructField("_salts", T.IntegerType())]
     return df.sparkSession.createDataFrame(found, T.StructType(fields))
 

@@ -168,9 +168,13 @@ def dealt(reviews: DataFrame) -> DataFrame:
 
 
 def _categories(lines: DataFrame, products: DataFrame, translation: DataFrame, limit: int) -> DataFrame:
+    """The category names of every line. Products that are not few are translated first, so that lines move once."""
     names = products.select("product_id", "product_category_name")
-    named = left_join(lines, names, "product_id", small_side_bytes=limit)
-    return left_join(named, translation, "product_category_name", small_side_bytes=limit).drop("product_id")
+    if is_small(names, limit):
+        named = left_join(lines, names, "product_id", small_side_bytes=limit)
+        return left_join(named, translation, "product_category_name", small_side_bytes=limit).drop("product_id")
+    translated = stage(left_join(names, translation, "product_category_name", small_side_bytes=limit), "product-names")
+    return left_join(lines, translated, "product_id", small_side_bytes=limit).drop("product_id")
 
 
 def orphans(categories: DataFrame) -> DataFrame:
