@@ -18,7 +18,7 @@ from tidewatch.operators import classify as C
 from tidewatch.operators import quality as Q
 from tidewatch.operators import iforest, metrics, selection, spike_model
 from tidewatch.plans import column_tests, contracts, delivery, exports, jobs, logs, marts, reviews
-from tidewatch.session import fresh_path, stage
+from tidewatch.session import fresh_path, scratch, stage, stage_alone
 from tidewatch.sources import adapters as A
 from tidewatch.sources import files, synthetic
 
@@ -269,9 +269,11 @@ def _tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return {
         "raw_logs": A.raw_logs(spark, sf).drop("log_id"),
         "clean_logs": clean_table(spark, sf),
-        "delivery": stage(delivery_table(spark, sf), "delivery"),
+        "delivery": stage_alone(spark, lambda: delivery_table(spark, sf), "delivery"),
         "sentiment": sentiment_table(spark, sf),
-        "category_sentiment": stage(categories_table(spark, sf).drop("review_comment_message"), "categories"),
+        "category_sentiment": stage_alone(
+            spark, lambda: categories_table(spark, sf).drop("review_comment_message"), "categories"
+        ),
     }
 
 
@@ -321,17 +323,18 @@ def _duplicates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _export_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """All exports written, then checked from the files."""
-    tables = _tables(spark, sf)
+    """All exports written, then checked from the files. What is staged for them is deleted once they are written."""
     folder = fresh_path(spark, "exports")
-    stats = reviews.category_stats(tables["category_sentiment"])
-    frames = {
-        **tables,
-        "sentiment": reviews.dealt(tables["sentiment"]),
-        "category_sentiment": categories_table(spark, sf, deal=True),
-        "category_stats": stats,
-    }
-    exports.export_tables({**frames, **_marts(tables)}, folder)
+    with scratch(spark):
+        # The texts of all items are most of what is written, so they go first, alone on the disk.
+        per_item = categories_table(spark, sf, deal=True)
+        exports.export_tables({"category_sentiment": per_item}, folder, texts_compressed=True)
+    with scratch(spark):
+        tables = _tables(spark, sf)
+        stats = reviews.category_stats(tables["category_sentiment"])
+        frames = {**tables, **_marts(tables), "sentiment": reviews.dealt(tables["sentiment"]), "category_stats": stats}
+        del frames["category_sentiment"]
+        exports.export_tables(frames, folder, texts_compressed=True)
     return contracts.export_report(spark, folder).withColumn(
         "detail", F.replace(F.col("detail"), F.lit(folder), F.lit(""))
     )

@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+import registry
+from tidewatch import session
 from tidewatch.plans import contracts, exports
 from tidewatch.sources import files
 
@@ -37,3 +39,32 @@ def test_exports_without_texts_are_split_between_tasks(spark, tmp_path, monkeypa
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_the_round_trip_keeps_its_exports_alone_and_texts_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    sf = "/root/testdata/sf0.001"
+    report = registry.queries()["export_roundtrip"](spark, sf).collect()
+    (folder,) = tmp_path.iterdir()
+    assert folder.name.startswith("exports-") and {p.name for p in folder.iterdir()} == set(
+        {**exports.TABLE_EXPORTS, **exports.MART_EXPORTS}.values()
+    )
+    assert {r.status for r in report if r.check == "File exists"} == {"PASS"}
+    for name, table in (("sentiment", registry.sentiment_table), ("category_sentiment", registry.categories_table)):
+        path = folder / exports.TABLE_EXPORTS[name]
+        assert not _parts(path) and list(path.glob("part-*.csv.gz"))
+        want = table(spark, sf)
+        again = files.read_csv(spark, str(path), want.schema, line_breaks=True)
+        assert again.exceptAll(want).isEmpty() and want.exceptAll(again).isEmpty()
+
+
+def test_scratch_deletes_what_is_staged_within(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    with session.scratch(spark):
+        gone = session.stage(spark.range(3), "gone")
+        session.discard(gone)
+        alone = session.stage_alone(spark, lambda: session.stage(spark.range(3), "on-the-way"), "alone")
+        assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["alone"] and alone.count() == 3
+    assert not list(tmp_path.iterdir())
+    kept = session.stage_alone(spark, lambda: session.stage(spark.range(3), "on-the-way"), "kept")
+    assert kept.count() == 3 and len(list(tmp_path.iterdir())) == 1

@@ -28,14 +28,18 @@ _TEXTS = {"sentiment", "category_sentiment"}
 ROWS_A_FILE = 20_000
 
 
-def export_tables(frames: Mapping[str, DataFrame], folder: str) -> list[str]:
-    """Write every frame that has an export name; the paths written."""
+def export_tables(frames: Mapping[str, DataFrame], folder: str, *, texts_compressed: bool = False) -> list[str]:
+    """Write every frame that has an export name; the paths written.
+
+    Exports with texts, which repeat a text for every item of its order, can be written as gzip files.
+    """
     paths = []
     for table, file in {**TABLE_EXPORTS, **MART_EXPORTS}.items():
         if table in frames:
             path = f"{folder.rstrip('/')}/{file}"
             most = ROWS_A_FILE if table in _TEXTS else 0
-            files.write_csv(frames[table], path, single_file=table in _SMALL, rows_a_file=most)
+            compression = "gzip" if texts_compressed and table in _TEXTS else "none"
+            files.write_csv(frames[table], path, single_file=table in _SMALL, rows_a_file=most, compression=compression)
             paths.append(path)
     return paths
 

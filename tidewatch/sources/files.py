@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidewatch import schemas as S
+from tidewatch.session import shuffles_dropped
 
 # Text columns hold quotes and line breaks, so a record may span lines and a
 # quote inside a field is doubled.
@@ -53,15 +54,19 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     return spark.read.options(**READ_OPTIONS).csv(path).columns
 
 
-def write_csv(df: DataFrame, path: str, *, single_file: bool = False, rows_a_file: int = 0) -> None:
+def write_csv(
+    df: DataFrame, path: str, *, single_file: bool = False, rows_a_file: int = 0, compression: str = "none"
+) -> None:
     """Write a headed CSV directory.
 
     ``single_file`` is for results of a fixed size, such as the marts;
     ``rows_a_file``, if not 0, is for free text, whose files are read by one
-    task each.
+    task each. So are compressed ones.
     """
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").options(**CSV_OPTIONS, maxRecordsPerFile=rows_a_file).csv(path)
+    options = {**CSV_OPTIONS, "maxRecordsPerFile": rows_a_file, "compression": compression}
+    with shuffles_dropped(df.sparkSession):
+        out.write.mode("overwrite").options(**options).csv(path)
 
 
 def file_exists(spark: SparkSession, path: str) -> bool:
